@@ -6,6 +6,7 @@ from importlib import import_module
 
 NAMES = {
     "op1_exact_dedup": "exact_dedup",
+    "op3_license_scan": "license_scan",
     "op9_url_filter": "url_filter",
 }
 
