@@ -8,6 +8,7 @@ NAMES = {
     "op1_exact_dedup": "exact_dedup",
     "op3_license_scan": "license_scan",
     "op9_url_filter": "url_filter",
+    "op10_pii": "pii",
 }
 
 
