@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCKS = 65_536
+BLOCKS = 65_536  # a power of two
 WORDS = 8
 
 
 def _block(h: Column, blocks: int) -> Column:
-    return F.pmod(h, F.lit(blocks)).cast("int")
+    """Never null, or Catalyst would test it for null in a filter that computes the key anew."""
+    return h.bitwiseAND(F.lit(blocks - 1)).cast("int")
 
 
 

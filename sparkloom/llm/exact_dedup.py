@@ -30,9 +30,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pref
     """Groups of at least two equal texts: __n, __p, __sha, keep_id, group_size."""
     t = docs.select(F.col(id_col).alias("__id"), normalised(text_col).alias("__t"))
     keyed = t.select("__id", F.octet_length("__t").alias("__n"), F.xxhash64(F.substring("__t", 1, prefix)).alias("__p"), "__t")
-    sizes = keyed.groupBy("__n", "__p").agg(F.count("*").alias("__c"))
-    by_length = sizes.groupBy("__n").agg(F.sum("__c").alias("__l")).where("__l > 1").select("__n")
-    by_prefix = sizes.where("__c > 1").join(by_length, "__n", "left_semi")
+    #: Length and prefix hash come from one pass over the text, so one pre-aggregated count serves both levels.
+    by_prefix = keyed.groupBy("__n", "__p").agg(F.count("*").alias("__c")).where("__c > 1")
     #: A fixed-size filter of the surviving keys goes to the scan: only hits have their full text hashed.
     bits = bloom.build(by_prefix.select(F.xxhash64("__n", "__p").alias("__k")))
     survivors = bloom.passing(keyed, F.xxhash64("__n", "__p"), bits)
