@@ -7,8 +7,10 @@ from importlib import import_module
 NAMES = {
     "op1_exact_dedup": "exact_dedup",
     "op3_license_scan": "license_scan",
+    "op5_language_id": "language_id",
     "op6_bpe_codec": "bpe_codec",
     "op7_token_files": "token_files",
+    "op8_fingerprints": "fingerprints",
     "op9_url_filter": "url_filter",
     "op10_pii": "pii",
 }
