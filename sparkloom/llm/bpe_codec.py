@@ -40,10 +40,20 @@ from sparkloom.llm.common import table, text_of
 from sparkloom.llm.memo import Memo
 
 NEVER = 1 << 60
-#: White space and the word patterns of the vocabulary, in general and for ASCII text.
+#: White space and the word pattern of the vocabulary.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PARTS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
-ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+#: The same for texts of Latin-1 letters only, in plain ranges.
+LETTERS, NUMBERS, BLANKS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+LATIN_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{BLANKS}{LETTERS}{NUMBERS}]+")
+
+
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def byte_letters() -> list[str]:
@@ -144,8 +154,8 @@ class Codec:
 
     @staticmethod
     def words(text: str) -> list[str]:
-        if text.isascii():
-            return ASCII_PARTS.findall(text.lower())
+        if is_latin(text):
+            return LATIN_PARTS.findall(text.lower())
         text = unicodedata.normalize("NFC", text)
         #: Each letter on its own: no special form of a final letter.
         return PARTS.findall("".join(map(str.lower, text)) if "Σ" in text else text.lower())

@@ -23,6 +23,7 @@ import json
 import re
 import uuid
 import zlib
+from array import array
 from functools import lru_cache
 from itertools import accumulate
 
@@ -35,13 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.bpe_codec import SPACE
+from sparkloom.llm.bpe_codec import BLANKS, LETTERS, NUMBERS, SPACE, byte_letters, is_latin
 from sparkloom.llm.common import shared_dir, staged, table, text_of
 from sparkloom.llm.memo import Memo
 
-#: The word patterns of the vocabulary, in general and for ASCII text.
+#: The word patterns of the vocabulary, in general and for texts of Latin-1 letters only.
 PARTS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
+LATIN_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{BLANKS}{LETTERS}{NUMBERS}]+|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+")
 ROWS = 4096
 
 
@@ -65,16 +66,19 @@ class Encoder:
         self.size = self.library.get_vocab_size()
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.letters = byte_letters()
         self.memo = Memo(self.packed)
 
     def packed(self, word: str) -> bytes:
-        return np.array(self.library.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+        """The library's model takes a word as the letters of its bytes."""
+        tokens = self.library.model.tokenize("".join([self.letters[b] for b in word.encode()]))
+        return array("H" if self.kind == "<u2" else "I", [t.id for t in tokens]).tobytes()
 
     def encoded(self, text: str) -> bytes:
         if self.at_special is not None and self.at_special.search(text):
             parts = self.at_special.split(text)
             return b"".join(np.array([self.special[p]], self.kind).tobytes() if p in self.special else self.encoded(p) for p in parts if p)
-        return b"".join(map(self.memo.__getitem__, (ASCII_PARTS if text.isascii() else PARTS).findall(text)))
+        return b"".join(map(self.memo.__getitem__, (LATIN_PARTS if is_latin(text) else PARTS).findall(text)))
 
 
 @lru_cache(maxsize=2)
