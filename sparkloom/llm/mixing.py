@@ -4,10 +4,12 @@ A classifier learnt from the labelled table gives each document a probability fo
 domain. Documents get rates r >= 0 by projected-gradient least squares, so that the
 expected tokens of each domain, sum(r x tokens x probability), meet the targets:
 
-    r <- max(0, r - p . y),    y = G^-1 (totals(r) - targets),    G = sum(tokens x p p')
+    r <- max(0, r - p . y),    y = G^-1 (totals(r) - targets),    G = sum(tokens x p p') where r > 0
 
 The step is the gradient of the misfit weighted by G^-1 in the metric of tokens, whose
-Lipschitz constant is 1. Each step is one aggregation over a narrow table of (tokens,
+Lipschitz constant is 1 over the documents that still have a rate; a step that makes
+the misfit larger is halved. The total is such that the ANCHOR domain keeps its
+tokens. Each step is one aggregation over a narrow table of (tokens,
 probabilities); only as many numbers as there are domains reach the driver. A rate is
 thus a function of the probabilities, so that it needs no join.
 
@@ -34,8 +36,9 @@ from sparkloom.llm.common import staged, table, text_of
 DOMAINS = ("good", "poor", "toxic")
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'good' ELSE 'poor' END"
 #: Shares of the tokens to have, by domain.
-TARGET = {"good": 0.9, "poor": 0.08, "toxic": 0.02}
-SAMPLE, VOCABULARY, STEPS, CLOSE = 8_000, 256, 30, 1e-7
+TARGET, ANCHOR = {"good": 0.96, "poor": 0.025, "toxic": 0.015}, "good"
+#: Words count if twice their information is past GAIN (a G-test with two degrees of freedom at 0.0001).
+SAMPLE, VOCABULARY, GAIN, STEPS, CLOSE = 8_000, 256, 18.4, 24, 1e-6
 SIGNS = "#$%&*!|=<>{}"
 
 
@@ -113,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     there = "(" + " + ".join(DOMAINS) + ")"
     part = lambda k, of, own: f"IF({k} > 0, {k} * ln({k} * {float(total)}D / ({of} * {float(own)}D)), 0D)"
     gain = " + ".join(f"{part(d, there, max(1, n[d]))} + {part(f'({n[d]} - {d})', f'({total} - {there})', max(1, n[d]))}" for d in DOMAINS)
-    best = counted(words("__t")).where(f"{there} >= 5").select("x", F.expr(gain).alias("g")).orderBy(F.desc("g"), "x").limit(VOCABULARY)
+    best = counted(words("__t")).where(f"{there} >= 5").select("x", F.expr(gain).alias("g")).where(f"2 * g > {GAIN}").orderBy(F.desc("g"), "x").limit(VOCABULARY)
     vocabulary = sorted(r["x"] for r in best.collect())
     bare = Classifier(prior, {}, vocabulary)
     rows = sample.select("__d", F.expr(words("__t")).alias("__w"), "__t")
@@ -130,7 +133,8 @@ def memberships(docs: DataFrame, model: Classifier, text_col: str = "text", keep
     rows = rows.withColumn("__f", F.expr(model.features("__w", "__t"))).withColumn("__tokens", F.size("__w").cast("double"))
     rows = rows.withColumn("__l", F.array(*(F.expr(x) for x in model.posteriors("__f"))))
     rows = rows.withColumn("__e", F.expr("transform(__l, x -> exp(x - array_max(__l)))"))
-    rows = rows.withColumn("__z", F.expr("aggregate(__e, 0D, (a, x) -> a + x)"))
+    #: Formally not deterministic, so that Catalyst computes the probabilities once and moves no filter below them.
+    rows = rows.withColumn("__z", F.expr("aggregate(__e, 0D, (a, x) -> a + x)") + F.monotonically_increasing_id() * F.lit(0.0))
     return rows.select(*keep, "__tokens", *((F.get("__e", F.lit(i)) / F.col("__z")).alias(f"__p{i}") for i in range(len(DOMAINS))))
 
 
@@ -156,28 +160,39 @@ def rate(steps: list[list[float]]) -> Column:
 
 
 def solve(parts: DataFrame, target: dict[str, float] = TARGET) -> tuple[list[list[float]], list[float], list[float]]:
-    """parts: __tokens, __p0, ... The steps, the totals wanted and the totals met.
-
-    The total is the largest at which no domain must grow, so rates stay about 1 or below.
-    """
+    """parts: __tokens, __p0, ... The steps, the totals wanted and the totals met."""
     k = range(len(DOMAINS))
-    sums = parts.agg(*(F.coalesce(F.sum(F.expr(f"__tokens * __p{i}")), F.lit(0.0)).alias(f"s{i}") for i in k), *(F.coalesce(F.sum(F.expr(f"__tokens * __p{i} * __p{j}")), F.lit(0.0)).alias(f"g{i}_{j}") for i in k for j in k)).first()
-    now = [sums[f"s{i}"] for i in k]
-    if not sum(now):
-        return [], now, now
-    ridge = 1e-9 * sum(now)
-    back = inverse([[sums[f"g{i}_{j}"] + ridge * (i == j) for j in k] for i in k])
-    whole = min(now[i] / target[d] for i, d in enumerate(DOMAINS) if target[d] > 0 and now[i] > 1e-9 * sum(now))
-    wanted = [whole * target[d] for d in DOMAINS]
+
+    def totals(steps):
+        """Of each domain at these rates, and G over the documents that have a rate."""
+        row = parts.select("*", rate(steps).alias("__r")).agg(
+            *(F.coalesce(F.sum(F.expr(f"__r * __tokens * __p{i}")), F.lit(0.0)).alias(f"s{i}") for i in k),
+            *(F.coalesce(F.sum(F.expr(f"IF(__r > 0, __tokens * __p{i} * __p{j}, 0D)")), F.lit(0.0)).alias(f"g{i}_{j}") for i in k for j in k if i <= j),
+        ).first()
+        return [row[f"s{i}"] for i in k], [[row[f"g{min(i, j)}_{max(i, j)}"] for j in k] for i in k]
+
     steps: list[list[float]] = []
-    met = now
+    met, g = totals(steps)
+    if not sum(met):
+        return [], met, met
+    anchor = DOMAINS.index(ANCHOR)
+    whole = met[anchor] / target[ANCHOR] if met[anchor] > 1e-9 * sum(met) and target[ANCHOR] > 0 else sum(met)
+    wanted = [whole * target[d] for d in DOMAINS]
+    miss = lambda met: [a - b for a, b in zip(met, wanted)]
     for _ in range(STEPS):
-        miss = [a - b for a, b in zip(met, wanted)]
-        if max(map(abs, miss)) <= CLOSE * whole:
+        left = miss(met)
+        if max(map(abs, left)) <= CLOSE * whole:
+            break
+        back = inverse([[g[i][j] + 1e-9 * whole * (i == j) for j in k] for i in k])
+        step = [sum(back[i][j] * left[j] for j in k) for i in k]
+        for _ in range(4):
+            new, new_g = totals([*steps, step])
+            if sum(x * x for x in miss(new)) < sum(x * x for x in left):
+                break
+            step = [x / 2 for x in step]
+        else:
             break
-        steps.append([sum(back[i][j] * miss[j] for j in k) for i in k])
-        row = parts.select("*", rate(steps).alias("__r")).agg(*(F.sum(F.expr(f"__r * __tokens * __p{i}")).alias(f"s{i}") for i in k)).first()
-        met = [row[f"s{i}"] for i in k]
+        steps, met, g = [*steps, step], new, new_g
     return steps, wanted, met
 
 
