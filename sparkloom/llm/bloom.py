@@ -31,11 +31,30 @@ def build(keys: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     )
 
 
-def passing(df: DataFrame, h: Column, bits: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """Rows of df whose key hash may be in the filter (no row of a listed key is lost)."""
+def _hit() -> Column:
     hit = F.lit(True)
     for i in range(WORDS):
         hit &= F.expr(f"(shiftrightunsigned(__w{i}, cast(pmod(shiftrightunsigned(xxhash64(__h, 7), {6 * i}), 64) as int)) & 1) = 1")
+    return hit
+
+
+def without(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows of df whose id is not in ids (one column, no repeats).
+
+    Only rows that the filter cannot clear meet the exact anti-join; all others stay
+    where they are, without a shuffle.
+    """
+    gone = ids.columns[0]
+    bits = build(ids.select(F.xxhash64(gone).alias("__k")))
+    marked = df.withColumn("__h", F.xxhash64(id_col)).withColumn("__block", _block(F.col("__h"), BLOCKS)).join(F.broadcast(bits), "__block", "left").withColumn("__hit", F.coalesce(_hit(), F.lit(False)))
+    clear = marked.where("NOT __hit").select(*df.columns)
+    doubtful = marked.where("__hit").select(*df.columns)
+    return clear.unionByName(doubtful.join(ids, doubtful[id_col].eqNullSafe(ids[gone]), "left_anti"))
+
+
+def passing(df: DataFrame, h: Column, bits: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """Rows of df whose key hash may be in the filter (no row of a listed key is lost)."""
+    hit = _hit()
     return (
         df.withColumn("__h", h)
         .withColumn("__block", _block(F.col("__h"), blocks))

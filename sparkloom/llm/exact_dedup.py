@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bloom
-from sparkloom.llm.common import table, text_of
+from sparkloom.llm.common import staged, table, text_of
 
 PREFIX = 256
 #: Single spaces stay as they are, so that the pattern matches rarely.
@@ -69,7 +69,7 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bits = bloom.build(found.select(F.xxhash64("__n", "__p").alias("__k")))
     repeated = bloom.passing(keyed, F.xxhash64("__n", "__p"), bits).select("__id", "__n", "__p", F.sha2("__t", 256).alias("__sha"))
     dropped = repeated.join(found, ["__n", "__p", "__sha"]).where(~F.col("__id").eqNullSafe(F.col("keep_id"))).select("__id").distinct()
-    return docs.join(dropped, docs[id_col].eqNullSafe(dropped["__id"]), "left_anti")
+    return bloom.without(docs, id_col, staged(dropped, "dropped"))
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

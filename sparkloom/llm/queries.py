@@ -6,7 +6,9 @@ from importlib import import_module
 
 NAMES = {
     "op1_exact_dedup": "exact_dedup",
+    "op2_ngram_join": "ngram_join",
     "op3_license_scan": "license_scan",
+    "op4_mixing": "mixing",
     "op5_language_id": "language_id",
     "op6_bpe_codec": "bpe_codec",
     "op7_token_files": "token_files",
