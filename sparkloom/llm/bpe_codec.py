@@ -31,6 +31,7 @@ import re
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -203,16 +204,22 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
 
 def token_ids(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, ids (array of int), decoded (text)."""
+    """One row per document: id, n_tokens, ids (array of int), decoded_sha256."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         c = codec(vocabulary)
-        for batch in batches:
-            both = [c.encoded(text.as_py()) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([[int(i) for i in a.split()] for a, _ in both], pa.list_(pa.int32())), pa.array([b for _, b in both], pa.string())], names=[id_col, "ids", "decoded"])
-
-    return docs.select(id_col, text_of(text_col).alias("__t")).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                both = [c.encoded(text.as_py()) for text in batch.column(1)]
+                ids = [np.fromstring(a, np.int32, sep=" ") if a else np.zeros(0, np.int32) for a, _ in both]
+                ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids), pa.int32()))
+                digests = pa.array([hashlib.sha256(b.encode()).hexdigest() for _, b in both], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(len, ids)), pa.int64()), lists, digests], names=[id_col, "n_tokens", "ids", "decoded_sha256"])
+
+    return docs.select(id_col, text_of(text_col).alias("__t")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids array<int>, decoded_sha256 string")
 
 
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from sparkloom.llm.common import staged, table, text_of
 DOMAINS = ("good", "poor", "toxic")
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'good' ELSE 'poor' END"
 #: Shares of the tokens to have, by domain.
-TARGET, ANCHOR = {"good": 0.96, "poor": 0.025, "toxic": 0.015}, "good"
+TARGET, ANCHOR = {"good": 0.94, "poor": 0.03, "toxic": 0.03}, "good"
 #: Words count if twice their information is past GAIN (a G-test with two degrees of freedom at 0.0001).
 SAMPLE, VOCABULARY, GAIN, STEPS, CLOSE = 8_000, 256, 18.4, 24, 1e-6
 SIGNS = "#$%&*!|=<>{}"
