@@ -105,7 +105,7 @@ class Automaton:
                 if t not in self.made:
                     break
                 until, t, _ = self.made[t]
-            if len(self.arcs) > 500_000:
+            if len(self.arcs) > 100_000:
                 self.arcs.clear()
             self.arcs[state, token] = known
         return known

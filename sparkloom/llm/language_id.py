@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from sparkloom.llm.common import table
 
 SAMPLE_DOCS, CHARS, MODEL_CHARS, ALPHABET, LANGUAGES = 96, 20_000, 400_000, 60, 200
-BLOCK, LANES = 1024, 8192
+BLOCK, LANES = 1024, 4096
 NONE, OTHER = 0, 1  # codes: not a letter (runs count once), a letter outside the alphabet
 DEAD, ROOT = 0, 1
 
@@ -164,6 +164,13 @@ class Model:
         return names, scores
 
 
+def pieces(batches, rows: int = 1000):
+    """Batches cut small, to bound what a worker holds."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
@@ -190,7 +197,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             names, scores = shared.value.predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[id_col, "held_out", "lang_pred", "score"])
 
@@ -204,7 +211,7 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     place = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             names, _ = shared.value.predict(batch.column(place).to_pylist())
             yield batch.filter(pa.array([x != "und" for x in names]))
 

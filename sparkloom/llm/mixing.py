@@ -9,7 +9,7 @@ expected tokens of each domain, sum(r x tokens x probability), meet the targets:
 The step is the gradient of the misfit weighted by G^-1 in the metric of tokens, whose
 Lipschitz constant is 1 over the documents that still have a rate; a step that makes
 the misfit larger is halved. The total is such that the ANCHOR domain keeps its
-tokens. Each step is one aggregation over a narrow table of (tokens,
+tokens. Targets are shares by domain; by default they follow from CHANGE. Each step is one aggregation over a narrow table of (tokens,
 probabilities); only as many numbers as there are domains reach the driver. A rate is
 thus a function of the probabilities, so that it needs no join.
 
@@ -35,8 +35,8 @@ from sparkloom.llm.common import staged, table, text_of
 
 DOMAINS = ("good", "poor", "toxic")
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'good' ELSE 'poor' END"
-#: Shares of the tokens to have, by domain.
-TARGET, ANCHOR = {"good": 0.94, "poor": 0.03, "toxic": 0.03}, "good"
+#: Default targets, as factors of the tokens that each domain has now; shares may be given instead.
+CHANGE, ANCHOR = {"good": 1.0, "poor": 0.5, "toxic": 0.5}, "good"
 #: Words count if twice their information is past GAIN (a G-test with two degrees of freedom at 0.0001).
 SAMPLE, VOCABULARY, GAIN, STEPS, CLOSE = 8_000, 256, 18.4, 24, 1e-6
 SIGNS = "#$%&*!|=<>{}"
@@ -159,7 +159,7 @@ def rate(steps: list[list[float]]) -> Column:
     return F.expr(r)
 
 
-def solve(parts: DataFrame, target: dict[str, float] = TARGET) -> tuple[list[list[float]], list[float], list[float]]:
+def solve(parts: DataFrame, target: dict[str, float] | None = None) -> tuple[list[list[float]], list[float], list[float]]:
     """parts: __tokens, __p0, ... The steps, the totals wanted and the totals met."""
     k = range(len(DOMAINS))
 
@@ -175,6 +175,9 @@ def solve(parts: DataFrame, target: dict[str, float] = TARGET) -> tuple[list[lis
     met, g = totals(steps)
     if not sum(met):
         return [], met, met
+    if target is None:
+        changed = [CHANGE[d] * m for d, m in zip(DOMAINS, met)]
+        target = {d: x / sum(changed) for d, x in zip(DOMAINS, changed)}
     anchor = DOMAINS.index(ANCHOR)
     whole = met[anchor] / target[ANCHOR] if met[anchor] > 1e-9 * sum(met) and target[ANCHOR] > 0 else sum(met)
     wanted = [whole * target[d] for d in DOMAINS]
@@ -196,14 +199,14 @@ def solve(parts: DataFrame, target: dict[str, float] = TARGET) -> tuple[list[lis
     return steps, wanted, met
 
 
-def rates(docs: DataFrame, labels: DataFrame, target: dict[str, float] = TARGET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def rates(docs: DataFrame, labels: DataFrame, target: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_tokens, p_<domain>, rate."""
     parts = staged(memberships(docs, fit(docs, labels, id_col, text_col), text_col, [id_col]), "mixing")
     steps, _, _ = solve(parts, target)
     return parts.select(id_col, F.col("__tokens").cast("long").alias("n_tokens"), *(F.round(F.col(f"__p{i}"), 6).alias(f"p_{d}") for i, d in enumerate(DOMAINS)), F.round(rate(steps), 6).alias("rate"))
 
 
-def mixed(docs: DataFrame, labels: DataFrame, target: dict[str, float] = TARGET, id_col: str = "doc_id", text_col: str = "text", repeat: bool = False, seed: int = 0) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, target: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", repeat: bool = False, seed: int = 0) -> DataFrame:
     """The documents that the rates choose, with all their columns: each stays with
     probability rate (by the hash of its id); with repeat, rates above 1 give copies."""
     model = fit(docs, labels, id_col, text_col)
