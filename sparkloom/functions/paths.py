@@ -5,8 +5,10 @@ from __future__ import annotations
 import posixpath
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def normalize_path(path: Column) -> Column:
@@ -156,11 +158,10 @@ def clean_target(raw: Column) -> Column:
 
 def resolved_target(including: Column, raw: Column) -> Column:
     """A relative target against the file that names it; dot segments are folded in Arrow batches."""
-    import pandas as pd
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def fold(paths: pd.Series) -> pd.Series:
-        return paths.map(lambda p: None if p is None else posixpath.normpath(p).lstrip("/") if not p.startswith("//") else posixpath.normpath(p[1:]))
+        return paths.map(lambda p: None if p is None else posixpath.normpath(p).lstrip("/"))
 
     target = clean_target(raw)
     return fold(F.when(F.startswith(target, F.lit("/")), target).otherwise(F.concat_ws("/", parent_path(including), target)))

@@ -60,7 +60,7 @@ def clean_statement(sql: Column) -> Column:
 
 def split_batches(sql: Column) -> Column:
     """At lines that hold GO alone."""
-    return F.filter(F.transform(F.split(sql, r"(?im)^[ \t]*GO[ \t]*$"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(sql, r"(?im)^[ \t]*GO[ \t]*$"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
 
 
 #: The statement classes, by how a statement starts; the first that fits counts.

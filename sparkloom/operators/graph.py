@@ -104,4 +104,4 @@ def merged_groups(groups: DataFrame) -> DataFrame:
                     into[k] |= own[k]
         return pd.DataFrame({"key": [x["key"] for x in kept], **{k: [",".join(sorted(x[k])) for x in kept] for k in ("routes", "tables", "roles")}})
 
-    return groups.groupBy(F.lit(1)).applyInPandas(lambda pdf: fold(pdf), "key string, routes string, tables string, roles string")
+    return groups.groupBy().applyInPandas(fold, "key string, routes string, tables string, roles string")
