@@ -120,10 +120,11 @@ class Model:
             s = state[:, :active]
             to = self.table[s + codes]
             miss = to == DEAD
-            count[:, :active] += miss
+            #: A miss ends the phrase; a code that no phrase can start with is one of its own.
             again = self.table[self.roots[:, None] + codes]
-            again = np.where(again == DEAD, self.roots[:, None], again)
-            state[:, :active] = np.where(miss, again, to)
+            alone = again == DEAD
+            count[:, :active] += miss.astype(np.int32) + (miss & alone & (s != self.roots[:, None]))
+            state[:, :active] = np.where(miss, np.where(alone, self.roots[:, None], again), to)
         #: The phrase under way when a lane ends counts too.
         return count + (state != self.roots[:, None]) * np.ones((n, 1), np.int32)
 
