@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.functions import checks, classify, extract, paths, scoring, text
-from sparkloom.operators import aggregate, assemble, gates, graph, inventory, linking, vectors
+from sparkloom.functions import checks, classify, ddl, extract, paths, scoring, text
+from sparkloom.operators import aggregate, assemble, configs, gates, graph, inventory, linking, pages, reports, security, vectors
 from sparkloom.plans import model, render
 from sparkloom.streaming import progress
 
@@ -608,3 +608,80 @@ def accuracy_overlap(spark, d):
     t = model.table(spark, d, "documents").select(F.substring("text", 1, 20).alias("k")).distinct()
     row = lambda df, name: df.agg(F.count("*").alias(name))
     return row(b.intersect(t), "both_sides").crossJoin(row(b.subtract(t), "only_benchmark")).crossJoin(row(b, "total"))
+
+
+# Reports
+
+
+@query(f"WITH {model.ROUTES}, s AS (SELECT list_filter(string_split(path, '/'), lambda x: x <> '') AS p FROM routes), k AS (SELECT 1 AS level, p[1] AS key FROM s UNION ALL SELECT 2, CASE WHEN len(p) > 1 THEN p[1] || '/' || p[2] END FROM s) SELECT level, key, count(*) AS n FROM k WHERE key IS NOT NULL GROUP BY 1, 2")
+def segment_report(spark, d):
+    return reports.segments(model.routes(spark, d), F.col("path"))
+
+
+@query(f"WITH {_SEGMENTED} SELECT domain, count(*) AS n FROM m GROUP BY 1")
+def domain_report(spark, d):
+    return reports.by_domain(model.routes(spark, d), F.col("path"))
+
+
+@query("WITH c AS (SELECT CASE WHEN contains(url, '/en/') THEN 'english' WHEN starts_with(url, 'https') THEN 'secure' ELSE 'other' END AS category FROM pages) SELECT category, count(*) AS n, round(100.0::double * count(*) / (SELECT count(*) FROM c), 2) AS percent FROM c GROUP BY 1")
+def category_report(spark, d):
+    return reports.categorized(model.table(spark, d, "pages"), [("english", F.contains("url", F.lit("/en/"))), ("secure", F.startswith("url", F.lit("https")))])
+
+
+@query(f"WITH {model.RELATIONS}, e AS (SELECT 'customer_' || c_custkey AS id, c_mktsegment AS type FROM customer UNION ALL SELECT 'part_' || p_partkey, p_brand FROM part) SELECT a.type AS from_type, r.type, b.type AS to_type, count(*) AS n FROM relations r JOIN e a ON a.id = from_id JOIN e b ON b.id = to_id GROUP BY 1, 2, 3")
+def endpoint_report(spark, d):
+    c = model.table(spark, d, "customer").select(F.concat(F.lit("customer_"), "c_custkey").alias("id"), F.col("c_mktsegment").alias("type"))
+    p = model.table(spark, d, "part").select(F.concat(F.lit("part_"), "p_partkey").alias("id"), F.col("p_brand").alias("type"))
+    return reports.endpoints(model.relations(spark, d), c.unionByName(p))
+
+
+@query("SELECT DISTINCT o_orderpriority AS value FROM orders ORDER BY 1 LIMIT 200")
+def distinct_values(spark, d):
+    return reports.distinct_values(model.table(spark, d, "orders"), "o_orderpriority")
+
+
+@query(f"WITH {model.RELATIONS}, k AS (SELECT id, type FROM relations WHERE confidence >= 0.97) SELECT type, count(*) AS n FROM relations WHERE id NOT IN (SELECT id FROM k) GROUP BY 1")
+def relation_audit(spark, d):
+    r = model.relations(spark, d)
+    return gates.relation_audit(r, graph.gated(r, 0.97))
+
+
+@query("SELECT 'customer_' || c_custkey AS from_id, 'role_' || c_mktsegment AS to_id, 'securedBy' AS type, 0.9::double AS confidence FROM customer")
+def role_edges(spark, d):
+    c = model.table(spark, d, "customer").select(F.concat(F.lit("customer_"), "c_custkey").alias("source_id"), F.lit("class").alias("place"), F.concat(F.lit("ROLE_"), "c_mktsegment").alias("role"))
+    return security.role_edges(c).select("from_id", "to_id", "type", "confidence")
+
+
+@query("WITH r AS (SELECT c_mktsegment AS role, count(*) AS n, min('customer_' || c_custkey) AS example FROM customer GROUP BY 1) SELECT role, n, example, CASE WHEN role = upper(role) THEN 'constant' ELSE 'named' END AS category FROM r ORDER BY n DESC, role LIMIT 10")
+def security_summary(spark, d):
+    return security.summary(role_edges(spark, d))
+
+
+@query(f"WITH {model.ROUTES}, {model.LINKS}, r AS (SELECT DISTINCT 'w_' || (page_id % 40) AS id, path AS action FROM routes), k AS (SELECT id, regexp_replace(regexp_replace(action, '[.](?:do|action|jsp)$', ''), '^/+|/+$', '', 'g') AS k FROM r), t AS (SELECT DISTINCT 'page_' || page_id AS page, href, regexp_replace(regexp_replace(regexp_replace(href, '[?#;].*$', ''), '[.](?:do|action|jsp)$', ''), '^/+|/+$', '', 'g') AS k FROM links), e AS (SELECT page, href, min(id) AS id FROM t JOIN k USING (k) WHERE k <> '' GROUP BY 1, 2), s AS (SELECT page, href, min(b.id) AS id FROM t JOIN k b ON b.k <> '' AND t.k <> '' AND regexp_extract(b.k, '([^/]*)$', 1) = regexp_extract(t.k, '([^/]*)$', 1) WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.page = t.page AND e.href = t.href) GROUP BY 1, 2) SELECT page AS from_id, id AS to_id, 'equal' AS tier, count(*) AS n FROM e GROUP BY 1, 2 UNION ALL SELECT page, id, 'segment', count(*) FROM s GROUP BY 1, 2")
+def page_calls(spark, d):
+    r = model.routes(spark, d).select(F.concat(F.lit("w_"), F.col("page_id") % 40).alias("id"), F.col("path").alias("action")).distinct()
+    t = model.page_links(spark, d).select(F.concat(F.lit("page_"), "page_id").alias("page"), F.col("href").alias("token"))
+    return pages.calls(t, r).groupBy("from_id", "to_id", "tier").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_STATEMENTS}, t AS (SELECT id, unnest(regexp_extract_all(sql, '(?i)\\b(?:FROM|JOIN|INTO|UPDATE)\\s+([\\w.#]+)', 1)) AS t FROM st) SELECT DISTINCT id, t AS table_name FROM t WHERE length(t) > 2")
+def sql_touched(spark, d):
+    return statements(spark).select("id", F.explode(ddl.tables_of(F.col("sql"))).alias("table_name"))
+
+
+@query("SELECT 6 AS id, 'hr.people' AS name, 'id' AS column_name, 'INT' AS type, NULL AS \"default\" WHERE false UNION ALL SELECT 4, 'hr.people', 'id', 'INT', NULL UNION ALL SELECT 4, 'hr.people', 'at', 'DATETIME', 'GETDATE()'")
+def ddl_columns(spark, d):
+    rows = statements(spark).select("id", ddl.table_of(F.col("sql")).alias("t")).where("t.name IS NOT NULL")
+    return rows.select("id", "t.name", F.explode("t.columns").alias("c")).select("id", "name", F.col("c.name").alias("column_name"), F.col("c.type").alias("type"), F.col("c.default").alias("default"))
+
+
+WEB_XML = """<web-app xmlns="x"><servlet><servlet-name>a</servlet-name><servlet-class>c.Old</servlet-class></servlet><servlet><servlet-name>a</servlet-name><servlet-class>c.A</servlet-class></servlet>
+<servlet-mapping><servlet-name>a</servlet-name><url-pattern>/a/*</url-pattern></servlet-mapping><servlet-mapping><servlet-name>missing</servlet-name><url-pattern>/m</url-pattern></servlet-mapping>
+<filter><filter-name>f</filter-name><filter-class>c.F</filter-class></filter><filter><filter-name>g</filter-name><filter-class>c.G</filter-class></filter><filter-mapping><filter-name>f</filter-name><url-pattern>/*</url-pattern></filter-mapping>
+<error-page><error-code>404</error-code><location>/e.jsp</location></error-page><session-config><session-timeout>30</session-timeout></session-config></web-app>"""
+
+
+@query("SELECT * FROM (VALUES ('/a/*', 'c.A', 'servlet'), ('/*', 'c.F', 'filter'), ('g', 'c.G', 'filter'), ('404', '/e.jsp', 'exception')) AS v(from_reference, to_reference, mapping_type)")
+def config_mappings(spark, d):
+    docs = spark.createDataFrame([("web.xml", WEB_XML)], "path string, text string")
+    return configs.servlet_mappings(docs).unionByName(configs.filter_mappings(docs)).unionByName(configs.error_pages(docs)).select("from_reference", "to_reference", "mapping_type")
