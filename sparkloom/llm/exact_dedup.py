@@ -18,6 +18,8 @@ from sparkloom.llm import bloom
 from sparkloom.llm.common import staged, table, text_of
 
 PREFIX = 256
+#: Groups that may count as large, and the shares that their rows are dealt out to.
+HOT, SALTS = 4096, 64
 #: Single spaces stay as they are, so that the pattern matches rarely.
 RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
@@ -42,17 +44,31 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pref
     )
 
 
+def matched(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """rows (__n, __p, __sha, __id) joined to their groups, a staged table.
+
+    At most HOT groups can hold more than one row in HOT of all rows; so their keys have a
+    bounded broadcast, and their rows are dealt out over SALTS shares of the key.
+    """
+    total = found.agg(F.sum("group_size")).first()[0] or 0
+    keys = ["__n", "__p", "__sha"]
+    hot = found.where(F.col("group_size") >= max(64, total // HOT))
+    salted = hot.select(*keys, "keep_id", "group_size", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    cold = found.where(F.col("group_size") < max(64, total // HOT)).select(*keys, "keep_id", "group_size", F.lit(0).alias("__salt"))
+    marked = rows.join(F.broadcast(hot.select(*keys, F.lit(True).alias("__hot"))), keys, "left")
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64("__id"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    return marked.withColumn("__salt", salt).join(salted.unionByName(cold), [*keys, "__salt"], how)
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256.
 
-    The join's group side holds one row per repeated text; a group with a third of
-    all rows is split by the adaptive skew join on the document side.
-    """
-    found = groups(docs, id_col, text_col, prefix)
+    Only narrow rows are shuffled; those of large groups are salted."""
+    found = staged(groups(docs, id_col, text_col, prefix), "dedup-groups")
     t = docs.select(F.col(id_col), normalised(text_col).alias("__t"))
     rows = t.select(F.col(id_col), F.octet_length("__t").alias("__n"), F.xxhash64(F.substring("__t", 1, prefix)).alias("__p"), F.sha2("__t", 256).alias("__sha"))
     keep = F.when(F.col("group_size").isNull(), F.col(id_col)).otherwise(F.col("keep_id"))
-    return rows.join(found, ["__n", "__p", "__sha"], "left").select(
+    return matched(rows.withColumn("__id", F.col(id_col)), found, "left").select(
         id_col,
         keep.alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
@@ -63,12 +79,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX) -> DataFrame:
     """The documents that stay, with all their columns. Texts are not shuffled: the dropped ids are."""
-    found = groups(docs, id_col, text_col, prefix)
+    found = staged(groups(docs, id_col, text_col, prefix), "dedup-groups")
     t = docs.select(F.col(id_col).alias("__id"), normalised(text_col).alias("__t"))
     keyed = t.select("__id", F.octet_length("__t").alias("__n"), F.xxhash64(F.substring("__t", 1, prefix)).alias("__p"), "__t")
     bits = bloom.build(found.select(F.xxhash64("__n", "__p").alias("__k")))
     repeated = bloom.passing(keyed, F.xxhash64("__n", "__p"), bits).select("__id", "__n", "__p", F.sha2("__t", 256).alias("__sha"))
-    dropped = repeated.join(found, ["__n", "__p", "__sha"]).where(~F.col("__id").eqNullSafe(F.col("keep_id"))).select("__id").distinct()
+    dropped = matched(repeated, found, "inner").where(~F.col("__id").eqNullSafe(F.col("keep_id"))).select("__id").distinct()
     return bloom.without(docs, id_col, staged(dropped, "dropped"))
 
 
