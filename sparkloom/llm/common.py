@@ -35,11 +35,22 @@ def shared_dir(spark: SparkSession) -> str:
     return name.rstrip("/")
 
 
+def _staging(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/staged-{spark.sparkContext.applicationId}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged; to be called when its results are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back.
 
-    Cuts the lineage: what was written survives the loss of any executor.
+    Cuts the lineage: what was written survives the loss of any executor. Results are
+    lazy, so the tables stay until clear_staged.
     """
-    path = f"{shared_dir(df.sparkSession)}/staged/{label}-{uuid.uuid4().hex}"
+    path = f"{_staging(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sparkloom.llm import mixing, ngram_join
-from sparkloom.llm.common import table
+from sparkloom.llm.common import clear_staged, staged, table
 
 
 def labels(spark, rows):
@@ -89,3 +89,13 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
 def test_run(spark, sf_dir):
     got = corpus_pipeline.run(spark, sf_dir).collect()
     assert got and all(len(r.ids) == r.n_tokens for r in got)
+
+
+def test_staged_tables_are_cleared(spark):
+    df = staged(spark.range(3), "x")
+    assert df.count() == 3
+    clear_staged(spark)
+    try:
+        assert spark.read.parquet(df.inputFiles()[0]).count() < 0
+    except Exception as e:
+        assert "PATH_NOT_FOUND" in str(e)
