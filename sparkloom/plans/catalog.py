@@ -450,10 +450,11 @@ def relation_dedup(spark, d):
 @query(f"WITH {model.ROUTES}, t AS (SELECT page_id, path FROM routes), f AS (SELECT page_id AS target, path, host FROM routes), l AS (SELECT r.page_id, 1 AS rank, min(f.target) AS target FROM routes r JOIN f ON f.host || f.path = r.host || r.path AND f.target <> r.page_id GROUP BY 1 UNION ALL SELECT r.page_id, 2, min(f.target) FROM routes r JOIN (SELECT path, min(target) AS target FROM f WHERE path <> '' GROUP BY 1) f ON f.path = r.path GROUP BY 1) SELECT page_id, arg_min(target, rank) AS target, CASE min(rank) WHEN 1 THEN 'exact' ELSE 'path' END AS tier FROM l GROUP BY 1")
 def link_ladder(spark, d):
     r = model.routes(spark, d)
-    # Exact: another page of the same host and path; else the least page with the same path.
-    twins = r.groupBy("host", "path").agg(F.sort_array(F.collect_set("page_id")).alias("ids")).where(F.size("ids") > 1)
-    left = r.select("page_id", "host", "path")
-    exact = left.join(twins, ["host", "path"]).select("page_id", F.array_min(F.expr("filter(ids, x -> x != page_id)")).alias("target"), F.lit("exact").alias("tier"))
+    # Exact: the least other page of the same host and path; else the least page with the same path.
+    left, twin = r.select("page_id", "host", "path"), ["host", "path"]
+    least = left.groupBy(*twin).agg(F.min("page_id").alias("m1"))
+    second = left.join(least, twin).where("page_id != m1").groupBy(*twin).agg(F.min("page_id").alias("m2"))
+    exact = left.join(least, twin).join(second, twin).select("page_id", F.when(F.col("page_id") == F.col("m1"), F.col("m2")).otherwise(F.col("m1")).alias("target"), F.lit("exact").alias("tier"))
     rest = left.join(exact.select("page_id"), "page_id", "left_anti")
     right = r.select(F.col("page_id").alias("target"), F.col("path").alias("p")).where("p != ''")
     by_path = linking.ladder(rest, right, [("path", lambda x: F.nullif(F.col("path"), F.lit("")), lambda x: F.col("p"))], "page_id", "target")
