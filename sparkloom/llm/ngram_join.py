@@ -43,7 +43,7 @@ from sparkloom.llm.memo import Memo
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
 RATES = (1.6, 1.3, 1.3)
-LIMIT, RANGES, LIKELY = 2048, 64, 0.5
+LIMIT, RANGES, LIKELY = 1024, 64, 0.5
 CHUNK = 1 << 15
 U = np.uint64
 C1, C2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)

@@ -85,7 +85,7 @@ def test_join_edges(spark):
     assert ngram_join.join(docs(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("limit", [2048, 8])
+@pytest.mark.parametrize("limit", [ngram_join.LIMIT, 8])
 def test_join_against_brute_force(spark, limit):
     """Families of near copies around the threshold, a hot passage, and a large family."""
     r = random.Random(limit)
