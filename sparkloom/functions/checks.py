@@ -112,3 +112,22 @@ def encoding_of(content: Column) -> Column:
 def decoded(contents: pd.Series, encodings: pd.Series) -> pd.Series:
     """Bytes in the encoding named; what does not decode is replaced."""
     return pd.Series([None if c is None else bytes(c).decode(e or "utf-8", "replace").lstrip("﻿") for c, e in zip(contents, encodings)])
+
+
+def syntax_issues(language: Column, text: Column) -> Column:
+    """Names of the checks of its language that a text fails."""
+    subs, ends = vb_subs(text)
+    rules = (
+        ("java", "braces", brace_depth(text) != 0),
+        ("java", "imports", F.size(java_imports_bad(text)) > 0),
+        ("java", "no_type", ~text.rlike(r"\b(?:class|interface|enum|@interface)\s+\w+")),
+        ("jsp", "scriptlets", scriptlet_balance(text) != 0),
+        ("jsp", "expressions", el_balance(text) != 0),
+        ("xml", "tags", unclosed_tag(text).isNotNull()),
+        ("xml", "declaration", F.regexp_count(text, F.lit(r"<\?xml\s")) > 1),
+        ("sql", "comments", sql_comment_balance(text) != 0),
+        ("sql", "quotes", F.regexp_count(text, F.lit("'")) % 2 != 0),
+        ("html", "comments", comment_balance(text) != 0),
+        ("vbscript", "subs", subs != ends),
+    )
+    return F.array_compact(F.array(*(F.when((language == k) & test, F.lit(name)) for k, name, test in rules)))

@@ -72,3 +72,12 @@ def confidence_boost(mean: Column, n: Column, full: float = 0.05) -> Column:
 def complexity_level(subqueries: Column, joins: Column, unions: Column, cases: Column, windows: Column, ctes: Column) -> Column:
     total = subqueries * 2 + joins + unions * 2 + cases + windows * 3 + ctes * 2
     return F.when(total == 0, "simple").when(total <= 5, "moderate").when(total <= 15, "complex").otherwise("very_complex")
+
+
+def page_class(text: Column) -> tuple[Column, Column, Column]:
+    """Kind, confidence and complexity of a server page, from weighted counts of what it holds."""
+    forms, scripts, tags, loops = (count_of(text, p) for p in (r"<form\b|<\w+:form\b", r"<%(?![@=!-])", r"<\w+:\w+", r"<c:forEach\b|<logic:iterate\b|\bfor\s*\("))
+    kind = F.when(forms > 0, "form").when(loops > 0, "list").when(text.rlike(r"(?i)<\w*:?include\b|<%@\s*include"), "layout").otherwise("view")
+    confidence = F.least(F.lit(0.95), 0.7 + F.when(forms > 0, 0.1).otherwise(0.0) + F.when(tags > 0, 0.1).otherwise(0.0) + F.when(loops > 0, 0.05).otherwise(0.0))
+    weight = forms * 3 + scripts * 2 + tags + loops * 2
+    return kind, confidence, F.when(weight < 5, "simple").when(weight > 20, "complex").otherwise("moderate")

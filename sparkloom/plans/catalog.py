@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.functions import checks, classify, ddl, extract, paths, scoring, text
-from sparkloom.operators import aggregate, assemble, configs, gates, graph, inventory, linking, pages, reports, security, vectors
+from sparkloom.operators import aggregate, assemble, code, configs, gates, graph, inventory, linking, pages, reports, security, vectors
 from sparkloom.plans import model, render
 from sparkloom.streaming import progress
 
@@ -686,3 +686,36 @@ WEB_XML = """<web-app xmlns="x"><servlet><servlet-name>a</servlet-name><servlet-
 def config_mappings(spark, d):
     docs = spark.createDataFrame([("web.xml", WEB_XML)], "path string, text string")
     return configs.servlet_mappings(docs).unionByName(configs.filter_mappings(docs)).unionByName(configs.error_pages(docs)).select("from_reference", "to_reference", "mapping_type")
+
+
+CODE = '''package a.b;
+@Path("/emp") @Service
+public class Emp extends Base implements Run {
+  @Autowired private EmpManager manager;
+  @OneToMany(mappedBy = "x") private List<Order> orders;
+  @RolesAllowed({"A", "B"}) @GET @Path("/all") public String all() { Util.go(); return "SELECT a FROM t"; }
+}'''
+
+
+@query("SELECT * FROM (VALUES ('extends', 'Base'), ('implements', 'Run'), ('injects', 'EmpManager'), ('OneToMany', 'Order'), ('component', 'Service'), ('static_call', 'Util.go'), ('secured', 'A'), ('secured', 'B')) AS v(mapping_type, to_reference)")
+def code_edges(spark, d):
+    docs = spark.createDataFrame([("Emp.java", CODE)], "path string, text string")
+    return code.code_mappings(docs).select("mapping_type", "to_reference").distinct()
+
+
+@query("SELECT 'GET' AS verb, '/emp/all' AS full_path, 'all' AS method")
+def code_endpoints(spark, d):
+    docs = spark.createDataFrame([("Emp.java", CODE)], "path string, text string")
+    return code.endpoints(code.typed(docs)).select("verb", "full_path", "method")
+
+
+# Streams
+
+
+@query("SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d') AS day, count(*) AS processed, count(*) FILTER (event_type = 'error') AS failed FROM events GROUP BY 1")
+def stream_progress(spark, d):
+    schema = model.table(spark, d, "events").schema
+    # A pattern, as a plain path would have to be a folder.
+    events = spark.readStream.schema(schema).parquet(f"{d}/event[s].parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = progress.stream_counts(events, F.col("event_type") == "error")
+    return progress.drained(counts, "stream_progress").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "processed", "failed")

@@ -29,3 +29,16 @@ def stream_counts(events: DataFrame, failed: Column, ts: str = "ts", late: str =
 def new_files(spark: SparkSession, folder: str, schema, ts: str, key: str, late: str = "1 day") -> DataFrame:
     """Files that arrive in a folder, each key once within the watermark."""
     return spark.readStream.schema(schema).parquet(folder).withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
+
+
+def drained(stream: DataFrame, name: str) -> DataFrame:
+    """Run a stream of window counts over what is there now and return its windows (as many as there are days)."""
+    spark = stream.sparkSession
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    writer = stream.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True)
+    if base:
+        import uuid
+
+        writer = writer.option("checkpointLocation", f"{base.rstrip('/')}/streams/{name}-{uuid.uuid4().hex}")
+    writer.start().awaitTermination()
+    return spark.table(name)

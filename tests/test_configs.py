@@ -79,3 +79,36 @@ def test_extension_points(spark):
     kept = {}
     Stage("s", lambda d: {"in": d}, lambda t: {"out": t["in"].where("id > 0")}).run(lambda s, n, d: kept.update({(s, n): d.count()}), df)
     assert kept == {("s", "out"): 2} and with_plugins(df, [lambda d: d.limit(1)]).count() == 1
+
+
+CODE = '''package a.b;
+@Path("/emp") @Service
+public class Emp extends Base implements Run, java.io.Serializable {
+  @Autowired private EmpManager manager;
+  private OtherService other = null;
+  private int n;
+  @OneToMany(mappedBy = "x") private List<Order> orders;
+  @RolesAllowed({"A", "B"}) @GET @Path("/all") public String all() { Util.go(); manager.list(); return "SELECT a FROM t"; }
+  @POST public void save(String q) { st.execute(q); ctx.lookup("java:x"); if (r.isUserInRole("C")) {} String c = "{call p.q(?)}"; }
+  @Before("execution(* c.D.m(..))") void before() {}
+}'''
+
+
+def test_code_edges(spark):
+    from sparkloom.functions import checks, scoring
+    from sparkloom.operators import code
+
+    d = docs(spark, CODE, "Emp.java")
+    edges = {(r.mapping_type, r.to_reference) for r in code.code_mappings(d).collect()}
+    assert {("extends", "Base"), ("implements", "Run"), ("implements", "java.io.Serializable"), ("injects", "EmpManager"), ("references", "OtherService"), ("OneToMany", "Order"), ("component", "Service"), ("static_call", "Util.go"), ("instance_call", "manager.list"), ("lookup", "java:x"), ("secured", "A"), ("secured", "B"), ("security_check", "C"), ("advice", "c.D.m")} <= edges
+    assert ("references", "int") not in edges
+    assert {r.from_reference for r in code.code_mappings(d, ["c"]).collect()} == {"a.b.Emp"}
+    assert {(r.verb, r.full_path, r.method) for r in code.endpoints(code.typed(d)).collect()} == {("GET", "/emp/all", "all"), ("POST", "/emp", "save")}
+    assert {(r.kind, r.text, r.line) for r in code.sql_executions(code.typed(d)).collect()} == {("sql", "SELECT a FROM t", 8), ("procedure", "p.q", 9), ("dynamic", "q", 9)}
+    assert code.orchestrators(code.typed(d)).first()["score"] == 2
+    assert d.select(code.layer_of(F.col("text")).alias("x")).first()["x"] == "Service"
+    kind, confidence, level = scoring.page_class(F.col("text"))
+    page = docs(spark, "<form><c:forEach><c:out/></form>").select(kind.alias("k"), confidence.alias("c"), level.alias("l")).first()
+    assert tuple(page)[0] == "form" and abs(page.c - 0.95) < 1e-9 and page.l == "moderate"
+    bad = spark.createDataFrame([("java", "import x\nclass A {"), ("sql", "select 'a"), ("xml", "<a/>")], "l string, t string").select("l", checks.syntax_issues(F.col("l"), F.col("t")).alias("i"))
+    assert {r.l: r.i for r in bad.collect()} == {"java": ["braces", "imports"], "sql": ["quotes"], "xml": []}
