@@ -41,6 +41,8 @@ from sparkloom.llm.common import table, text_of
 from sparkloom.llm.memo import Memo
 
 NEVER = 1 << 60
+#: Answers about arcs that a worker keeps.
+ARCS = 250_000
 #: White space and the word pattern of the vocabulary.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PARTS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
@@ -75,10 +77,11 @@ class Automaton:
         self.made: dict[int, tuple[int, int, int]] = {}
         for rank, (u, v) in enumerate(merges):
             self.gadget(rank, vocab[u], vocab[v], vocab[u + v])
-        letters: dict[str, int] = {}
+        #: The longest token by its first letter.
+        self.longest: dict[str, int] = {}
         for t in vocab:
-            letters[t[0]] = max(letters.get(t[0], 0), len(t.removesuffix(suffix) if suffix else t))
-        self.longest = letters
+            self.longest[t[0]] = max(self.longest.get(t[0], 0), len(t.removesuffix(suffix) if suffix else t))
+        #: Answers about arcs; what is asked for again is kept, up to ARCS.
         self.arcs: dict[tuple[int, int], bool] = {}
 
     def gadget(self, rank: int, u: int, v: int, t: int) -> None:
@@ -97,22 +100,20 @@ class Automaton:
             until, _, state = self.made[state]
 
     def arc(self, state: int, token: int) -> bool:
-        known = self.arcs.get((state, token))
-        if known is None:
-            known, until, t = True, NEVER - 1, token
-            while known:
-                known = self.cut_at(state, t) > until
-                if t not in self.made:
-                    break
-                until, t, _ = self.made[t]
-            if len(self.arcs) > 100_000:
-                self.arcs.clear()
-            self.arcs[state, token] = known
-        return known
+        there, until, t = True, NEVER - 1, token
+        while there:
+            there = self.cut_at(state, t) > until
+            if t not in self.made:
+                break
+            until, t, _ = self.made[t]
+        if len(self.arcs) >= ARCS:
+            self.arcs.clear()
+        self.arcs[state, token] = there
+        return there
 
     def path(self, letters: str) -> list[int]:
         """The only path that spells a word, as token ids."""
-        n, vocab, arc = len(letters), self.vocab, self.arc
+        n, vocab, known = len(letters), self.vocab, self.arcs.get
         dead: set[tuple[int, int]] = set()
         #: Places, states and arc lengths of the path so far; longer arcs come first.
         tried: list[tuple[int, int, int]] = []
@@ -121,16 +122,22 @@ class Automaton:
             while length:
                 stop = at + length
                 t = vocab.get(letters[at:stop] if stop < n else letters[at:] + self.suffix)
-                if t is not None and (state < 0 or arc(state, t)) and (stop, t) not in dead:
-                    break
+                if t is not None:
+                    there = state < 0 or known((state, t))
+                    if there is None:
+                        there = self.arc(state, t)
+                    if there and not (dead and (stop, t) in dead):
+                        break
                 length -= 1
             if length:
                 tried.append((at, state, length))
                 at, state = stop, t
-                length = min(self.longest.get(letters[at], 1), n - at) if at < n else 0
+                if at < n:
+                    length = min(self.longest.get(letters[at], 1), n - at)
             elif tried:
                 dead.add((at, state))
                 at, state, length = tried.pop()
+                length -= 1
             else:
                 raise ValueError("the vocabulary does not spell this word")
         return [*(s for _, s, _ in tried[1:]), state] if tried else []
@@ -145,13 +152,15 @@ class Codec:
         self.letters = byte_letters()
         self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
         self.labels = self.automaton.label | {i: t for t, i in self.special.items()}
+        self.shown = {i: str(i) for i in self.labels}
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         #: word -> (ids, labels), each joined by blanks
         self.memo = Memo(self.both)
 
     def both(self, word: str) -> tuple[str, str]:
-        ids = self.automaton.path("".join([self.letters[b] for b in word.encode()]))
-        return " ".join(map(str, ids)), " ".join([self.labels[i] for i in ids])
+        #: Printable ASCII letters stand for themselves.
+        ids = self.automaton.path(word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()]))
+        return " ".join([self.shown[i] for i in ids]), " ".join([self.labels[i] for i in ids])
 
     @staticmethod
     def words(text: str) -> list[str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 #: Entries a Python worker keeps; when full it starts anew, so memory stays bounded.
-ENTRIES = 100_000
+ENTRIES = 150_000
 #: Longer keys are computed each time, so that the entries bound the bytes too.
 LONGEST = 64
 
