@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from sparkloom.llm.common import table, text_of
 
 #: Private-use characters: JOIN stands for a dot or blank that joins; a text's own JOIN becomes OTHER.
-JOIN, OTHER = "", ""
+JOIN, OTHER = "\ue000", "\ue001"
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns, over texts in which JOIN replaces joining dots or blanks.
 LABEL = "[A-Za-z0-9-]"
