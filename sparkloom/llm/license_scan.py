@@ -1,10 +1,11 @@
 """Licence scans by a positional rare-token index.
 
 Templates of licence lines are indexed as postings (word -> template, position).
-Each file looks up its licence words of highest inverse document frequency (taken
-over all files), turns every place of them into a relative position (place in the
-file less place in the template), and keeps relative positions with enough votes.
-There the template's mandatory key phrase must stand word for word.
+Each template posts the words of its mandatory key phrase of highest inverse document
+frequency (taken over all files). A file turns every place of such a word into a
+relative position (place in the file less place in the template), and keeps relative
+positions with all votes. There the key phrase must stand word for word. As it holds
+the posted words itself, no place of it is missed, whatever else the file holds.
 
 Everything after the one count of document frequencies happens within a row: no
 shuffle of files, so no group can become hot. The counts have one row per word of
@@ -46,8 +47,8 @@ TEMPLATES = (
 )
 #: Words that any prose has; they are no licence words.
 COMMON = frozenset("a and any are by for in into is it no of on or the this to use was with without 0 2 3 4".split())
-#: How many of a file's rarest licence words vote, and the votes that a place needs.
-RAREST, VOTES = 6, 2
+#: How many words of a key phrase vote, the rarest ones; a place needs the votes of all.
+VOTES = 2
 
 
 def words_of(text: Column) -> Column:
@@ -69,33 +70,41 @@ def _phrase_at(words: str, at: str, phrase: list[str]) -> str:
     return " AND ".join(f"get({words}, {at} + {k}) <=> '{w}'" for k, w in enumerate(phrase))
 
 
+def _shift(line: list[str], key: list[str]) -> int:
+    return next(i for i in range(len(line)) if line[i : i + len(key)] == key)
+
+
+def _posted(line: list[str], key: list[str], idf: dict[str, float]) -> dict[int, str]:
+    """Place in the line -> word, of the VOTES rarest words of its key phrase (any words where it has no licence word)."""
+    at = {i + _shift(line, key): w for i, w in enumerate(key)}
+    return dict(sorted(((i, w) for i, w in at.items() if w in idf), key=lambda x: (-idf[x[1]], x))[:VOTES]) or dict(list(at.items())[:VOTES])
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES) -> DataFrame:
     vocabulary = licence_words(templates)
     total, counts = document_frequencies(docs, text_col, vocabulary)
     idf = {w: math.log((total + 1) / (counts[w] + 1)) for w in vocabulary}
-    #: Words by falling IDF: a file's rarest words are the first of this list that it holds.
-    ranked = sorted(vocabulary, key=lambda w: (-idf[w], w))
-    listed = "array(" + ", ".join(f"'{w}'" for w in ranked) + ")"
+    posted = [_posted(line.split(), key.split(), idf) for _, line, key in templates]
+    rare = ", ".join(f"'{w}'" for w in sorted({w for own in posted for w in own.values()}))
     sep = BREAK.replace("\\", "\\\\")
     base_any = "|".join(p.replace(" ", sep) for p, _ in BASE)
 
     rows = docs.select(F.col(id_col), words_of(text_of(text_col)).alias("w"), F.expr(f"coalesce(cast(`{text_col}` AS string), '') RLIKE '(?i)(?:{base_any})'").alias("may"))
-    rows = rows.withColumn("rare", F.expr(f"slice(array_intersect({listed}, w), 1, {RAREST})"))
     #: Places of the base phrases, only where the text may have one.
     for k, (phrase, _) in enumerate(BASE):
         p = phrase.split()
         rows = rows.withColumn(f"b{k}", F.expr(f"CASE WHEN may THEN filter(sequence(0, size(w)), i -> {_phrase_at('w', 'i', p)}) ELSE array() END"))
-    #: Places of the rarest words.
-    rows = rows.withColumn("hits", F.expr("CASE WHEN size(rare) > 0 THEN filter(transform(w, (x, i) -> struct(x AS x, i AS i)), h -> array_contains(rare, h.x)) ELSE array() END"))
+    #: Places of the posted words.
+    rows = rows.withColumn("hits", F.expr(f"filter(transform(w, (x, i) -> struct(x AS x, i AS i)), h -> h.x IN ({rare}))"))
     for k, (_, line, key) in enumerate(templates):
         t, key = line.split(), key.split()
-        shift = next(i for i in range(len(t)) if t[i : i + len(key)] == key)
-        postings = {w: [i for i, x in enumerate(t) if x == w] for w in t if w in idf}
+        shift = _shift(t, key)
+        postings = {w: [i for i, x in posted[k].items() if x == w] for w in posted[k].values()}
         lookup = "CASE h.x " + " ".join(f"WHEN '{w}' THEN array({', '.join(map(str, at))})" for w, at in sorted(postings.items())) + " ELSE array() END"
         rows = rows.withColumn(f"o{k}", F.expr(f"sort_array(flatten(transform(hits, h -> transform({lookup}, p -> h.i - p))))"))
         #: Runs of equal relative positions; a place is kept once, when its run reaches the votes it needs.
-        need = f"least({VOTES}, size(array_intersect(rare, array({', '.join(repr(w) for w in sorted(postings))}))))"
-        rows = rows.withColumn(f"v{k}", F.expr(f"filter(transform(o{k}, (x, i) -> struct(x AS x, (get(o{k}, i - ({need} - 1)) <=> x) AND NOT (get(o{k}, i - {need}) <=> x) AS ok)), s -> s.ok AND {_phrase_at('w', f's.x + {shift}', key)})"))
+        need = len(posted[k])
+        rows = rows.withColumn(f"v{k}", F.expr(f"filter(transform(o{k}, (x, i) -> struct(x AS x, (get(o{k}, i - {need - 1}) <=> x) AND NOT (get(o{k}, i - {need}) <=> x) AS ok)), s -> s.ok AND {_phrase_at('w', f's.x + {shift}', key)})"))
         share = " + ".join(f"IF(get(w, s.x + {i}) <=> '{x}', 1, 0)" for i, x in enumerate(t))
         rows = rows.withColumn(f"s{k}", F.expr(f"coalesce(array_max(transform(v{k}, s -> ({share}) / {len(t)}D)), 0D)"))
 

@@ -119,6 +119,41 @@ def test_licences(spark):
     assert license_scan.scan(docs(spark, [])).count() == 0
 
 
+def licence_labels(t):
+    """Labels and score of every place where a key phrase stands."""
+    w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").lower())
+    labels, score = set(), 0.0
+    for phrase, label in license_scan.BASE:
+        if any(w[i : i + len(phrase.split())] == phrase.split() for i in range(len(w))):
+            labels.add(label)
+            score = 1.0
+    for label, line, key in license_scan.TEMPLATES:
+        line, key = line.split(), key.split()
+        shift = next(i for i in range(len(line)) if line[i : i + len(key)] == key)
+        for i in range(len(w)):
+            if w[i : i + len(key)] == key:
+                labels.add(label)
+                start = i - shift
+                score = max(score, sum(0 <= start + j < len(w) and w[start + j] == x for j, x in enumerate(line)) / len(line))
+    return ",".join(sorted(labels)), score
+
+
+def test_several_licences_in_long_prose(spark):
+    r = random.Random(7)
+    lines = [x for _, *both in license_scan.TEMPLATES for x in both]
+    bsd = license_scan.TEMPLATES[1][1]
+    prose = "charge copy domain fee forms free " + "lorem ipsum " * 200
+    texts = [f"{bsd}. {lines[0]}", f"{bsd}; Released under the MIT License", *(f"{prose} {x} {prose}" for x in lines)]
+    words = sorted({w for x in lines for w in x.split()})
+    for _ in range(150):
+        parts = [r.choice(lines) if r.random() < 0.3 else " ".join(r.choices([*words, "x"], k=r.randint(1, 20))) for _ in range(r.randint(1, 8))]
+        texts.append(" ".join(parts))
+    got = {x.doc_id: (x.labels, x.score) for x in license_scan.scan(docs(spark, list(enumerate(texts)))).collect()}
+    for i, t in enumerate(texts):
+        labels, score = licence_labels(t)
+        assert got[i][0] == labels and got[i][1] == pytest.approx(score), t
+
+
 def test_licence_query(spark, sf_dir):
     text = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for r in license_scan.op3_license_scan(spark, sf_dir).collect():
