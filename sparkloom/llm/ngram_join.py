@@ -55,6 +55,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    """As mixed, in the array itself."""
+    t = x >> U(30)
+    for c, shift in ((C1, 27), (C2, 31)):
+        x ^= t
+        x *= c
+        np.right_shift(x, U(shift), out=t)
+    x ^= t
+    return x
+
+
 def runs_for(threshold: float, recall: float = RECALL) -> int:
     """Runs after which a pair at the threshold, met at the last depth, is missed with probability 1 - recall at most."""
     shared = 2 * threshold / (1 + threshold)  # of two sets of one size
@@ -91,7 +102,7 @@ def sketch(s: np.ndarray) -> bytes:
 
 
 def taken(s: np.ndarray, paths: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the path, node) for each shingle that a path takes."""
+    """(index of the path, node) for each shingle that a path takes: by one hash for sets of all sizes, so that they meet."""
     limit = U(min(2**64 - 1, int(2**64 * min(1.0, rate / len(s)))))
     odd = (mixed(paths) | U(1))[:, None]
     owner, nodes = [], []
@@ -99,7 +110,7 @@ def taken(s: np.ndarray, paths: np.ndarray, rate: float) -> tuple[np.ndarray, np
         part = s[at : at + CHUNK]
         step = max(1, CHUNK * 8 // len(part))
         for k in range(0, len(paths), step):
-            i, j = np.nonzero(mixed(part[None, :] * odd[k : k + step]) < limit) if len(s) < 8 else np.nonzero(part[None, :] * odd[k : k + step] < limit)
+            i, j = np.nonzero(mix(part[None, :] * odd[k : k + step]) < limit)
             owner.append(i + k)
             nodes.append(mixed(part[j] ^ mixed(paths[i + k] + U(0x9E3779B97F4A7C15))))
     return np.concatenate(owner), np.concatenate(nodes)

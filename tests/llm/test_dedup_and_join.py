@@ -104,6 +104,20 @@ def test_join_against_brute_force(spark, limit):
     assert got == brute(rows_)
 
 
+@pytest.mark.parametrize("limit", [ngram_join.LIMIT, 8])
+def test_join_of_seven_and_eight_shingles(spark, limit):
+    """Texts of 11 words with one of 12 or many: the sizes 7 and 8 have to meet in buckets of any depth."""
+    r = random.Random(limit)
+    texts = []
+    for family in range(310):
+        base = [f"w{r.randrange(10**6)}" for _ in range(11)]
+        ends = range(1 if family < 300 else 30)
+        texts += [" ".join(base), *(" ".join([*base, f"end{family}-{k}"]) for k in ends)]
+    rows_ = list(enumerate(texts))
+    got = Counter(tuple(x) for x in ngram_join.join(docs(spark, rows_), limit=limit).collect())
+    assert got == brute(rows_)
+
+
 def test_one_of_each(spark):
     kept = ngram_join.one_of_each(docs(spark, [(3, "a b c d e f g h i j k l m n o p q r s t"), (1, "a b c d e f g h i j k l m n o p q r s t"), (2, "b c d e f g h i j k l m n o p q r s t"), (5, "z y x")]))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 5] and "__t" in kept.columns
