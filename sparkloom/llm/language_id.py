@@ -21,7 +21,6 @@ are not read. Rows are independent: no shuffle, and no group can become hot.
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +29,51 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm.common import table
 
-SAMPLE_DOCS, CHARS, MODEL_CHARS, ALPHABET, LANGUAGES = 96, 20_000, 400_000, 60, 200
+SAMPLE_DOCS, CHARS, MODEL_CHARS, LANGUAGES = 96, 20_000, 400_000, 200
 BLOCK, LANES = 1024, 4096
-NONE, OTHER = 0, 1  # codes: not a letter (runs count once), a letter outside the alphabet
+NONE, OTHER = 0, 1  # codes: not a letter (runs count once), a letter that no language has learned
 DEAD, ROOT = 0, 1
+FREE, SPREAD = -1, np.uint64(0x9E3779B97F4A7C15)
 
 
-def suffix_automaton(codes: list[int], size: int) -> np.ndarray:
-    """Transitions of the automaton of all substrings: a row a state, a column a code, DEAD where none."""
+class Arcs:
+    """Arcs (key -> state) in open addressing, at most half full, so that memory follows the arcs, not the letters."""
+
+    def __init__(self, keys: np.ndarray, to: np.ndarray):
+        bits = max(1, (2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.to = np.full(1 << bits, FREE, np.int64), np.full(1 << bits, DEAD, np.int32)
+        slot, left = self.slots(keys), np.arange(len(keys))
+        while len(left):
+            at, first = np.unique(slot[left], return_index=True)
+            won = left[first[self.keys[at] == FREE]]
+            self.keys[slot[won]], self.to[slot[won]] = keys[won], to[won]
+            left = left[self.keys[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & self.mask
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * SPREAD) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The state of each key, DEAD where there is no arc."""
+        flat = keys.ravel()
+        slot = self.slots(flat)
+        found = self.keys[slot]
+        out = np.where(found == flat, self.to[slot], DEAD)
+        left = np.flatnonzero((found != flat) & (found != FREE))
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & self.mask
+            found = self.keys[slot]
+            hit = found == flat[left]
+            out[left[hit]] = self.to[slot[hit]]
+            on = ~hit & (found != FREE)
+            left, slot = left[on], slot[on]
+        return out.reshape(keys.shape)
+
+
+def suffix_arcs(codes: list[int]) -> list[dict[int, int]]:
+    """Arcs of the automaton of all substrings: code -> state, by state."""
     arcs: list[dict[int, int]] = [{}, {}]
     link, length, last = [0, 0], [0, 0], ROOT
     for c in codes:
@@ -63,6 +99,12 @@ def suffix_automaton(codes: list[int], size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
+    return arcs
+
+
+def suffix_automaton(codes: list[int], size: int) -> np.ndarray:
+    """The same as a table: a row a state, a column a code, DEAD where none."""
+    arcs = suffix_arcs(codes)
     out = np.zeros((len(arcs), size), np.int32)
     for s, own in enumerate(arcs):
         for c, to in own.items():
@@ -75,30 +117,40 @@ class Model:
         """samples: texts by language."""
         self.languages = sorted(samples)
         most = min(CHARS, MODEL_CHARS // max(1, len(samples)))
-        seen = Counter(x for texts in samples.values() for t in texts for x in t.lower() if x.isalpha())
-        self.codes = {x: OTHER + 1 + i for i, x in enumerate(sorted(x for x, _ in seen.most_common(ALPHABET)))}
+        seen = {x for texts in samples.values() for t in texts for x in t.lower() if x.isalpha()}
+        self.codes = {x: OTHER + 1 + i for i, x in enumerate(sorted(seen))}
         self.size = OTHER + 1 + len(self.codes)
         self.lookup = None
-        tables, self.weights = [], []
+        self.weights, roots, states, codes, to, start = [], [], [], [], [], 0
         for name in self.languages:
             texts = samples[name]
             share = most // max(1, len(texts))
             own = [int(c) for t in texts for c in [NONE, *self.coded(t)[:share]]]
-            tables.append(suffix_automaton(own, self.size))
+            arcs = suffix_arcs(own)
+            n = [len(a) for a in arcs]
+            states.append(np.repeat(np.arange(len(arcs)), n) + start)
+            codes.append(np.fromiter((c for a in arcs for c in a), np.int64, sum(n)))
+            to.append(np.fromiter((x for a in arcs for x in a.values()), np.int32, sum(n)) + np.int32(start))
+            roots.append(start + ROOT)
+            start += len(arcs)
             self.weights.append(math.log2(len(own) + 2))
-        starts = np.cumsum([0, *(len(t) for t in tables)])
-        #: All automata in one table; each state is stored as the place of its row, DEAD stays 0.
-        self.table = np.concatenate([np.where(t > 0, (t + s) * self.size, DEAD).astype(np.int32) for t, s in zip(tables, starts)]).ravel() if tables else np.zeros(0, np.int32)
-        self.roots = np.array([(s + ROOT) * self.size for s in starts[:-1]], np.int32)
+        #: All automata in one table, the states numbered through; DEAD is no target. A row of first a language.
+        self.roots = np.array(roots, np.int32)
+        self.first = np.zeros((len(roots), self.size), np.int32)
+        if roots:
+            states, codes, to = np.concatenate(states), np.concatenate(codes), np.concatenate(to)
+            self.arcs = Arcs(states * self.size + codes, to)
+            own = np.flatnonzero(np.isin(states, self.roots))
+            self.first[np.searchsorted(self.roots, states[own]), codes[own]] = to[own]
         self.lookup = None  # made anew in each worker
 
     def coded(self, text: str) -> np.ndarray:
         if self.lookup is None:
-            self.lookup = np.zeros(0x110000, np.uint8)
+            self.lookup = np.zeros(0x110000, np.int32)
             self.lookup[[i for i in range(0x110000) if chr(i).isalpha()]] = OTHER
             for x, c in self.codes.items():
                 self.lookup[ord(x)] = c
-                if len(x.upper()) == 1:
+                if len(x.upper()) == 1 and x.upper().lower() == x:
                     self.lookup[ord(x.upper())] = c
         codes = self.lookup[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
         if len(codes) > 1:
@@ -116,12 +168,12 @@ class Model:
             active = int(ends[at])
             if not active:
                 break
-            codes = lanes[at, :active].astype(np.int32)
+            codes = lanes[at, :active]
             s = state[:, :active]
-            to = self.table[s + codes]
+            to = self.arcs(s.astype(np.int64) * self.size + codes)
             miss = to == DEAD
             #: A miss ends the phrase; a code that no phrase can start with is one of its own.
-            again = self.table[self.roots[:, None] + codes]
+            again = self.first[:, codes]
             alone = again == DEAD
             count[:, :active] += miss.astype(np.int32) + (miss & alone & (s != self.roots[:, None]))
             state[:, :active] = np.where(miss, np.where(alone, self.roots[:, None], again), to)
@@ -129,7 +181,7 @@ class Model:
         return count + (state != self.roots[:, None]) * np.ones((n, 1), np.int32)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        coded = [self.coded(t) if t else np.zeros(0, np.uint8) for t in texts]
+        coded = [self.coded(t) if t else np.zeros(0, np.int32) for t in texts]
         has_letter = np.array([bool(len(c)) and bool(c.any()) for c in coded], bool)
         total = np.zeros((len(self.languages), len(texts)), np.int64)
         if self.languages:
@@ -143,8 +195,7 @@ class Model:
             for at in range(0, len(order), LANES):
                 part = order[at : at + LANES]
                 lengths = np.array([len(blocks[k]) for k in part])
-                lanes = np.zeros((lengths[0], len(part)), np.uint8)
-                flat = np.zeros((len(part), lengths[0]), np.uint8)
+                flat = np.zeros((len(part), lengths[0]), np.int32)
                 for j, k in enumerate(part):
                     flat[j, : lengths[j]] = blocks[k]
                 lanes = np.ascontiguousarray(flat.T)

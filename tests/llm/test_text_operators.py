@@ -256,6 +256,19 @@ def test_phrases_against_brute_force():
     assert own == count
 
 
+def test_languages_of_several_scripts():
+    """Held-out texts of alphabets that do not fit into 60 letters together, two of them Han."""
+    r = random.Random(11)
+    scripts = {"en": (0x61, 26), "ru": (0x430, 32), "el": (0x3B1, 17), "th": (0xE01, 46), "zh": (0x4E00, 1500), "ja": (0x4E00 + 1000, 1500), "ko": (0xAC00, 1000)}
+    words = {k: ["".join(chr(at + r.randrange(n)) for _ in range(r.randint(1, 6))) for _ in range(300)] for k, (at, n) in scripts.items()}
+    made = lambda k: " ".join(r.choices(words[k], k=40))
+    model = language_id.Model({k: [made(k) for _ in range(96 if k == "en" else 30)] for k in scripts})
+    texts = [(k, made(k)) for k in scripts for _ in range(30)]
+    names, _ = model.predict([t for _, t in texts])
+    right = Counter(k for (k, _), name in zip(texts, names) if k == name)
+    assert all(right[k] >= 29 for k in scripts), right
+
+
 def test_language_edges(spark):
     rows_ = [*TEXTS, *((200 + i, "the cat and the dog") for i in range(30))]
     found = language_id.identify(docs(spark, rows_), language_id.fit(docs(spark, rows_))).collect()
