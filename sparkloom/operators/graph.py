@@ -18,16 +18,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def closure(edges: DataFrame, limit: int = 50) -> DataFrame:
-    """edges: a, b. Pairs (a, b, depth) with the least depth, semi-naive: only new pairs join again."""
+def closure(edges: DataFrame) -> DataFrame:
+    """edges: a, b. Pairs (a, b, depth) with the least depth, semi-naive: only new pairs join again, until there are none."""
     known = new = checkpointed(edges.where("a != b").select("a", "b").distinct().withColumn("depth", F.lit(1)))
-    for depth in range(2, limit + 1):
+    depth = 1
+    while True:
+        depth += 1
         step = new.select("a", F.col("b").alias("via")).join(edges.select(F.col("a").alias("via"), "b"), "via").where("a != b").select("a", "b").distinct()
         new = checkpointed(step.join(known, ["a", "b"], "left_anti").withColumn("depth", F.lit(depth)))
         if new.isEmpty():
-            break
+            return known
         known = checkpointed(known.unionByName(new))
-    return known
 
 
 def propagated(owners: DataFrame, reach: DataFrame) -> DataFrame:

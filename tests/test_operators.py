@@ -22,6 +22,12 @@ def test_closure_of_a_cycle(spark):
     assert got == {(1, 2, 1), (2, 3, 1), (3, 1, 1), (3, 4, 1), (1, 3, 2), (2, 1, 2), (2, 4, 2), (3, 2, 2), (1, 4, 3)}
 
 
+def test_closure_of_a_long_chain(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(53)], "a int, b int")
+    got = {(r.a, r.b, r.depth) for r in graph.closure(e).collect()}
+    assert got == {(i, j, j - i) for i in range(54) for j in range(i + 1, 54)}
+
+
 def test_chain_takes_five(spark):
     e = spark.createDataFrame([("a", "c", 1), ("a", "b", 0), ("b", "d", 0), ("c", "e", 0), ("d", "f", 0), ("d", "a", 0)], "from_id string, to_id string, rank int")
     got = graph.chain(spark.createDataFrame([("a",)], "start string"), e).orderBy("ord").collect()
