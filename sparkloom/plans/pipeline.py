@@ -19,6 +19,8 @@ from sparkloom.sources import files as source
 from sparkloom.sources import sinks
 
 STAGES = ("scan", "extract", "embed", "link", "assemble", "render")
+#: Characters of a chunk that is embedded.
+CHUNK = 4000
 #: Layers by path words, the first that fits.
 LAYER_WORDS = [("UI", ["/web/", "/jsp/", ".jsp", ".html", "/asl/"]), ("Database", ["/dao/", "/dsl/", ".sql"]), ("Integration", ["/isl/", "/integration/"]), ("Service", ["/service/", "/gsl/"]), ("Configuration", [".xml", ".properties", ".yml"])]
 
@@ -66,7 +68,11 @@ def extracted(run: Run) -> None:
 
 
 def embed(run: Run) -> None:
-    f = run.table("scan", "files").select(F.concat(F.lit("chunk_"), F.md5("path")).alias("chunk_id"), F.col("language").alias("chunk_type"), "path", F.substring("text", 1, 4000).alias("content"))
+    f = run.table("scan", "files").select("path", F.col("language").alias("chunk_type"), "text")
+    #: Consecutive chunks that cover the whole text; an empty file has one.
+    last = F.greatest(F.ceil(F.coalesce(F.length("text"), F.lit(0)) / CHUNK) - 1, F.lit(0)).cast("int")
+    f = f.withColumn("number", F.explode(F.sequence(F.lit(0), last)))
+    f = f.select(F.concat(F.lit("chunk_"), F.md5("path"), F.lit("_"), "number").alias("chunk_id"), "chunk_type", "path", "number", F.substring("text", F.col("number") * CHUNK + 1, F.lit(CHUNK)).alias("content"))
     cache = sinks.read_table(run.spark, run.out, "embed", "cache")
     if cache is None:
         cache = run.spark.createDataFrame([], "key string, vector array<float>")

@@ -127,3 +127,14 @@ def test_stream(spark, tmp_path, sf_dir):
     q.processAllAvailable()
     q.stop()
     assert spark.table("counts").agg(F.sum("processed")).first()[0] == events.count()
+
+
+def test_embedding_covers_whole_files(spark, tmp_path):
+    texts = {"a.sql": "x" * 4000 + "one", "b.sql": "x" * 4000 + "two", "c.sql": "y" * 8000, "d.sql": "z"}
+    run = pipeline.Run(spark, tree(tmp_path / "p", texts), str(tmp_path / "out"))
+    pipeline.scan(run)
+    pipeline.embed(run)
+    made = run.table("embed", "chunks").orderBy("path", "number").collect()
+    assert {p: "".join(r.content for r in made if r.path == p) for p in texts} == texts
+    assert len({r.chunk_id for r in made}) == len(made) == 7 and all(r.embedding for r in made)
+    assert len({r.key for r in made if r.path in ("a.sql", "b.sql")}) == 3
