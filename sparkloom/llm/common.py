@@ -21,12 +21,14 @@ def text_of(column: str = "text") -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see.
 
-    A cluster names it in spark.checkpoint.dir. Only where that is unset, as in
-    tests on one machine, a temporary folder takes its place.
+    A cluster names it in spark.checkpoint.dir and has to. Only in local mode, as in
+    tests, where all run in one process, a temporary folder may take its place.
     """
     name = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not name:
         context = spark.sparkContext
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         current = context._jsc.sc().getCheckpointDir()
         if current.isEmpty():
             context.setCheckpointDir(tempfile.mkdtemp(prefix="shared-"))
@@ -54,3 +56,25 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = f"{_staging(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Groups that may count as large: at most HOT of them can hold more than one row in HOT of all rows.
+HOT, SPREAD = 4096, 1 << 20
+
+
+def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, least: int = 64) -> DataFrame:
+    """rows joined to the columns of their group, null where it has none; groups is a staged
+    table, one row a key, `size` the rows it has.
+
+    Keys of large groups have a bounded broadcast (HOT rows). Their rows are answered by it
+    and spread over the join with the other groups, where nothing fits them: no key is hot.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    large = F.col(size) >= max(least, total // HOT)
+    more = [c for c in groups.columns if c not in keys]
+    hot = groups.where(large).select(*keys, F.struct(*more).alias("__hot"))
+    cold = groups.where(~large).select(*keys, F.lit(0).alias("__salt"), F.struct(*more).alias("__cold"))
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    salt = F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(F.lit(1) + F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int"))
+    met = marked.withColumn("__salt", salt).join(cold, [*keys, "__salt"], "left")
+    return met.select(*rows.columns, *(F.coalesce(f"__hot.{c}", f"__cold.{c}").alias(c) for c in more))

@@ -38,12 +38,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bloom
-from sparkloom.llm.common import staged, table, text_of
+from sparkloom.llm.common import staged, table, text_of, with_group
 from sparkloom.llm.memo import Memo
 
-WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
+WORDS, THRESHOLD, RECALL = 5, 0.8, 0.995
 RATES = (1.6, 1.3, 1.3)
 LIMIT, RANGES, LIKELY = 1024, 64, 0.5
+#: Documents that a worker shingles at once.
+PIECE = 250
 CHUNK = 1 << 15
 U = np.uint64
 C1, C2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -67,8 +69,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def runs_for(threshold: float, recall: float = RECALL) -> int:
-    """Runs after which a pair at the threshold, met at the last depth, is missed with probability 1 - recall at most."""
-    shared = 2 * threshold / (1 + threshold)  # of two sets of one size
+    """Runs after which a pair at the threshold, met at the last depth, is missed with probability 1 - recall at most.
+
+    A pair meets on a shared shingle that both take, so the larger set's share counts; it is
+    least where one set holds the other: the threshold itself."""
+    shared = threshold
     p = 1.0
     for rate in reversed(RATES):
         p = 1 - math.exp(-rate * shared * p)
@@ -132,28 +137,29 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
 
 
 def prepared(docs: DataFrame, id_col: str, text_col: str, runs: int, words: int) -> DataFrame:
-    """One row per document: __id, key, n, sketch, and nodes n1, p2, n2, p3, n3."""
+    """One row per document: __id, __a, __b (its digest), key, n, sketch, and nodes n1, p2, n2, p3, n3."""
     kind = docs.schema[id_col].dataType
+    a, b = bloom.digest(id_col, text_col)
 
     def run(batches):
         memo = word_memo()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                sets = [shingles(t.as_py(), memo, words) for t in part.column(1)]
+            for at in range(0, batch.num_rows, PIECE):
+                part = batch.slice(at, PIECE)
+                sets = [shingles(t.as_py(), memo, words) for t in part.column(3)]
                 trees = [tree(s, runs) for s in sets]
                 columns = [
-                    part.column(0),
+                    *part.columns[:3],
                     pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array([sketch(s) for s in sets], pa.binary()),
                     _lists([t[0][1] for t in trees]),
                     *(_lists([t[d][side] for t in trees]) for d in (1, 2) for side in (0, 1)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["__id", "key", "n", "sketch", "n1", "p2", "n2", "p3", "n3"])
+                yield pa.RecordBatch.from_arrays(columns, names=["__id", "__a", "__b", "key", "n", "sketch", "n1", "p2", "n2", "p3", "n3"])
 
-    schema = f"__id {kind.simpleString()}, key binary, n int, sketch binary, n1 array<long>, p2 array<long>, n2 array<long>, p3 array<long>, n3 array<long>"
-    return docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__t")).mapInArrow(run, schema)
+    schema = f"__id {kind.simpleString()}, __a long, __b long, key binary, n int, sketch binary, n1 array<long>, p2 array<long>, n2 array<long>, p3 array<long>, n3 array<long>"
+    return docs.select(F.col(id_col).alias("__id"), a, b, text_of(text_col).alias("__t")).mapInArrow(run, schema)
 
 
 def counted(pairs: DataFrame, label: str) -> DataFrame:
@@ -272,13 +278,15 @@ def linked(threshold: float):
 
 def sets_of(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """key, s: the sets of the classes whose representative is in reps (__rep). Texts stay where they are."""
-    near = bloom.passing(docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__t")), F.xxhash64("__id"), bloom.build(reps.select(F.xxhash64("__rep").alias("__k"))))
+    a, _ = bloom.digest(id_col, text_col)
+    blocks = bloom.blocks_for(reps.count())
+    near = bloom.passing(docs.select(a.alias("__a"), text_of(text_col).alias("__t")), F.col("__a"), bloom.build(reps.select("__rep"), blocks), blocks)
 
     def run(batches):
         memo = word_memo()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                sets = [shingles(t.as_py(), memo, words) for t in batch.column(0).slice(at, 1000)]
+            for at in range(0, batch.num_rows, PIECE):
+                sets = [shingles(t.as_py(), memo, words) for t in batch.column(0).slice(at, PIECE)]
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([np.unique(s.astype(np.uint32)).tobytes() for s in sets], pa.binary())], names=["key", "s"])
 
     return near.select("__t").mapInArrow(run, "key binary, s binary")
@@ -292,9 +300,9 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         #: Large star: greater neighbours of each node move to its least neighbour.
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        e = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        #: Small star: each node and its lesser neighbours move to the least of them.
+        least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("c")), "stars")
+        e = with_group(both.where("b > a"), least, ["a"], "c").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        #: Small star: each node and its lesser neighbours move to the least of them. A node has few of them after a large star.
         least = e.groupBy("a").agg(F.min("b").alias("m"))
         e = e.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("s")).select("s.*").where("a != b").distinct()
         e = staged(e, "edges")
@@ -306,33 +314,40 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.unionByName(e.select(F.col("b").alias("a"), F.col("b").alias("label")).distinct())
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS, limit: int = LIMIT) -> DataFrame:
-    """One row per document: id, class_id (least id with the same shingles), class_size,
-    n_links (other classes at or above the threshold), group_id (least id of the connected documents)."""
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS, limit: int = LIMIT) -> DataFrame:
+    """One row per document: __id, __a, __b, class_id, class_size, n_links, label (the class that names its group), group_id."""
     t = staged(prepared(docs, id_col, text_col, runs_for(threshold), words), "shingled")
-    classes = t.groupBy("key").agg(F.min("__id").alias("class_id"), F.count("*").alias("class_size"))
+    classes = staged(t.groupBy("key").agg(F.min("__id").alias("class_id"), F.count("*").alias("class_size"), F.min("__a").alias("__rep"), F.min(F.struct("n", "sketch")).alias("__marks")), "classes")
     b = staged(buckets(t, limit), "buckets")
-    marks = t.select("key", "n", "sketch").distinct()
+    marks = classes.select("key", "__marks.n", "__marks.sketch")
     nodes = b.groupBy("key").agg(F.collect_set("bucket").alias("nodes"))
     rows = b.join(nodes.join(marks, "key"), "key").select("bucket", "key", "n", "sketch", "nodes")
     active = staged(by_bucket(rows, likely(threshold), "bucket long, key binary, n int, sketch binary, nodes array<long>"), "active")
-    reps = active.select("key").distinct().join(classes.select("key", F.col("class_id").alias("__rep")), "key")
+    reps = staged(active.select("key").distinct().join(classes.select("key", "__rep"), "key"), "reps")
     sets = sets_of(docs, reps, id_col, text_col, words).groupBy("key").agg(F.min("s").alias("s"))
     found = staged(by_bucket(active.join(sets, "key").select("bucket", "key", "n", "sketch", "nodes", "s"), linked(threshold), "key binary, root binary, links long"), "links")
     links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
     labels = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")))
     near = links.join(labels.select(F.col("a").alias("key"), "label"), "key", "left")
-    whole = classes.join(near, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    groups = whole.groupBy("label").agg(F.min("class_id").alias("group_id"))
-    named = whole.join(groups, "label").select("key", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "group_id")
-    return t.select(F.col("__id").alias(id_col), "key").join(named, "key").select(id_col, "class_id", "class_size", "n_links", "group_id")
+    whole = classes.select("key", "class_id", "class_size").join(near, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    whole = staged(whole, "labelled-classes")
+    groups = staged(whole.groupBy("label").agg(F.min("class_id").alias("group_id"), F.count("*").alias("__c")), "groups")
+    named = with_group(whole, groups, ["label"], "__c").select("key", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "label", "group_id")
+    return with_group(t.select("__id", "__a", "__b", "key"), staged(named, "named"), ["key"], "class_size")
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS, limit: int = LIMIT) -> DataFrame:
+    """One row per document: id, class_id (least id with the same shingles), class_size,
+    n_links (other classes at or above the threshold), group_id (least id of the connected documents)."""
+    return grouped(docs, id_col, text_col, threshold, words, limit).select(F.col("__id").alias(id_col), "class_id", "class_size", "n_links", "group_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS) -> DataFrame:
-    """The documents with the least id of their group, with all their columns."""
-    found = join(docs, id_col, text_col, threshold, words)
-    dropped = found.where(~F.col(id_col).eqNullSafe(F.col("group_id"))).select(F.col(id_col).alias("__gone")).distinct()
-    return bloom.without(docs, id_col, staged(dropped, "dropped"))
+    """One document of each group, with all its columns: the least id that is not null, of
+    equal ids the least digest, and one of repeated rows."""
+    rows = staged(grouped(docs, id_col, text_col, threshold, words).select("__id", "__a", "__b", "label"), "grouped")
+    a, b = bloom.digest(id_col, text_col)
+    return bloom.kept(docs, a, b, staged(bloom.decisions(rows, ["label"]), "decisions"))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,66 @@ def test_bloom_filter_loses_nothing(spark):
     passed = {r.id for r in bloom.passing(spark.range(2000), bloom.F.xxhash64("id"), bits, 64).collect()}
     assert {r.id for r in ids.collect()} <= passed
     assert bits.count() <= 64
-    assert bloom.passing(spark.range(2000), bloom.F.xxhash64("id"), bloom.build(ids.selectExpr("xxhash64(id) AS k"))).count() < 1100
+    blocks = bloom.blocks_for(1000)
+    assert bloom.passing(spark.range(2000), bloom.F.xxhash64("id"), bloom.build(ids.selectExpr("xxhash64(id) AS k"), blocks), blocks).count() < 1100
+    assert bloom.blocks_for(0) == bloom.LEAST and bloom.blocks_for(10**12) == bloom.BLOCKS
+
+
+def clashing(spark, rows_):
+    """Rows with columns named as those of the operators, one with a dot, and a map."""
+    d = spark.createDataFrame([(i, t, "keep me", k, {"a": 1}) for k, (i, t) in enumerate(rows_)], "doc_id long, text string, __h string, `meta.x` long, m map<string, int>")
+    return d.selectExpr("*", "'b' AS __block", "'r' AS __row", "'x' AS __a", "'n' AS __n", "'s' AS __stays")
+
+
+ROWS = [
+    (None, "a b c d e f"),
+    (None, "unique text here with words"),
+    (5, "a b c d e f"),
+    (5, "quite another text"),
+    (1, "a b c d e f"),
+    (7, "same text twice"),
+    (7, "same text twice"),
+    (7, "same  text twice"),
+    (None, "no id twice"),
+    (None, "no id twice"),
+    (None, None),
+    (8, ""),
+    (9, None),
+]
+
+
+def one_a_group(rows_, group):
+    """Brute force: of each group the least id that is not null."""
+    members = defaultdict(list)
+    for i, t in rows_:
+        members[group(t)].append(i)
+    return Counter((g, min((i for i in ids if i is not None), default=None)) for g, ids in members.items())
+
+
+@pytest.mark.parametrize("capacity", [bloom.CAPACITY, 1])
+def test_rows_that_stay(spark, monkeypatch, capacity):
+    """Null, reused and repeated ids, repeated rows, clashing columns; filters that hold all and filters too small."""
+    monkeypatch.setattr(bloom.kept, "__defaults__", (None, capacity))
+    r = random.Random(capacity)
+    many = ROWS + [(r.choice([None, *range(40)]), r.choice(["p", "p ", "q r", "s\tt", "s t", *map(str, range(60))])) for _ in range(400)]
+    d = clashing(spark, many)
+    kept = exact_dedup.kept_documents(d)
+    assert kept.dtypes == d.dtypes
+    found = kept.collect()
+    assert Counter((normal(x.text), x.doc_id) for x in found) == one_a_group(many, normal)
+    assert all((many[x["meta.x"]], x["__h"], x["__block"], x.m) == ((x.doc_id, x.text), "keep me", "b", {"a": 1}) for x in found)
+    assert exact_dedup.kept_documents(d.limit(0)).count() == 0
+
+
+def test_one_row_of_each_near_group(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    near = [(None, words), (None, words + " x"), (4, words + " y"), (4, words + " y"), (2, "something else"), (2, "and a third"), (None, "alone")]
+    d = clashing(spark, [*ROWS, *near])
+    kept = ngram_join.one_of_each(d)
+    assert kept.dtypes == d.dtypes
+    group = lambda t: "near" if t and t.startswith("w0 ") else normal(t).strip()
+    assert Counter((group(x.text), x.doc_id) for x in kept.collect()) == one_a_group([*ROWS, *near], group)
+    assert ngram_join.one_of_each(d.limit(0)).count() == 0
 
 
 def brute(rows_):
