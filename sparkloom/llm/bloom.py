@@ -104,14 +104,14 @@ def kept(docs: DataFrame, a: Column, b: Column, decided: DataFrame, reach: tuple
     clear = []
     if n_gone <= capacity:
         blocks = blocks_for(n_gone)
-        first = staged(build(gone.select("__a"), blocks), "filter")
+        first = staged(build(gone.select("__a"), blocks), "filter", blocks)
         rows = tested(rows, "__a", first, blocks, "__hit").withColumn("__hit", F.expr("__reached AND __hit"))
         clear.append(rows.where("NOT __hit"))
         both = staged(tested(decided.where("__stays AND __n = 1").select(*keys), "__a", first, blocks, "__hit").where("__hit").select(*keys), "hit-and-stay")
         n_both = both.count()
         if n_both:
             blocks = blocks_for(n_both)
-            second = staged(build(both.select("__b"), blocks), "filter")
+            second = staged(build(both.select("__b"), blocks), "filter", blocks)
             doubtful = tested(rows.where("__hit"), "__b", second, blocks, "__again").where("__again")
             clear.append(doubtful.join(both, keys, "left_semi"))
         doubtful = rows.where("__hit")
@@ -126,7 +126,7 @@ def kept(docs: DataFrame, a: Column, b: Column, decided: DataFrame, reach: tuple
         #: Repeated rows: one of each digest. They meet within their partitions first.
         twice = decided.where("__stays AND __n > 1").select(*keys)
         blocks = blocks_for(n_twice)
-        only = tested(doubtful, "__b", staged(build(twice.select("__b"), blocks), "filter"), blocks, "__again").where("__again")
+        only = tested(doubtful, "__b", staged(build(twice.select("__b"), blocks), "filter", blocks), blocks, "__again").where("__again")
         plain = [f"__row.`{f.name.replace('`', '``')}`" for f in docs.schema if _orderable(f.dataType)]
         one = only.groupBy(*keys).agg(F.min_by("__row", F.xxhash64(*plain)).alias("__row")).join(twice, keys, "left_semi")
         found = found.unionByName(one.select("__row"))

@@ -47,14 +47,22 @@ def clear_staged(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+#: Rows of a file of a narrow table whose size is known, and the least number of its files.
+ROWS_A_FILE, FILES = 50_000, 8
+
+
+def staged(df: DataFrame, label: str, rows: int | None = None, compression: str = "none") -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage: what was written survives the loss of any executor. Results are
-    lazy, so the tables stay until clear_staged.
+    lazy, so the tables stay until clear_staged. rows: a bound of the number of rows, where
+    it is known; a small table then has few files. Narrow tables hold hashes, which no
+    codec makes smaller; tables of texts should name one.
     """
     path = f"{_staging(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if rows is not None:
+        df = df.coalesce(max(FILES, -(-rows // ROWS_A_FILE)))
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -62,14 +70,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 HOT, SPREAD = 4096, 1 << 20
 
 
-def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, least: int = 64) -> DataFrame:
+def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, least: int = 64, total: int | None = None) -> DataFrame:
     """rows joined to the columns of their group, null where it has none; groups is a staged
     table, one row a key, `size` the rows it has.
 
     Keys of large groups have a bounded broadcast (HOT rows). Their rows are answered by it
     and spread over the join with the other groups, where nothing fits them: no key is hot.
+    total: the sum of the sizes, where it is known.
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
+    if total is None:
+        total = groups.agg(F.sum(size)).first()[0] or 0
     large = F.col(size) >= max(least, total // HOT)
     more = [c for c in groups.columns if c not in keys]
     hot = groups.where(large).select(*keys, F.struct(*more).alias("__hot"))

@@ -42,7 +42,7 @@ def repeated(keys: DataFrame, label: str) -> tuple[DataFrame, int]:
     names = keys.columns
     found = staged(keys.groupBy(*names).agg(F.count("*").alias("__c")).where("__c > 1").select(F.xxhash64(*names).alias("__k")), label)
     blocks = bloom.blocks_for(found.count())
-    return staged(bloom.build(found, blocks), f"{label}-filter"), blocks
+    return staged(bloom.build(found, blocks), f"{label}-filter", blocks), blocks
 
 
 def survivors(docs: DataFrame, id_col: str, text_col: str, prefix: int) -> tuple[DataFrame, tuple[DataFrame, int]]:

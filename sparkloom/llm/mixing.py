@@ -101,7 +101,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Classifier:
-    sample = staged(labelled(docs, labels, id_col, text_col), "mixing-sample")
+    sample = staged(labelled(docs, labels, id_col, text_col), "mixing-sample", compression="snappy")
     sizes = {r["__d"]: r["n"] for r in sample.groupBy("__d").agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values())
     prior = {d: math.log((sizes.get(d, 0) + 1) / (total + len(DOMAINS))) for d in DOMAINS}

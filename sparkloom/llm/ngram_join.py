@@ -44,8 +44,8 @@ from sparkloom.llm.memo import Memo
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.995
 RATES = (1.6, 1.3, 1.3)
 LIMIT, RANGES, LIKELY = 1024, 64, 0.5
-#: Documents that a worker shingles at once.
-PIECE = 250
+#: Documents that a worker shingles at once; elements of sets that it numbers at once, by half; rows of a batch.
+PIECE, HELD, BATCH = 250, 500_000, 1000
 CHUNK = 1 << 15
 U = np.uint64
 C1, C2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -216,62 +216,105 @@ def by_bucket(rows: DataFrame, run, schema: str) -> DataFrame:
     return rows.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(stream, schema)
 
 
+def staged_small(df: DataFrame, label: str) -> DataFrame:
+    """staged(), with batches of BATCH rows to the workers, as rows may hold whole sets."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(min(BATCH, int(before)) if int(before) > 0 else BATCH))
+    try:
+        return staged(df, label)
+    finally:
+        conf.set(name, before)
+
+
+def lesser(rows) -> np.ndarray:
+    """Of each row the buckets below this one that another row here is in too, as bits: pairs with a common bit count there."""
+    sizes = [len(r[4]) for r in rows]
+    nodes, owner = np.fromiter((x for r in rows for x in r[4]), np.int64, sum(sizes)), np.repeat(np.arange(len(rows)), sizes)
+    below = nodes < rows[0][0]
+    values, index, times = np.unique(nodes[below], return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1
+    common = times[index] > 1
+    at, owner = number[index[common]], owner[below][common]
+    bits = np.zeros((len(rows), int(times[times > 1].size + 63) // 64), np.uint64)
+    np.bitwise_or.at(bits, (owner, at // 64), U(1) << (at % 64).astype(np.uint64))
+    return bits
+
+
 def candidates(rows, threshold: float):
     """(i, array of j > i) of likely pairs that count in this bucket. rows: bucket, key, n, sketch, nodes, ..."""
-    bucket = rows[0][0]
     n = np.array([r[2] for r in rows])
     marks = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), RANGES)
     full = marks != 0
-    nodes = [set(r[4]) for r in rows]
+    bits = lesser(rows)
     for i in range(len(rows) - 1):
-        same = ((marks[i + 1 :] == marks[i]) & full[i]).sum(1)
-        either = (full[i + 1 :] | full[i]).sum(1)
-        low, high = np.minimum(n[i + 1 :], n[i]), np.maximum(n[i + 1 :], n[i])
-        near = np.flatnonzero((same >= LIKELY * either) & (low >= threshold * high)) + i + 1
-        near = [j for j in near if min(nodes[i] & nodes[j]) == bucket] if len(near) else []
-        if near:
-            yield i, near
+        later = n[i + 1 :]
+        near = np.minimum(later, n[i]) >= threshold * np.maximum(later, n[i])
+        if bits.shape[1]:
+            near &= ~(bits[i + 1 :] & bits[i]).any(1)
+        near = np.flatnonzero(near) + i + 1
+        if len(near):
+            same = ((marks[near] == marks[i]) & full[i]).sum(1)
+            near = near[same >= LIKELY * (full[near] | full[i]).sum(1)]
+            if len(near):
+                yield i, near
 
 
 def likely(threshold: float):
     def run(rows):
-        active = set()
+        active = np.zeros(len(rows), bool)
         for i, near in candidates(rows, threshold):
-            active.add(i)
-            active.update(near)
-        return [rows[i][:5] for i in sorted(active)]
+            active[i] = True
+            active[near] = True
+        return [rows[i][:5] for i in np.flatnonzero(active)]
 
     return run
 
 
+def shares(sets: list[np.ndarray], near: dict[int, np.ndarray]):
+    """(i, array of j, array of what both hold) for the pairs in near. Sets are dealt into
+    blocks of at most HELD elements (or one set), and two blocks at a time are numbered."""
+    ends, at, block = [], 0, np.zeros(len(sets), np.int64)
+    for i, s in enumerate(sets):
+        if at and at + len(s) > HELD:
+            at = 0
+            ends.append(i)
+        at += len(s)
+        block[i] = len(ends)
+    starts, ends = [0, *ends], [*ends, len(sets)]
+    pairs: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
+    for i, js in near.items():
+        for b in np.unique(block[js]):
+            pairs.setdefault((int(block[i]), int(b)), []).append((i, js[block[js] == b]))
+    for (a, b), listed in sorted(pairs.items()):
+        members = [*range(starts[a], ends[a]), *(range(starts[b], ends[b]) if a != b else ())]
+        values, index = np.unique(np.concatenate([sets[k] for k in members]), return_inverse=True)
+        own = dict(zip(members, np.split(index.astype(np.int32), np.cumsum([len(sets[k]) for k in members])[:-1])))
+        has = np.zeros(len(values), bool)
+        for i, js in listed:
+            has[own[i]] = True
+            for at in range(0, len(js), 256):
+                part = js[at : at + 256]
+                sizes = np.array([len(own[j]) for j in part])
+                yield i, part, np.add.reduceat(has[np.concatenate([own[j] for j in part])].astype(np.int32), np.cumsum(sizes) - sizes)
+            has[own[i]] = False
+
+
 def linked(threshold: float):
     def run(rows):
         """rows also have the set, as bytes of 32-bit hashes."""
+        rows = sorted(rows, key=lambda r: (r[2], r[1]))  # sets of like size share blocks
         sets = [np.frombuffer(r[5], np.uint32) for r in rows]
-        listed, index = np.unique(np.concatenate(sets), return_inverse=True)
-        ends = np.cumsum([len(s) for s in sets])
-        own = np.split(index, ends[:-1])
-        links, root = np.zeros(len(rows), np.int64), list(range(len(rows)))
-
-        def top(i):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        has = np.zeros(len(listed), bool)
-        for i, near in candidates(rows, threshold):
-            has[own[i]] = True
-            sizes = np.array([len(own[j]) for j in near])
-            both = np.add.reduceat(has[np.concatenate([own[j] for j in near])].astype(np.int32), np.cumsum(sizes) - sizes)
-            has[own[i]] = False
-            for j, x, size in zip(near, both, sizes):
-                if x >= threshold * (len(own[i]) + size - x) - 1e-9:
-                    links[i] += 1
-                    links[j] += 1
-                    a, b = sorted((top(i), top(j)))
-                    root[b] = a
-        return [(rows[i][1], rows[top(i)][1], int(links[i])) for i in range(len(rows)) if links[i]]
+        sizes = np.array([len(x) for x in sets])
+        links, root = np.zeros(len(rows), np.int64), np.arange(len(rows))
+        for i, js, both in shares(sets, dict(candidates(rows, threshold))):
+            js = js[both >= threshold * (sizes[i] + sizes[js] - both) - 1e-9]
+            links[i] += len(js)
+            links[js] += 1
+            names = np.unique(root[np.append(js, i)])
+            if len(names) > 1:
+                root[np.isin(root, names)] = names[0]
+        return [(rows[i][1], rows[root[i]][1], int(links[i])) for i in np.flatnonzero(links)]
 
     return run
 
@@ -300,12 +343,12 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         #: Large star: greater neighbours of each node move to its least neighbour.
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("c")), "stars")
-        e = with_group(both.where("b > a"), least, ["a"], "c").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("c")), "stars", 2 * before[0])
+        e = with_group(both.where("b > a"), least, ["a"], "c", total=2 * before[0]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         #: Small star: each node and its lesser neighbours move to the least of them. A node has few of them after a large star.
         least = e.groupBy("a").agg(F.min("b").alias("m"))
         e = e.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("s")).select("s.*").where("a != b").distinct()
-        e = staged(e, "edges")
+        e = staged(e, "edges", 2 * before[0])
         after = mark(e)
         if after == before:
             break
@@ -322,18 +365,19 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     marks = classes.select("key", "__marks.n", "__marks.sketch")
     nodes = b.groupBy("key").agg(F.collect_set("bucket").alias("nodes"))
     rows = b.join(nodes.join(marks, "key"), "key").select("bucket", "key", "n", "sketch", "nodes")
-    active = staged(by_bucket(rows, likely(threshold), "bucket long, key binary, n int, sketch binary, nodes array<long>"), "active")
+    active = staged_small(by_bucket(rows, likely(threshold), "bucket long, key binary, n int, sketch binary, nodes array<long>"), "active")
     reps = staged(active.select("key").distinct().join(classes.select("key", "__rep"), "key"), "reps")
     sets = sets_of(docs, reps, id_col, text_col, words).groupBy("key").agg(F.min("s").alias("s"))
-    found = staged(by_bucket(active.join(sets, "key").select("bucket", "key", "n", "sketch", "nodes", "s"), linked(threshold), "key binary, root binary, links long"), "links")
+    found = staged_small(by_bucket(active.join(sets, "key").select("bucket", "key", "n", "sketch", "nodes", "s"), linked(threshold), "key binary, root binary, links long"), "links")
     links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
     labels = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")))
     near = links.join(labels.select(F.col("a").alias("key"), "label"), "key", "left")
     whole = classes.select("key", "class_id", "class_size").join(near, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    whole = staged(whole, "labelled-classes")
-    groups = staged(whole.groupBy("label").agg(F.min("class_id").alias("group_id"), F.count("*").alias("__c")), "groups")
+    n = classes.count()
+    whole = staged(whole, "labelled-classes", n)
+    groups = staged(whole.groupBy("label").agg(F.min("class_id").alias("group_id"), F.count("*").alias("__c")), "groups", n)
     named = with_group(whole, groups, ["label"], "__c").select("key", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "label", "group_id")
-    return with_group(t.select("__id", "__a", "__b", "key"), staged(named, "named"), ["key"], "class_size")
+    return with_group(t.select("__id", "__a", "__b", "key"), staged(named, "named", n), ["key"], "class_size")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS, limit: int = LIMIT) -> DataFrame:
