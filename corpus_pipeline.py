@@ -50,5 +50,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}", compression="snappy")
     return STAGES[-1][1](spark, docs, sf_dir)
