@@ -9,14 +9,23 @@ has an arc for every base symbol. The gadget of the merge (u, v) -> t
 
 A copy shares what was cut before it was made and nothing cut later, so a state is
 stored as its own cuts, by rank, and the state and rank that it was copied at: the
-whole automaton takes one entry a merge. An arc t leaves a state unless t was cut
-there, or t's first half was cut before t came to be (at the same rank for u u, as
-the leftmost pair merges first). Exactly one path spells a word; encoding follows
-the table, longest arc first, and backs out of dead ends, which are remembered.
-Decoding emits the labels of the arcs.
+whole automaton takes one entry a merge (its arcs one by one would be billions). An arc
+t leaves a state unless t was cut there, or t's first half was cut before t came to be
+(at the same rank for u u, as the leftmost pair merges first).
+
+Arcs are labelled with tokens; over letters the automaton is made deterministic by the
+subset construction. A subset holds, for each place where a token may be under way,
+the token before that place and the letters since, as a node of the trie of all tokens.
+Every prefix of a word has one tokenization, so of the tokens that a letter completes
+exactly one has its arc, and the subset that the letter leads to knows that token.
+Subsets are numbered and their transitions kept in a table when first met: encoding a
+word is one look-up a letter, from its first to its last, and nothing is tried twice
+or taken back. The tokens are then read off from the end of the word. Decoding emits
+the labels of the arcs that the ids name.
 
 Splitting into words is that of the vocabulary file: special strings, NFC, lower
-case, then contractions, runs of letters, single digits, runs of other signs.
+case, then contractions, runs of letters, single digits, runs of other signs. A file
+that asks for other steps is refused.
 
 Defined results: a null or empty text has no tokens. Repeated rows get equal results;
 an empty table gives an empty result. Other columns are not read. Rows are
@@ -30,6 +39,7 @@ import json
 import re
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -41,8 +51,13 @@ from sparkloom.llm.common import table, text_of
 from sparkloom.llm.memo import Memo
 
 NEVER = 1 << 60
-#: Answers about arcs that a worker keeps.
-ARCS = 250_000
+#: Subsets that a worker keeps; when there are more, the table is begun anew.
+SUBSETS = 100_000
+#: The mark of a word's last letter, and the shift of a state or node in a key.
+LAST, KEY = 1 << 21, 22
+#: The steps before the merges that this module knows.
+NORMALIZER = ["NFC", "Replace", "Lowercase"]
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: White space and the word pattern of the vocabulary.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PARTS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
@@ -77,12 +92,28 @@ class Automaton:
         self.made: dict[int, tuple[int, int, int]] = {}
         for rank, (u, v) in enumerate(merges):
             self.gadget(rank, vocab[u], vocab[v], vocab[u + v])
-        #: The longest token by its first letter.
-        self.longest: dict[str, int] = {}
-        for t in vocab:
-            self.longest[t[0]] = max(self.longest.get(t[0], 0), len(t.removesuffix(suffix) if suffix else t))
-        #: Answers about arcs; what is asked for again is kept, up to ARCS.
-        self.arcs: dict[tuple[int, int], bool] = {}
+        #: The trie of all tokens: node and letter -> node; the token of a node, or -1.
+        self.children: dict[int, int] = {}
+        self.token_at = [-1]
+        for token, i in vocab.items():
+            at, last = 0, suffix and token.endswith(suffix) and token != suffix
+            spelled = self.letters(token[: -len(suffix)], True) if last else self.letters(token, False)
+            for letter in spelled:
+                key = at << KEY | letter
+                if key not in self.children:
+                    self.children[key] = len(self.token_at)
+                    self.token_at.append(-1)
+                at = self.children[key]
+            self.token_at[at] = i
+        self.length = {i: len(t.removesuffix(suffix) if suffix else t) for t, i in vocab.items()}
+        self.restart()
+
+    @staticmethod
+    def letters(word: str, ends: bool) -> list[int]:
+        found = list(map(ord, word))
+        if ends and found:
+            found[-1] |= LAST
+        return found
 
     def gadget(self, rank: int, u: int, v: int, t: int) -> None:
         self.cuts.setdefault(u, {})[v] = rank
@@ -100,67 +131,98 @@ class Automaton:
             until, _, state = self.made[state]
 
     def arc(self, state: int, token: int) -> bool:
+        """Whether the state behind the token `state` has an arc for the token."""
         there, until, t = True, NEVER - 1, token
         while there:
             there = self.cut_at(state, t) > until
             if t not in self.made:
                 break
             until, t, _ = self.made[t]
-        if len(self.arcs) >= ARCS:
-            self.arcs.clear()
-        self.arcs[state, token] = there
         return there
 
-    def path(self, letters: str) -> list[int]:
-        """The only path that spells a word, as token ids."""
-        n, vocab, known = len(letters), self.vocab, self.arcs.get
-        dead: set[tuple[int, int]] = set()
-        #: Places, states and arc lengths of the path so far; longer arcs come first.
-        tried: list[tuple[int, int, int]] = []
-        at, state, length = 0, -1, min(self.longest.get(letters[0], 1), n) if n else 0
-        while at < n:
-            while length:
-                stop = at + length
-                t = vocab.get(letters[at:stop] if stop < n else letters[at:] + self.suffix)
-                if t is not None:
-                    there = state < 0 or known((state, t))
-                    if there is None:
-                        there = self.arc(state, t)
-                    if there and not (dead and (stop, t) in dead):
-                        break
-                length -= 1
-            if length:
-                tried.append((at, state, length))
-                at, state = stop, t
-                if at < n:
-                    length = min(self.longest.get(letters[at], 1), n - at)
-            elif tried:
-                dead.add((at, state))
-                at, state, length = tried.pop()
-                length -= 1
-            else:
-                raise ValueError("the vocabulary does not spell this word")
-        return [*(s for _, s, _ in tried[1:]), state] if tried else []
+    def restart(self) -> None:
+        """The table with the first subset alone: nothing read, no token before (-1)."""
+        self.table: dict[int, int] = {}
+        self.subsets: list[tuple[tuple[int, int], ...]] = [((-1, 0),)]
+        self.numbers = {self.subsets[0]: 0}
+        #: The token that ends where a subset stands.
+        self.ends = [-1]
+
+    def step(self, subset: int, letter: int) -> int:
+        """The subset behind the letter, entered into the table."""
+        if len(self.subsets) >= SUBSETS:
+            kept = self.subsets[subset]
+            token = self.ends[subset]
+            self.restart()
+            if subset:
+                subset = self.numbers[kept] = 1
+                self.subsets.append(kept)
+                self.ends.append(token)
+        found, token = [], -1
+        for before, node in self.subsets[subset]:
+            node = self.children.get(node << KEY | letter)
+            if node is not None:
+                found.append((before, node))
+                t = self.token_at[node]
+                if token < 0 <= t and (before < 0 or self.arc(before, t)):
+                    token = t
+        if token < 0:
+            raise ValueError("the vocabulary does not spell this word")
+        made = (*found, (token, 0))
+        number = self.numbers.get(made)
+        if number is None:
+            number = self.numbers[made] = len(self.subsets)
+            self.subsets.append(made)
+            self.ends.append(token)
+        self.table[subset << KEY | letter] = number
+        return number
+
+    def path(self, word: str) -> list[int]:
+        """The tokens of a word: one transition a letter, then back over the tokens that end at each place."""
+        at, ends, look, suffix = 0, [], self.table.get, bool(self.suffix)
+        for letter in self.letters(word, suffix):
+            to = look(at << KEY | letter)
+            if to is None:
+                to = self.step(at, letter)
+                look = self.table.get
+            at = to
+            ends.append(self.ends[at])
+        found, place = [], len(ends)
+        while place:
+            token = ends[place - 1]
+            found.append(token)
+            place -= self.length[token]
+        return found[::-1]
 
 
 class Codec:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
+        self.refuse_others(told)
         model = told["model"]
         self.automaton = Automaton(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
         self.letters = byte_letters()
         self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
         self.labels = self.automaton.label | {i: t for t, i in self.special.items()}
-        self.shown = {i: str(i) for i in self.labels}
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        #: word -> (ids, labels), each joined by blanks
-        self.memo = Memo(self.both)
+        #: word -> ids
+        self.memo = Memo(self.ids)
 
-    def both(self, word: str) -> tuple[str, str]:
+    @staticmethod
+    def refuse_others(told: dict) -> None:
+        """Raise unless the file asks for the steps of this module."""
+        steps = [x["type"] for x in (told["normalizer"] or {}).get("normalizers", [])]
+        before = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+        known = steps == NORMALIZER and [x["type"] for x in before] == ["Split", "ByteLevel"] and before[0]["pattern"] == {"Regex": WORDS}
+        model = told["model"]
+        plain = not any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+        if not known or not plain or told["decoder"] or any(t[x] for t in told["added_tokens"] for x in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("this vocabulary asks for steps that the codec does not know")
+
+    def ids(self, word: str) -> tuple[int, ...]:
         #: Printable ASCII letters stand for themselves.
-        ids = self.automaton.path(word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()]))
-        return " ".join([self.shown[i] for i in ids]), " ".join([self.labels[i] for i in ids])
+        return tuple(self.automaton.path(word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])))
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -170,22 +232,19 @@ class Codec:
         #: Each letter on its own: no special form of a final letter.
         return PARTS.findall("".join(map(str.lower, text)) if "Σ" in text else text.lower())
 
-    def encoded(self, text: str) -> tuple[str, str]:
-        """(ids, labels) of a text, each joined by blanks."""
-        found: list[tuple[str, str]] = []
-        for part in self.at_special.split(text) if "<|" in text else [text]:
+    def encode(self, text: str) -> list[int]:
+        parts = self.at_special.split(text) if any(x in text for x in self.special) else [text]
+        found: list[int] = []
+        for part in parts:
             if part in self.special:
-                found.append((str(self.special[part]), part))
+                found.append(self.special[part])
             else:
-                found += map(self.memo.__getitem__, self.words(part))
-        return " ".join([x[0] for x in found]), " ".join([x[1] for x in found])
-
-    def encode(self, text: str) -> list[int]:
-        return [int(i) for i in self.encoded(text)[0].split()]
+                found += chain.from_iterable(map(self.memo.__getitem__, self.words(part)))
+        return found
 
     def decode(self, ids: list[int]) -> str:
-        """The labels of the arcs, as the vocabulary file has no decoder of its own."""
-        return " ".join([self.labels[i] for i in ids])
+        """The labels of the arcs, parted by blanks, as the vocabulary file has no decoder of its own."""
+        return " ".join(map(self.labels.__getitem__, ids))
 
 
 @lru_cache(maxsize=2)
@@ -203,10 +262,10 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
         for batch in batches:
             n, ids, decoded = [], [], []
             for text in batch.column(1):
-                a, b = c.encoded(text.as_py())
-                n.append(a.count(" ") + 1 if a else 0)
-                ids.append(hashlib.sha256(a.encode()).hexdigest())
-                decoded.append(hashlib.sha256(b.encode()).hexdigest())
+                own = c.encode(text.as_py())
+                n.append(len(own))
+                ids.append(hashlib.sha256(" ".join(map(str, own)).encode()).hexdigest())
+                decoded.append(hashlib.sha256(c.decode(own).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(id_col, text_of(text_col).alias("__t")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -221,12 +280,14 @@ def token_ids(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                both = [c.encoded(text.as_py()) for text in batch.column(1)]
-                ids = [np.fromstring(a, np.int32, sep=" ") if a else np.zeros(0, np.int32) for a, _ in both]
+                ids, digests = [], []
+                for text in batch.column(1):
+                    own = c.encode(text.as_py())
+                    ids.append(np.array(own, np.int32))
+                    digests.append(hashlib.sha256(c.decode(own).encode()).hexdigest())
                 ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
                 lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids), pa.int32()))
-                digests = pa.array([hashlib.sha256(b.encode()).hexdigest() for _, b in both], pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(len, ids)), pa.int64()), lists, digests], names=[id_col, "n_tokens", "ids", "decoded_sha256"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(len, ids)), pa.int64()), lists, pa.array(digests, pa.string())], names=[id_col, "n_tokens", "ids", "decoded_sha256"])
 
     return docs.select(id_col, text_of(text_col).alias("__t")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids array<int>, decoded_sha256 string")
 

@@ -26,7 +26,45 @@ def test_word_automaton_agrees_with_the_library():
     for text in odd_texts():
         ids = library.encode(text, add_special_tokens=False).ids
         assert own.encode(text) == ids
-        assert own.decode(ids) == library.decode(ids, skip_special_tokens=False) == own.encoded(text)[1]
+        assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_one_transition_a_letter(monkeypatch):
+    """Each letter of a word is one look-up; words met before need no new transition, and a full table is begun anew."""
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *k):
+            Counted.asked += 1
+            return super().get(*k)
+
+    library, own = Tokenizer.from_file(WORD), bpe_codec.Codec(WORD).automaton
+    own.table = Counted(own.table)
+    made = []
+    step = own.step
+    monkeypatch.setattr(own, "step", lambda *k: made.append(k) or step(*k))
+    words = ["tokenization", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "unbelievable", "x", "ababababab"]
+    for word in words * 2:
+        Counted.asked = 0
+        assert own.path(word) == library.encode(word, add_special_tokens=False).ids
+        assert Counted.asked == len(word)
+    assert len(made) == len(set(made)) <= sum(map(len, words))
+    #: Of the tokens that a letter completes, exactly one has its arc.
+    for subset in list(own.subsets):
+        for letter in map(ord, "aeinst"):
+            nodes = [(u, own.children.get(x << bpe_codec.KEY | letter)) for u, x in subset]
+            done = [t for u, x in nodes if x is not None and (t := own.token_at[x]) >= 0 and (u < 0 or own.arc(u, t))]
+            assert len(done) == 1
+    monkeypatch.setattr(bpe_codec, "SUBSETS", 5)
+    small = bpe_codec.Codec(WORD)
+    for text in odd_texts(200, 9):
+        assert small.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert len(small.automaton.subsets) <= 5 + 2
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError):
+        bpe_codec.Codec(BYTE)
 
 
 def test_byte_encoder_agrees_with_the_library():
