@@ -21,16 +21,20 @@ all documents.
 Defined results: a null or empty text has no tokens and the probabilities of its empty
 features. Labels that are null count as 0; labels of unknown documents are not used.
 Without any labels all domains are equally likely. Repeated rows get equal rates. An
-empty table gives an empty result. Other columns are not read.
+empty table gives an empty result. Other columns are not read. Targets that no rates
+can meet are not passed over: rates() tells by how far they were missed (misfit), and
+mixed() warns.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom.llm.bloom import carried
 from sparkloom.llm.common import staged, table, text_of
 
 DOMAINS = ("good", "poor", "toxic")
@@ -39,6 +43,8 @@ DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'good' ELSE 'po
 CHANGE, ANCHOR = {"good": 1.0, "poor": 0.5, "toxic": 0.5}, "good"
 #: Words count if twice their information is past GAIN (a G-test with two degrees of freedom at 0.0001).
 SAMPLE, VOCABULARY, GAIN, STEPS, CLOSE = 8_000, 256, 18.4, 24, 1e-6
+#: A larger miss of a target is told.
+WITHIN = 0.01
 SIGNS = "#$%&*!|=<>{}"
 
 
@@ -77,25 +83,27 @@ class Classifier:
         own = f"array({', '.join(surface(text, w))})"
         return f"concat({own}, array_intersect({w}, {quoted(self.vocabulary)}))" if self.vocabulary else own
 
-    def posteriors(self, features: str) -> list[str]:
-        """SQL of the probability of each domain from the array of features."""
-        logits = []
-        for d in DOMAINS:
-            listed = sorted(self.weights)
-            if listed:
-                table = f"map_from_arrays({quoted(listed)}, array({', '.join(f'{self.weights[x][d]:.6f}D' for x in listed)}))"
-                logits.append(f"aggregate({features}, {self.prior[d]:.6f}D, (a, x) -> a + coalesce(try_element_at({table}, x), 0D))")
-            else:
-                logits.append(f"{self.prior[d]:.6f}D")
-        return logits
+    def posteriors(self, features: str) -> str:
+        """SQL of the logits of the domains, an array, from the array of features: one look-up a feature."""
+        names = [f"l{i}" for i in range(len(DOMAINS))]
+        start = "named_struct(" + ", ".join(f"'{n}', {self.prior[d]!r}D" for n, d in zip(names, DOMAINS)) + ")"
+        out = f"s -> array({', '.join(f's.{n}' for n in names)})"
+        listed = sorted(self.weights)
+        if not listed:
+            return f"array({', '.join(f'{self.prior[d]!r}D' for d in DOMAINS)})"
+        each = ", ".join("named_struct(" + ", ".join(f"'{n}', {self.weights[x][d]!r}D" for n, d in zip(names, DOMAINS)) + ")" for x in listed)
+        table = f"map_from_arrays({quoted(listed)}, array({each}))"
+        none = "named_struct(" + ", ".join(f"'{n}', 0D" for n in names) + ")"
+        added = "named_struct(" + ", ".join(f"'{n}', s.{n} + v.{n}" for n in names) + ")"
+        return f"aggregate(transform({features}, x -> coalesce(try_element_at({table}, x), {none})), {start}, (s, v) -> {added}, {out})"
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """At most about SAMPLE labelled documents: __d domain, __t text."""
     known = labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").select(F.col("doc_id").alias("__l"), F.expr(DOMAIN).alias("__d"))
     n = known.count()
-    share = min(1.0, SAMPLE / max(1, n))
-    chosen = known.where(F.pmod(F.xxhash64("__l"), F.lit(1_000_000)) < int(share * 1_000_000)).groupBy("__l").agg(F.min("__d").alias("__d"))
+    #: By the upper 53 bits of a hash, so that the share is fine enough for any number of labels.
+    chosen = known.where(F.shiftrightunsigned(F.xxhash64("__l"), 11) < int(min(1.0, SAMPLE / max(1, n)) * (1 << 53))).groupBy("__l").agg(F.min("__d").alias("__d"))
     #: Bounded by SAMPLE, so that the texts stay where they are.
     return docs.select(F.col(id_col).alias("__l"), text_of(text_col).alias("__t")).join(F.broadcast(chosen), "__l").select("__d", "__t")
 
@@ -131,7 +139,7 @@ def memberships(docs: DataFrame, model: Classifier, text_col: str = "text", keep
     """The columns to keep, __tokens, __p0, __p1, ..."""
     rows = docs.select(*keep, text_of(text_col).alias("__t")).withColumn("__w", F.expr(words("__t")))
     rows = rows.withColumn("__f", F.expr(model.features("__w", "__t"))).withColumn("__tokens", F.size("__w").cast("double"))
-    rows = rows.withColumn("__l", F.array(*(F.expr(x) for x in model.posteriors("__f"))))
+    rows = rows.withColumn("__l", F.expr(model.posteriors("__f")))
     rows = rows.withColumn("__e", F.expr("transform(__l, x -> exp(x - array_max(__l)))"))
     #: Formally not deterministic, so that Catalyst computes the probabilities once and moves no filter below them.
     rows = rows.withColumn("__z", F.expr("aggregate(__e, 0D, (a, x) -> a + x)") + F.monotonically_increasing_id() * F.lit(0.0))
@@ -199,27 +207,34 @@ def solve(parts: DataFrame, target: dict[str, float] | None = None) -> tuple[lis
     return steps, wanted, met
 
 
+def misfit(wanted: list[float], met: list[float]) -> float:
+    """The largest miss of a domain's total, as a share of all that is wanted."""
+    return max(abs(a - b) for a, b in zip(wanted, met)) / (sum(wanted) or 1.0)
+
+
 def rates(docs: DataFrame, labels: DataFrame, target: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_tokens, p_<domain>, rate."""
+    """One row per document: id, n_tokens, p_<domain>, rate, and how far the targets were missed (misfit, equal in all rows)."""
     parts = staged(memberships(docs, fit(docs, labels, id_col, text_col), text_col, [id_col]), "mixing")
-    steps, _, _ = solve(parts, target)
-    return parts.select(id_col, F.col("__tokens").cast("long").alias("n_tokens"), *(F.round(F.col(f"__p{i}"), 6).alias(f"p_{d}") for i, d in enumerate(DOMAINS)), F.round(rate(steps), 6).alias("rate"))
+    steps, wanted, met = solve(parts, target)
+    return parts.select(id_col, F.col("__tokens").cast("long").alias("n_tokens"), *(F.round(F.col(f"__p{i}"), 6).alias(f"p_{d}") for i, d in enumerate(DOMAINS)), F.round(rate(steps), 6).alias("rate"), F.lit(round(misfit(wanted, met), 6)).alias("misfit"))
 
 
 def mixed(docs: DataFrame, labels: DataFrame, target: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", repeat: bool = False, seed: int = 0) -> DataFrame:
     """The documents that the rates choose, with all their columns: each stays with
-    probability rate (by the hash of its id); with repeat, rates above 1 give copies."""
+    probability rate (by the hash of its id and text); with repeat, rates above 1 give copies.
+
+    Texts are classified once: the rows are staged with their probabilities."""
     model = fit(docs, labels, id_col, text_col)
-    parts = staged(memberships(docs, model, text_col), "mixing")
-    steps, _, _ = solve(parts, target)
-    own = F.struct(*(F.col(f"`{c}`").alias(c) for c in docs.columns)).alias("__row")
-    rows = memberships(docs.select(own, F.col(text_col).alias("__text"), F.col(id_col).alias("__id")), model, "__text", ["__row", "__id"])
-    chance = F.pmod(F.xxhash64("__id", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
-    rows = rows.select("__row", F.floor(rate(steps) + 1e-9 + chance).alias("__n"))
-    rows = rows.where("__n >= 1")
+    chance = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.when(F.col(id_col).isNull(), F.col(text_col)), F.lit(seed)), 11) / F.lit(float(1 << 53))
+    rows = memberships(docs.select(carried(docs), F.col(text_col).alias("__text"), chance.alias("__chance")), model, "__text", ["__row", "__chance"])
+    parts = staged(rows, "mixing", compression="snappy")
+    steps, wanted, met = solve(parts, target)
+    if (far := misfit(wanted, met)) > WITHIN:
+        warnings.warn(f"mixing: no rates meet the targets; wanted {wanted}, met {met}, {far:.1%} off", stacklevel=2)
+    chosen = parts.select("__row", F.floor(rate(steps) + 1e-9 + F.col("__chance")).alias("__times")).where("__times >= 1")
     if repeat:
-        rows = rows.select("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
-    return rows.select("__row.*")
+        chosen = chosen.select("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
+    return chosen.select("__row.*")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

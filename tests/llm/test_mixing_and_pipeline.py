@@ -42,6 +42,68 @@ def test_the_solver_against_brute_force(spark):
     assert max(abs(sum(x * row[0] * row[1 + d] for x, row in zip(r, rows)) - met[d]) for d in range(3)) < 1e-3 * sum(wanted)
 
 
+def plain_features(text, vocabulary):
+    """The features of a text, in plain Python."""
+    import math
+    import re
+
+    w = [x for x in re.split('[ \\x00-\\x1f.,;:?!|#$%&*()"]+', text.lower()) if x]
+    half = lambda v: math.floor(v + 0.5)
+    scale = lambda v: half(math.log2(1 + v))
+    per = max(1, len(text))
+    found = [f"~{c}{scale(1000 * text.count(c) / per)}" for c in mixing.SIGNS]
+    found += [f"~upper{scale(1000 * len(re.findall('[A-Z]{3}', text)) / per)}", f"~distinct{half(10 * len(set(w)) / max(1, len(w)))}", f"~length{scale(len(w))}", f"~word{half(len(text) / max(1, len(w)))}"]
+    return w, [*found, *dict.fromkeys(x for x in w if x in set(vocabulary))]
+
+
+def test_posteriors_against_brute_force(spark):
+    """Naive Bayes counted and applied in plain Python."""
+    import math
+
+    d, l = made(spark)
+    model = mixing.fit(d, l)
+    text = {r.doc_id: r.text for r in d.collect()}
+    domain = {r.doc_id: "toxic" if r.toxic else "good" if r.quality else "poor" for r in l.collect()}
+    n = {x: sum(v == x for v in domain.values()) for x in mixing.DOMAINS}
+    seen = {}
+    for i, x in domain.items():
+        for f in plain_features(text[i], model.vocabulary)[1]:
+            seen.setdefault(f, dict.fromkeys(mixing.DOMAINS, 0))[x] += 1
+    logs = {f: {x: math.log((c[x] + 0.5) / (n[x] + 1)) for x in n} for f, c in seen.items()}
+    assert set(model.vocabulary) >= {"meadow", "deal", "idiot"}
+    for r in mixing.rates(d, l).collect():
+        w, features = plain_features(text[r.doc_id], model.vocabulary)
+        score = {x: math.log((n[x] + 1) / (len(domain) + 3)) + sum(logs[f][x] - sum(logs[f].values()) / 3 for f in features if f in logs) for x in n}
+        top = max(score.values())
+        whole = sum(math.exp(v - top) for v in score.values())
+        assert r.n_tokens == len(w)
+        assert all(abs(r[f"p_{x}"] - math.exp(score[x] - top) / whole) < 2e-6 for x in n)
+
+
+def test_targets_that_cannot_be_met_are_told(spark):
+    import warnings
+
+    d, l = made(spark)
+    one_domain = d.where("doc_id % 3 = 0")
+    target = {"good": 0.0, "poor": 0.5, "toxic": 0.5}
+    assert mixing.rates(one_domain, l, target).first().misfit > mixing.WITHIN
+    with warnings.catch_warnings(record=True) as told:
+        warnings.simplefilter("always")
+        mixing.mixed(one_domain, l, target)
+        mixing.mixed(d, l)
+    assert sum("no rates meet the targets" in str(x.message) for x in told) == 1
+
+
+def test_mixing_of_awkward_rows(spark):
+    from pyspark.sql import functions as F
+
+    d, l = made(spark, 60)
+    more = d.withColumn("meta.x", F.lit("a")).withColumn("__row", F.lit("r")).withColumn("__tokens", F.lit("t")).withColumn("__f", F.col("doc_id"))
+    kept = mixing.mixed(more, l)
+    assert kept.dtypes == more.dtypes and all((r["meta.x"], r["__row"], r["__tokens"], r["__f"]) == ("a", "r", "t", r.doc_id) for r in kept.collect())
+    assert mixing.mixed(more.limit(0), l).count() == 0 and mixing.mixed(docs(spark), labels(spark, [])).columns == docs(spark).columns
+
+
 def test_mixing_keeps_clean_documents_and_columns(spark):
     d, l = made(spark)
     kept = mixing.mixed(d, l)
