@@ -179,7 +179,7 @@ def licence_labels(t):
 def test_several_licences_in_long_prose(spark):
     r = random.Random(7)
     lines = [x for _, *both in license_scan.TEMPLATES for x in both]
-    bsd = license_scan.TEMPLATES[1][1]
+    bsd = next(line for label, line, _ in license_scan.TEMPLATES if label == "bsd")
     prose = "charge copy domain fee forms free " + "lorem ipsum " * 200
     texts = [f"{bsd}. {lines[0]}", f"{bsd}; Released under the MIT License", *(f"{prose} {x} {prose}" for x in lines)]
     words = sorted({w for x in lines for w in x.split()})
@@ -192,6 +192,16 @@ def test_several_licences_in_long_prose(spark):
         assert got[i][0] == labels and got[i][1] == pytest.approx(score), t
 
 
+def test_every_line_in_one_text_and_many_templates(spark):
+    """No licence crowds out another; the plan does not grow with the templates."""
+    every = " and so on ".join(line for _, line, _ in license_scan.TEMPLATES)
+    got = license_scan.scan(docs(spark, [(1, every), (2, every + " " + every)])).collect()
+    assert {r.labels for r in got} == {licence_labels(every)[0]} and set(license_scan.TEMPLATES[0]) and len({label for label, _, _ in license_scan.TEMPLATES} - set(got[0].labels.split(","))) == 0
+    many = tuple((f"own-{k}", f"this text is under the terms of license number{k} of maker{k % 7}", f"license number{k} of maker{k % 7}") for k in range(300))
+    got = {r.doc_id: r.labels for r in license_scan.scan(docs(spark, [(k, f"see license number{k} of maker{k % 7} here") for k in range(0, 300, 11)]), templates=many).collect()}
+    assert got == {k: f"own-{k}" for k in range(0, 300, 11)}
+
+
 def test_licence_query(spark, sf_dir):
     text = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for r in license_scan.op3_license_scan(spark, sf_dir).collect():
