@@ -85,6 +85,10 @@ def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, l
     hot = groups.where(large).select(*keys, F.struct(*more).alias("__hot"))
     cold = groups.where(~large).select(*keys, F.lit(0).alias("__salt"), F.struct(*more).alias("__cold"))
     marked = rows.join(F.broadcast(hot), keys, "left")
-    salt = F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(F.lit(1) + F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int"))
+    #: Null keys fit no group, so they are spread too.
+    meets = F.col("__hot").isNull()
+    for k in keys:
+        meets &= F.col(k).isNotNull()
+    salt = F.when(meets, F.lit(0)).otherwise(F.lit(1) + F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int"))
     met = marked.withColumn("__salt", salt).join(cold, [*keys, "__salt"], "left")
     return met.select(*rows.columns, *(F.coalesce(f"__hot.{c}", f"__cold.{c}").alias(c) for c in more))
