@@ -386,7 +386,7 @@ def test_peeling_recovers_and_fails_honestly():
 
 # URLs
 
-URLS = [None, "no scheme", "http://org/", "HTTP://A.Example.ORG/en/12?x", "https://x.example.org/es", "https://x.example.org/es/1", "http://y.com/fr/a#b", "http://com/de/", "http://notcom/de/", "http://z.com", "http://q.com?u=http://org/", "http://spam-farm.example.org", "http://m.cheap-pills.example.com/x", "://a.org/", "http://example.org/en/1", "http://" + "a." * 3000 + "org/x", "http://example.com/" + "p" * 100_000]
+URLS = [None, "no scheme", "http://org/", "HTTP://A.Example.ORG/en/12?x", "https://x.example.org/es", "https://x.example.org/es/1", "http://y.com/fr/a#b", "http://com/de/", "http://notcom/de/", "http://z.com", "http://q.com?u=http://org/", "http://spam-farm.example.org", "http://m.cheap-pills.example.com/x", "://a.org/", "http://example.org/en/1", "http://" + "a." * 3000 + "org/x", "http://example.com/" + "p" * 100_000, "http://user:pw@Casino.Example.NET.:8080", "http://x.example.com:80//ads//1", "http://x.example.org/de//ads/", "http://@:80/x", "http://notcasino.example.com/ads"]
 
 
 def pages(spark, urls):
@@ -400,8 +400,10 @@ def judged(url):
         host = re.match("[^/?#]*", rest)[0]
         path = re.match("[^?#]*", rest[len(host) :])[0]
         host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
-    fits = lambda rules: max(((len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)), default=None)
-    base, more = fits(url_filter.RULES), fits(url_filter.LISTED)
+    own = re.sub(r"\.$", "", re.sub(":[0-9]*$", "", host.split("@")[-1]))
+    own_path = re.sub("/+", "/", "/" + path) if own else ""
+    fits = lambda rules, host, path: max(((len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)), default=None)
+    base, more = fits(url_filter.RULES, host, path), fits(url_filter.default_list(), own, own_path)
     return host, path, base and base[1], (base or more or (0, "", "allow"))[2]
 
 
@@ -410,10 +412,21 @@ def test_urls(spark):
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages(spark, urls), url_filter.listed(spark)).collect()}
     assert got == {i: judged(u) for i, u in enumerate(urls)}
     assert url_filter.judge(pages(spark, []), url_filter.listed(spark)).count() == 0
-    none = url_filter.judge(pages(spark, URLS[:3]), url_filter.listed(spark, (), ())).collect()
+    long_list = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages(spark, urls), url_filter.listed(spark), broadcast=0).collect()}
+    assert long_list == got
+    nothing = spark.createDataFrame([], "host string, path string, verdict string")
+    none = url_filter.judge(pages(spark, URLS[:3]), url_filter.listed(spark, (), nothing)).collect()
     assert {r.verdict for r in none} == {"allow"}
 
 
+def test_a_list_from_a_table(spark):
+    """Entries in any form, null and repeated ones; frequent and null URLs."""
+    own = spark.createDataFrame([("Bad.Example.com:80", None, "block"), ("u@bad.example.com.", "", "block"), ("shop.example.com", "//a", "block"), (None, "/", "block"), ("x.com", "/", None), ("", "/", "block")], "host string, path string, verdict string")
+    urls = ["http://bad.example.com"] * 50 + [None] * 50 + ["http://www.shop.example.com/ab", "http://shop.example.com/b", "http://x.com/"]
+    got = [(r.page_id, r.rule, r.verdict) for r in url_filter.judge(pages(spark, urls), url_filter.listed(spark, (), own)).collect()]
+    assert sorted(got) == [(i, None, "block" if i < 50 or i == 100 else "allow") for i in range(len(urls))]
+
+
 def test_urls_agree_with_sql(spark, sf_dir):
     found = url_filter.op9_url_filter(spark, sf_dir).toPandas()
     assert rows(found) == rows(duck(sf_dir).execute(url_filter.ORACLE["op9_url_filter"]).fetchdf())
