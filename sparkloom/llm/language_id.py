@@ -6,11 +6,12 @@ where the last one ended is one phrase. Phrases times the logarithm of the lengt
 the labelled text, per letter, estimate the cross entropy; the language with the
 least wins, the first by name on a tie.
 
-The automata come from a bounded sample of labelled rows (SAMPLE_DOCS a language,
-CHARS letters a language, MODEL_CHARS in all, LANGUAGES with most rows; of every labelled row, those with the
-least hash of their id), so the broadcast table is bounded. Every text is parsed whole, in
-blocks of BLOCK letters that run side by side; a block's end ends a phrase, for every
-language alike.
+The automata come from a bounded sample of labelled rows: SAMPLE_DOCS a language, those
+with the least hash of their id, and of each a window of at most WINDOW characters that
+begins at a hashed place; CHARS letters a language, of which long texts take what short
+ones leave; MODEL_CHARS letters in all, shared evenly where there are over 100 languages;
+the LANGUAGES with most rows. So the broadcast table is bounded. Every text is parsed
+whole and as one: texts of up to LONG letters side by side, longer ones letter by letter.
 
 Defined results: `und` with score 0 for a null text, one without a letter, or where
 nothing was learned. Rows without doc_id are neither held out nor learned from.
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm.common import table
 
-SAMPLE_DOCS, CHARS, MODEL_CHARS, LANGUAGES = 96, 20_000, 400_000, 200
-BLOCK, LANES = 1024, 4096
+SAMPLE_DOCS, CHARS, MODEL_CHARS, LANGUAGES = 96, 20_000, 2_000_000, 1000
+WINDOW = 8 * CHARS // SAMPLE_DOCS
+LONG, LANES = 2048, 4096
 NONE, OTHER = 0, 1  # codes: not a letter (runs count once), a letter that no language has learned
 DEAD, ROOT = 0, 1
 FREE, SPREAD = -1, np.uint64(0x9E3779B97F4A7C15)
@@ -51,6 +53,10 @@ class Arcs:
             left = left[self.keys[slot[left]] != keys[left]]
             slot[left] = (slot[left] + 1) & self.mask
 
+    def as_dict(self) -> dict[int, int]:
+        at = np.flatnonzero(self.keys != FREE)
+        return dict(zip(self.keys[at].tolist(), self.to[at].tolist()))
+
     def slots(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * SPREAD) >> self.shift).astype(np.int64)
 
@@ -112,6 +118,15 @@ def suffix_automaton(codes: list[int], size: int) -> np.ndarray:
     return out
 
 
+def shared(texts: list[np.ndarray], most: int) -> list[np.ndarray]:
+    """The texts cut to `most` letters together: an even share each, long ones taking what short ones leave."""
+    out, left = list(texts), most
+    for k, i in enumerate(sorted(range(len(texts)), key=lambda i: len(texts[i]))):
+        out[i] = texts[i][: left // (len(texts) - k)]
+        left -= len(out[i])
+    return out
+
+
 class Model:
     def __init__(self, samples: dict[str, list[str]]):
         """samples: texts by language."""
@@ -124,8 +139,7 @@ class Model:
         self.weights, roots, states, codes, to, start = [], [], [], [], [], 0
         for name in self.languages:
             texts = samples[name]
-            share = most // max(1, len(texts))
-            own = [int(c) for t in texts for c in [NONE, *self.coded(t)[:share]]]
+            own = [int(c) for t in shared([self.coded(t) for t in texts], most) for c in [NONE, *t]]
             arcs = suffix_arcs(own)
             n = [len(a) for a in arcs]
             states.append(np.repeat(np.arange(len(arcs)), n) + start)
@@ -137,13 +151,42 @@ class Model:
         #: All automata in one table, the states numbered through; DEAD is no target. A row of first a language.
         self.roots = np.array(roots, np.int32)
         self.first = np.zeros((len(roots), self.size), np.int32)
+        self.plain: dict[int, int] = {}
         if roots:
             states, codes, to = np.concatenate(states), np.concatenate(codes), np.concatenate(to)
             self.arcs = Arcs(states * self.size + codes, to)
             own = np.flatnonzero(np.isin(states, self.roots))
             self.first[np.searchsorted(self.roots, states[own]), codes[own]] = to[own]
+            self.plain = dict(zip((states * self.size + codes).tolist(), to.tolist()))
         self.lookup = None  # made anew in each worker
 
+    def __getstate__(self):
+        """Sent without what the arcs hold already."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("plain", "lookup")}
+
+    def __setstate__(self, state):
+        self.__dict__ |= state
+        self.lookup = None
+        self.plain = self.arcs.as_dict() if self.languages else {}
+
+    def phrases_of(self, codes: np.ndarray) -> list[int]:
+        """Phrases of one text by language, letter by letter."""
+        letters, out, size, look = codes.tolist(), [], self.size, self.plain.get
+        for root in self.roots.tolist():
+            state, count = root, 0
+            for c in letters:
+                to = look(state * size + c)
+                if to is None:
+                    #: A miss ends the phrase; a code that no phrase can start with is one of its own.
+                    count += 1
+                    to = look(root * size + c)
+                    if to is None:
+                        count += state != root
+                        to = root
+                state = to
+            out.append(count + (state != root))
+        return out
+
     def coded(self, text: str) -> np.ndarray:
         if self.lookup is None:
             self.lookup = np.zeros(0x110000, np.int32)
@@ -185,23 +228,18 @@ class Model:
         has_letter = np.array([bool(len(c)) and bool(c.any()) for c in coded], bool)
         total = np.zeros((len(self.languages), len(texts)), np.int64)
         if self.languages:
-            owner, blocks = [], []
-            for i, c in enumerate(coded):
-                if has_letter[i]:
-                    for at in range(0, len(c), BLOCK):
-                        owner.append(i)
-                        blocks.append(c[at : at + BLOCK])
-            order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
+            order = sorted((i for i in range(len(coded)) if has_letter[i]), key=lambda i: -len(coded[i]))
+            for i in order:
+                if len(coded[i]) > LONG:
+                    total[:, i] = self.phrases_of(coded[i])
+            order = [i for i in order if len(coded[i]) <= LONG]
             for at in range(0, len(order), LANES):
                 part = order[at : at + LANES]
-                lengths = np.array([len(blocks[k]) for k in part])
+                lengths = np.array([len(coded[i]) for i in part])
                 flat = np.zeros((len(part), lengths[0]), np.int32)
-                for j, k in enumerate(part):
-                    flat[j, : lengths[j]] = blocks[k]
-                lanes = np.ascontiguousarray(flat.T)
-                own = self.phrases(lanes, lengths)
-                for language in range(len(self.languages)):
-                    np.add.at(total[language], np.array([owner[k] for k in part]), own[language])
+                for j, i in enumerate(part):
+                    flat[j, : lengths[j]] = coded[i]
+                total[:, part] = self.phrases(np.ascontiguousarray(flat.T), lengths)
         names, scores = [], []
         cost = total * np.array(self.weights)[:, None] if self.languages else total
         for i in range(len(texts)):
@@ -235,7 +273,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     able = able.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.xxhash64(F.col(id_col)).alias("__h"))
     #: Ids only; the rank limit cuts each partition to SAMPLE_DOCS rows a language before the shuffle.
     chosen = able.join(F.broadcast(names), "__lang", "left_semi").withColumn("__r", F.row_number().over(Window.partitionBy("__lang").orderBy("__h", "__id"))).where(f"__r <= {SAMPLE_DOCS}").select("__id", "__lang")
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.substring(F.col(text_col), 1, 8 * CHARS // SAMPLE_DOCS).alias("__t")).join(F.broadcast(chosen.distinct()), ["__id", "__lang"])
+    whole = F.col(text_col).cast("string")
+    start = F.lit(1) + F.pmod(F.xxhash64(F.col(id_col), F.lit(1)), F.greatest(F.lit(1), F.length(whole) - F.lit(WINDOW))).cast("int")
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.substring(whole, start, F.lit(WINDOW)).alias("__t")).join(F.broadcast(chosen.distinct()), ["__id", "__lang"])
     rows = rows.groupBy("__id", "__lang").agg(F.min("__t").alias("__t")).collect()
     samples: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["__lang"], r["__id"], r["__t"])):

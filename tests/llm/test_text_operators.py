@@ -285,23 +285,36 @@ def test_phrases_against_brute_force():
     r = random.Random(5)
     text = "".join(r.choice("abcdxyz ") for _ in range(3000))
     reference = "".join(map(chr, [0, *model.coded("abcabd abx")]))
-    codes, count = "".join(map(chr, model.coded(text))), 0
-    for at in range(0, len(codes), language_id.BLOCK):
-        block, i = codes[at : at + language_id.BLOCK], 0
-        while i < len(block):
-            n = 0
-            while i + n < len(block) and block[i : i + n + 1] in reference:
-                n += 1
-            i += max(1, n)
-            count += 1
+    codes, count, i = "".join(map(chr, model.coded(text))), 0, 0
+    while i < len(codes):
+        n = 0
+        while i + n < len(codes) and codes[i : i + n + 1] in reference:
+            n += 1
+        i += max(1, n)
+        count += 1
+    import pickle
+
     import numpy as np
 
-    own = 0
     coded = model.coded(text)
-    for at in range(0, len(coded), language_id.BLOCK):
-        part = coded[at : at + language_id.BLOCK]
-        own += int(model.phrases(part[:, None], np.array([len(part)]))[0, 0])
-    assert own == count
+    assert len(coded) > language_id.LONG
+    assert int(model.phrases(coded[:, None], np.array([len(coded)]))[0, 0]) == count
+    sent = pickle.loads(pickle.dumps(model))
+    assert model.phrases_of(coded) == sent.phrases_of(coded) and sent.phrases_of(coded)[0] == count
+    #: Long and short texts of one batch, by both ways.
+    texts = ["".join(r.choice("abcdxyz ") for _ in range(n)) for n in (5, 2100, 40, 4000, 2048, 2049)]
+    by_letter = [model.phrases_of(model.coded(t)) for t in texts]
+    weights = np.array(model.weights)
+    want = [model.languages[int(np.argmin(np.array(x) * weights))] for x in by_letter]
+    assert sent.predict(texts)[0] == want
+
+
+def test_shares_of_a_budget():
+    import numpy as np
+
+    texts = [np.zeros(n) for n in (5, 100, 40)]
+    assert [len(x) for x in language_id.shared(texts, 90)] == [5, 45, 40]
+    assert [len(x) for x in language_id.shared(texts, 1000)] == [5, 100, 40] and language_id.shared([], 5) == []
 
 
 def test_languages_of_several_scripts():
