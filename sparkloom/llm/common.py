@@ -37,13 +37,14 @@ def shared_dir(spark: SparkSession) -> str:
     return name.rstrip("/")
 
 
-def _staging(spark: SparkSession) -> str:
+def staging(spark: SparkSession) -> str:
+    """The folder of this application, which clear_staged deletes."""
     return f"{shared_dir(spark)}/staged-{spark.sparkContext.applicationId}"
 
 
 def clear_staged(spark: SparkSession) -> None:
     """Delete what this application has staged; to be called when its results are written."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging(spark))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -59,7 +60,7 @@ def staged(df: DataFrame, label: str, rows: int | None = None, compression: str
     it is known; a small table then has few files. Narrow tables hold hashes, which no
     codec makes smaller; tables of texts should name one.
     """
-    path = f"{_staging(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = f"{staging(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     if rows is not None:
         df = df.coalesce(max(FILES, -(-rows // ROWS_A_FILE)))
     df.write.option("compression", compression).parquet(path)

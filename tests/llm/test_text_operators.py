@@ -63,8 +63,19 @@ def test_one_transition_a_letter(monkeypatch):
 
 
 def test_other_vocabularies_are_refused():
-    with pytest.raises(ValueError):
-        bpe_codec.Codec(BYTE)
+    for make, path in ((bpe_codec.Codec, BYTE), (token_files.Encoder, WORD)):
+        with pytest.raises(ValueError):
+            make(path)
+
+
+def test_numbers_by_range(tmp_path):
+    import numpy as np
+    import pyarrow.fs as pafs
+
+    np.arange(50, dtype="<i8").tofile(tmp_path / "x")
+    far = pafs.SubTreeFileSystem(str(tmp_path), pafs.LocalFileSystem())
+    for fs, path in ((pafs.LocalFileSystem(), str(tmp_path / "x")), (far, "x")):
+        assert token_files.Numbers(fs, path, "<i8")[7:12].tolist() == [7, 8, 9, 10, 11]
 
 
 def test_byte_encoder_agrees_with_the_library():
@@ -93,9 +104,16 @@ def test_token_files_round_trip(spark, tmp_path):
     import numpy as np
 
     library = Tokenizer.from_file(BYTE)
-    for name, rows_ in (("some", TEXTS), ("none", []), ("one", [(5, "a")])):
+    null_ids = [(None, f"text {k}") for k in range(200)] + [(3, "same id")] * 100
+    for name, rows_, piece in (("some", TEXTS, token_files.PIECE), ("none", [], 100), ("one", [(5, "a")], 1), ("small", TEXTS, 64), ("nulls", null_ids, 300)):
         folder = f"file://{tmp_path}/{name}"
-        manifest = token_files.write(docs(spark, rows_), BYTE, folder, partitions=3)
+        if rows_:
+            (tmp_path / name).mkdir()
+            (tmp_path / name / "part-000000-0000-lost.bin").write_bytes(b"x")
+        manifest = token_files.write(docs(spark, rows_), BYTE, folder, partitions=3, piece=piece)
+        assert not rows_ or {p.stem for p in (tmp_path / name).iterdir()} == {r.name for r in manifest.collect()}
+        if name == "nulls":
+            assert manifest.count() > 3 and {r.part for r in manifest.collect()} == {0, 1, 2}
         got = token_files.read(manifest, folder).collect()
         ordered = sorted((x for x in rows_), key=lambda x: (x[0] is not None, x[0] or 0))
         assert sorted(((r.doc_id is not None, r.doc_id or 0) for r in got)) == sorted((i is not None, i or 0) for i, _ in ordered)
