@@ -84,18 +84,11 @@ class Classifier:
         return f"concat({own}, array_intersect({w}, {quoted(self.vocabulary)}))" if self.vocabulary else own
 
     def posteriors(self, features: str) -> str:
-        """SQL of the logits of the domains, an array, from the array of features: one look-up a feature."""
-        names = [f"l{i}" for i in range(len(DOMAINS))]
-        start = "named_struct(" + ", ".join(f"'{n}', {self.prior[d]!r}D" for n, d in zip(names, DOMAINS)) + ")"
-        out = f"s -> array({', '.join(f's.{n}' for n in names)})"
+        """SQL of the logits of the domains, an array, from the array of features."""
         listed = sorted(self.weights)
-        if not listed:
-            return f"array({', '.join(f'{self.prior[d]!r}D' for d in DOMAINS)})"
-        each = ", ".join("named_struct(" + ", ".join(f"'{n}', {self.weights[x][d]!r}D" for n, d in zip(names, DOMAINS)) + ")" for x in listed)
-        table = f"map_from_arrays({quoted(listed)}, array({each}))"
-        none = "named_struct(" + ", ".join(f"'{n}', 0D" for n in names) + ")"
-        added = "named_struct(" + ", ".join(f"'{n}', s.{n} + v.{n}" for n in names) + ")"
-        return f"aggregate(transform({features}, x -> coalesce(try_element_at({table}, x), {none})), {start}, (s, v) -> {added}, {out})"
+        table = {d: f"map_from_arrays({quoted(listed)}, array({', '.join(f'{self.weights[x][d]!r}D' for x in listed)}))" for d in DOMAINS} if listed else {}
+        each = [f"aggregate({features}, {self.prior[d]!r}D, (a, x) -> a + coalesce(try_element_at({table[d]}, x), 0D))" if listed else f"{self.prior[d]!r}D" for d in DOMAINS]
+        return f"array({', '.join(each)})"
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
