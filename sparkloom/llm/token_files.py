@@ -3,7 +3,8 @@
 Documents are dealt out by ranges of doc_id (and of their texts' hashes, so that rows of
 one id or of none may be spread) and sorted within each. A task streams its documents
 into sets of three files of the shared folder, named by partition, piece and attempt; a
-set is closed and the next one begun when its ids reach PIECE bytes:
+set is closed and the next one begun when its ids reach PIECE bytes (after GROUP
+documents at the earliest):
 
 - .bin  token ids, unsigned little-endian, 16 bits each if the vocabulary fits, else 32
 - .off  the place of each document's first id in .bin, and the end: 64-bit
@@ -47,6 +48,8 @@ from sparkloom.llm.memo import Memo
 PARTS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 LATIN_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{BLANKS}{LETTERS}{NUMBERS}]+|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+")
 ROWS, PIECE = 4096, 256 << 20
+#: Words that a worker keeps; documents that it encodes before it writes.
+ENTRIES, GROUP = 300_000, 256
 
 
 def store(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -75,7 +78,7 @@ class Encoder:
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.letters = byte_letters()
-        self.memo = Memo(self.packed)
+        self.memo = Memo(self.packed, ENTRIES)
 
     def packed(self, word: str) -> bytes:
         """The library's model takes a word as the letters of its bytes."""
@@ -83,7 +86,7 @@ class Encoder:
         return array("H" if self.kind == "<u2" else "I", [t.id for t in tokens]).tobytes()
 
     def encoded(self, text: str) -> bytes:
-        if self.at_special is not None and self.at_special.search(text):
+        if any(x in text for x in self.special):
             parts = self.at_special.split(text)
             return b"".join(np.array([self.special[p]], self.kind).tobytes() if p in self.special else self.encoded(p) for p in parts if p)
         return b"".join(map(self.memo.__getitem__, (LATIN_PARTS if is_latin(text) else PARTS).findall(text)))
@@ -99,25 +102,22 @@ MANIFEST = "part int, piece int, name string, kind string, n_docs long, n_nulls
 TYPES = (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
 
 
-def one_piece(fs: pafs.FileSystem, path: str, e: Encoder, end: bytes, rows, most: int) -> tuple[int, int, int, bool]:
-    """Write rows (doc_id, text) to the three files until the ids reach `most` bytes: documents, null ids, tokens, and whether rows are left."""
+def one_piece(fs: pafs.FileSystem, path: str, e: Encoder, end: bytes, groups, most: int) -> tuple[int, int, int]:
+    """Write groups of documents (doc_ids, texts) to the three files until the ids reach `most` bytes: documents, null ids, tokens."""
     n_docs = n_nulls = n_tokens = 0
-    left = False
     with fs.open_output_stream(path + ".bin") as tokens, fs.open_output_stream(path + ".off") as offsets, fs.open_output_stream(path + ".ids") as ids:
-        for doc_id, text in rows:
-            offsets.write(n_tokens.to_bytes(8, "little"))
-            tokens.write(own := e.encoded(text) + end)
-            n_tokens += len(own) // len(end)
-            n_docs += 1
-            if doc_id is None:
-                n_nulls += 1
-            else:
-                ids.write(doc_id.to_bytes(8, "little", signed=True))
+        for doc_ids, texts in groups:
+            own = [e.encoded(t) + end for t in texts.to_pylist()]
+            ends = n_tokens + np.cumsum([0, *map(len, own)]) // len(end)
+            tokens.write(b"".join(own))
+            offsets.write(ends[:-1].astype("<i8").tobytes())
+            known = doc_ids.drop_null()
+            ids.write(np.asarray(known).astype("<i8").tobytes())
+            n_docs, n_nulls, n_tokens = n_docs + len(own), n_nulls + len(own) - len(known), int(ends[-1])
             if n_tokens * len(end) >= most:
-                left = True
                 break
         offsets.write(n_tokens.to_bytes(8, "little"))
-    return n_docs, n_nulls, n_tokens, left
+    return n_docs, n_nulls, n_tokens
 
 
 def write(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None, piece: int = PIECE) -> DataFrame:
@@ -126,8 +126,8 @@ def write(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, id_col
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
-        rows = ((i.as_py(), t.as_py()) for b in batches for i, t in zip(b.column(0), b.column(1)))
-        first = next(rows, None)
+        groups = ((b.column(0).slice(at, GROUP), b.column(1).slice(at, GROUP)) for b in batches for at in range(0, b.num_rows, GROUP))
+        first = next(groups, None)
         if first is None:
             return
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
@@ -138,9 +138,9 @@ def write(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, id_col
         number = 0
         while first is not None:
             name = f"part-{part:06d}-{number:04d}-{attempt}"
-            *counts, left = one_piece(fs, f"{root}/{name}", e, end, chain([first], rows), piece)
+            counts = one_piece(fs, f"{root}/{name}", e, end, chain([first], groups), piece)
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((part, number, name, e.kind, *counts), TYPES)], names=[x.split()[0] for x in MANIFEST.split(", ")])
-            first = next(rows, None) if left else None
+            first = next(groups, None)
             number += 1
 
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), text_of(text_col).alias("__t"))
