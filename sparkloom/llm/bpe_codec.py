@@ -51,8 +51,8 @@ from sparkloom.llm.common import table, text_of
 from sparkloom.llm.memo import Memo
 
 NEVER = 1 << 60
-#: Subsets that a worker keeps; when there are more, the table is begun anew.
-SUBSETS = 100_000
+#: Subsets and answers about arcs that a worker keeps (when there are more, they are begun anew), and words.
+SUBSETS, ARCS, ENTRIES = 200_000, 250_000, 300_000
 #: The mark of a word's last letter, and the shift of a state or node in a key.
 LAST, KEY = 1 << 21, 22
 #: The steps before the merges that this module knows.
@@ -105,6 +105,9 @@ class Automaton:
                     self.token_at.append(-1)
                 at = self.children[key]
             self.token_at[at] = i
+        #: Nodes that lead on; no token is under way at others.
+        self.inner = {key >> KEY for key in self.children}
+        self.known: dict[tuple[int, int], bool] = {}
         self.length = {i: len(t.removesuffix(suffix) if suffix else t) for t, i in vocab.items()}
         self.restart()
 
@@ -132,12 +135,18 @@ class Automaton:
 
     def arc(self, state: int, token: int) -> bool:
         """Whether the state behind the token `state` has an arc for the token."""
+        there = self.known.get((state, token))
+        if there is not None:
+            return there
         there, until, t = True, NEVER - 1, token
         while there:
             there = self.cut_at(state, t) > until
             if t not in self.made:
                 break
             until, t, _ = self.made[t]
+        if len(self.known) >= ARCS:
+            self.known.clear()
+        self.known[state, token] = there
         return there
 
     def restart(self) -> None:
@@ -159,11 +168,13 @@ class Automaton:
                 self.subsets.append(kept)
                 self.ends.append(token)
         found, token = [], -1
+        children, inner, token_at = self.children.get, self.inner, self.token_at
         for before, node in self.subsets[subset]:
-            node = self.children.get(node << KEY | letter)
+            node = children(node << KEY | letter)
             if node is not None:
-                found.append((before, node))
-                t = self.token_at[node]
+                if node in inner:
+                    found.append((before, node))
+                t = token_at[node]
                 if token < 0 <= t and (before < 0 or self.arc(before, t)):
                     token = t
         if token < 0:
@@ -207,7 +218,7 @@ class Codec:
         self.labels = self.automaton.label | {i: t for t, i in self.special.items()}
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         #: word -> ids
-        self.memo = Memo(self.ids)
+        self.memo = Memo(self.ids, ENTRIES)
 
     @staticmethod
     def refuse_others(told: dict) -> None:
