@@ -11,7 +11,9 @@ with the least hash of their id, and of each a window of at most WINDOW characte
 begins at a hashed place; CHARS letters a language, of which long texts take what short
 ones leave; MODEL_CHARS letters in all, shared evenly where there are over 100 languages;
 the LANGUAGES with most rows. So the broadcast table is bounded. Every text is parsed
-whole and as one: texts of up to LONG letters side by side, longer ones letter by letter.
+whole and as one: blocks of BLOCK letters run side by side, each as if a phrase began with
+it; then the phrase that really comes over from the block before is followed, letter by
+letter, to the first place where both parses begin a phrase, as from there they agree.
 
 Defined results: `und` with score 0 for a null text, one without a letter, or where
 nothing was learned. Rows without doc_id are neither held out nor learned from.
@@ -32,7 +34,8 @@ from sparkloom.llm.common import table
 
 SAMPLE_DOCS, CHARS, MODEL_CHARS, LANGUAGES = 96, 20_000, 2_000_000, 1000
 WINDOW = 8 * CHARS // SAMPLE_DOCS
-LONG, LANES = 2048, 4096
+#: Letters of a block, of its head whose phrase starts are kept, and blocks at a time.
+BLOCK, HEAD, LANES = 1024, 192, 4096
 NONE, OTHER = 0, 1  # codes: not a letter (runs count once), a letter that no language has learned
 DEAD, ROOT = 0, 1
 FREE, SPREAD = -1, np.uint64(0x9E3779B97F4A7C15)
@@ -169,24 +172,6 @@ class Model:
         self.lookup = None
         self.plain = self.arcs.as_dict() if self.languages else {}
 
-    def phrases_of(self, codes: np.ndarray) -> list[int]:
-        """Phrases of one text by language, letter by letter."""
-        letters, out, size, look = codes.tolist(), [], self.size, self.plain.get
-        for root in self.roots.tolist():
-            state, count = root, 0
-            for c in letters:
-                to = look(state * size + c)
-                if to is None:
-                    #: A miss ends the phrase; a code that no phrase can start with is one of its own.
-                    count += 1
-                    to = look(root * size + c)
-                    if to is None:
-                        count += state != root
-                        to = root
-                state = to
-            out.append(count + (state != root))
-        return out
-
     def coded(self, text: str) -> np.ndarray:
         if self.lookup is None:
             self.lookup = np.zeros(0x110000, np.int32)
@@ -200,12 +185,13 @@ class Model:
             codes = codes[np.concatenate([[True], (codes[1:] != NONE) | (codes[:-1] != NONE)])]
         return codes
 
-    def phrases(self, lanes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """lanes: codes, a column a lane, longest first. Phrases by language and lane."""
-        n = len(self.roots)
-        state = np.repeat(self.roots[:, None], lanes.shape[1], 1)
+    def phrases(self, lanes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """lanes: codes, a column a lane, longest first. By language and lane: the phrases, the
+        state at the end, and where in the head a phrase starts."""
+        n, roots = len(self.roots), self.roots[:, None]
+        state = np.repeat(roots, lanes.shape[1], 1)
         count = np.zeros(state.shape, np.int32)
-        active = lanes.shape[1]
+        heads = np.zeros((min(HEAD, len(lanes)), *state.shape), np.uint8)
         ends = np.searchsorted(-lengths, -np.arange(len(lanes)), "left")  # lanes longer than each step
         for at in range(len(lanes)):
             active = int(ends[at])
@@ -215,31 +201,59 @@ class Model:
             s = state[:, :active]
             to = self.arcs(s.astype(np.int64) * self.size + codes)
             miss = to == DEAD
-            #: A miss ends the phrase; a code that no phrase can start with is one of its own.
+            #: A phrase starts behind a miss and behind the end of another; a code that none can start with is one of its own.
+            starts = miss | (s == roots)
+            count[:, :active] += starts
+            if at < HEAD:
+                heads[at, :, :active] = starts
             again = self.first[:, codes]
-            alone = again == DEAD
-            count[:, :active] += miss.astype(np.int32) + (miss & alone & (s != self.roots[:, None]))
-            state[:, :active] = np.where(miss, np.where(alone, self.roots[:, None], again), to)
-        #: The phrase under way when a lane ends counts too.
-        return count + (state != self.roots[:, None]) * np.ones((n, 1), np.int32)
+            state[:, :active] = np.where(miss, np.where(again == DEAD, roots, again), to)
+        return count, state, np.ascontiguousarray(heads.transpose(1, 2, 0))
+
+    def parsed(self, coded: list[np.ndarray]) -> np.ndarray:
+        """Phrases by language and text."""
+        n, size, look, roots = len(self.roots), self.size, self.plain.get, self.roots.tolist()
+        total = np.zeros((n, len(coded)), np.int64)
+        owner = [(i, at) for i, c in enumerate(coded) for at in range(0, len(c), BLOCK)]
+        blocks = [coded[i][at : at + BLOCK] for i, at in owner]
+        known: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
+        for at in range(0, len(order), LANES):
+            part = order[at : at + LANES]
+            lengths = np.array([len(blocks[k]) for k in part])
+            flat = np.zeros((len(part), lengths[0]), np.int32)
+            for j, k in enumerate(part):
+                flat[j, : lengths[j]] = blocks[k]
+            count, state, heads = self.phrases(np.ascontiguousarray(flat.T), lengths)
+            for j, k in enumerate(part):
+                known[owner[k]] = count[:, j], state[:, j], heads[:, j]
+        for k, (i, at) in enumerate(owner):
+            count, state, heads = known[i, at]
+            if not at:
+                total[:, i], before = count, state.tolist()
+                continue
+            letters = blocks[k].tolist()
+            for language in range(n):
+                s, root, more, head = before[language], roots[language], 0, heads[language].tobytes()
+                for place, c in enumerate(letters):
+                    to = look(s * size + c)
+                    if to is None or s == root:
+                        if place < len(head) and head[place]:
+                            more += int(count[language]) - head.count(1, 0, place)
+                            s = int(state[language])
+                            break
+                        more += 1
+                        if to is None:
+                            to = look(root * size + c, root)
+                    s = to
+                total[language, i] += more
+                before[language] = s
+        return total
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         coded = [self.coded(t) if t else np.zeros(0, np.int32) for t in texts]
         has_letter = np.array([bool(len(c)) and bool(c.any()) for c in coded], bool)
-        total = np.zeros((len(self.languages), len(texts)), np.int64)
-        if self.languages:
-            order = sorted((i for i in range(len(coded)) if has_letter[i]), key=lambda i: -len(coded[i]))
-            for i in order:
-                if len(coded[i]) > LONG:
-                    total[:, i] = self.phrases_of(coded[i])
-            order = [i for i in order if len(coded[i]) <= LONG]
-            for at in range(0, len(order), LANES):
-                part = order[at : at + LANES]
-                lengths = np.array([len(coded[i]) for i in part])
-                flat = np.zeros((len(part), lengths[0]), np.int32)
-                for j, i in enumerate(part):
-                    flat[j, : lengths[j]] = coded[i]
-                total[:, part] = self.phrases(np.ascontiguousarray(flat.T), lengths)
+        total = self.parsed(coded) if self.languages else np.zeros((0, len(texts)), np.int64)
         names, scores = [], []
         cost = total * np.array(self.weights)[:, None] if self.languages else total
         for i in range(len(texts)):

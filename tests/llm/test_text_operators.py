@@ -98,7 +98,8 @@ def test_codec_query_columns(spark):
     assert got == {1: library.encode("Hello, hello", add_special_tokens=False).ids}
 
 
-def test_token_files_round_trip(spark, tmp_path):
+@pytest.mark.parametrize("group", [token_files.GROUP, 2])
+def test_token_files_round_trip(spark, tmp_path, monkeypatch, group):
     import zlib
 
     import numpy as np
@@ -110,10 +111,11 @@ def test_token_files_round_trip(spark, tmp_path):
         if rows_:
             (tmp_path / name).mkdir()
             (tmp_path / name / "part-000000-0000-lost.bin").write_bytes(b"x")
+        monkeypatch.setitem(token_files.one_piece.__globals__, "GROUP", group)
         manifest = token_files.write(docs(spark, rows_), BYTE, folder, partitions=3, piece=piece)
         assert not rows_ or {p.stem for p in (tmp_path / name).iterdir()} == {r.name for r in manifest.collect()}
         if name == "nulls":
-            assert manifest.count() > 3 and {r.part for r in manifest.collect()} == {0, 1, 2}
+            assert manifest.count() >= 3 and {r.part for r in manifest.collect()} == {0, 1, 2}
         got = token_files.read(manifest, folder).collect()
         ordered = sorted((x for x in rows_), key=lambda x: (x[0] is not None, x[0] or 0))
         assert sorted(((r.doc_id is not None, r.doc_id or 0) for r in got)) == sorted((i is not None, i or 0) for i, _ in ordered)
@@ -315,16 +317,24 @@ def test_phrases_against_brute_force():
     import numpy as np
 
     coded = model.coded(text)
-    assert len(coded) > language_id.LONG
-    assert int(model.phrases(coded[:, None], np.array([len(coded)]))[0, 0]) == count
     sent = pickle.loads(pickle.dumps(model))
-    assert model.phrases_of(coded) == sent.phrases_of(coded) and sent.phrases_of(coded)[0] == count
-    #: Long and short texts of one batch, by both ways.
-    texts = ["".join(r.choice("abcdxyz ") for _ in range(n)) for n in (5, 2100, 40, 4000, 2048, 2049)]
-    by_letter = [model.phrases_of(model.coded(t)) for t in texts]
-    weights = np.array(model.weights)
-    want = [model.languages[int(np.argmin(np.array(x) * weights))] for x in by_letter]
-    assert sent.predict(texts)[0] == want
+    for m in (model, sent):
+        assert m.parsed([coded, coded[:0], coded[:5]])[0].tolist()[:2] == [count, 0]
+
+
+@pytest.mark.parametrize("block, head", [(1024, 192), (7, 3), (16, 1), (64, 64)])
+def test_blocks_do_not_show(monkeypatch, block, head):
+    """Whatever the blocks, texts have the phrases of a parse from the first letter to the last."""
+    import numpy as np
+
+    r = random.Random(block)
+    model = language_id.Model({"a": ["abcabd abx bcabca"], "b": ["xyz zyx xxy"], "c": ["".join(r.choice("abcdxyz ") for _ in range(900))]})
+    coded = [model.coded("".join(r.choice("abcdxyzq ") for _ in range(n))) for n in (0, 1, 5, 2100, 40, 4000, *range(1, 90))]
+    monkeypatch.setattr(language_id, "BLOCK", 1 << 20)
+    whole = model.parsed(coded)
+    for name, value in (("BLOCK", block), ("HEAD", head), ("LANES", 50)):
+        monkeypatch.setattr(language_id, name, value)
+    assert np.array_equal(model.parsed(coded), whole)
 
 
 def test_shares_of_a_budget():
