@@ -52,9 +52,9 @@ from sparkloom.llm.memo import Memo
 
 NEVER = 1 << 60
 #: Subsets and answers about arcs that a worker keeps (when there are more, they are begun anew), and words.
-SUBSETS, ARCS, ENTRIES = 200_000, 250_000, 300_000
+SUBSETS, ARCS, ENTRIES = 150_000, 150_000, 200_000
 #: The mark of a word's last letter, and the shift of a state or node in a key.
-LAST, KEY = 1 << 21, 22
+LAST, KEY, NODE = 1 << 21, 22, (1 << 32) - 1
 #: The steps before the merges that this module knows.
 NORMALIZER = ["NFC", "Replace", "Lowercase"]
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -107,7 +107,7 @@ class Automaton:
             self.token_at[at] = i
         #: Nodes that lead on; no token is under way at others.
         self.inner = {key >> KEY for key in self.children}
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
         self.length = {i: len(t.removesuffix(suffix) if suffix else t) for t, i in vocab.items()}
         self.restart()
 
@@ -135,7 +135,7 @@ class Automaton:
 
     def arc(self, state: int, token: int) -> bool:
         """Whether the state behind the token `state` has an arc for the token."""
-        there = self.known.get((state, token))
+        there = self.known.get(state << 32 | token)
         if there is not None:
             return there
         there, until, t = True, NEVER - 1, token
@@ -146,13 +146,14 @@ class Automaton:
             until, t, _ = self.made[t]
         if len(self.known) >= ARCS:
             self.known.clear()
-        self.known[state, token] = there
+        self.known[state << 32 | token] = there
         return there
 
     def restart(self) -> None:
-        """The table with the first subset alone: nothing read, no token before (-1)."""
+        """The table with the first subset alone: nothing read, no token before."""
         self.table: dict[int, int] = {}
-        self.subsets: list[tuple[tuple[int, int], ...]] = [((-1, 0),)]
+        #: A token under way: the token before it, from 1 (0 for none), and its node, in one number.
+        self.subsets: list[tuple[int, ...]] = [(0,)]
         self.numbers = {self.subsets[0]: 0}
         #: The token that ends where a subset stands.
         self.ends = [-1]
@@ -169,17 +170,17 @@ class Automaton:
                 self.ends.append(token)
         found, token = [], -1
         children, inner, token_at = self.children.get, self.inner, self.token_at
-        for before, node in self.subsets[subset]:
-            node = children(node << KEY | letter)
+        for under_way in self.subsets[subset]:
+            before, node = under_way >> 32, children((under_way & NODE) << KEY | letter)
             if node is not None:
                 if node in inner:
-                    found.append((before, node))
+                    found.append(before << 32 | node)
                 t = token_at[node]
-                if token < 0 <= t and (before < 0 or self.arc(before, t)):
+                if token < 0 <= t and (not before or self.arc(before - 1, t)):
                     token = t
         if token < 0:
             raise ValueError("the vocabulary does not spell this word")
-        made = (*found, (token, 0))
+        made = (*found, token + 1 << 32)
         number = self.numbers.get(made)
         if number is None:
             number = self.numbers[made] = len(self.subsets)

@@ -48,21 +48,14 @@ def clear_staged(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: Rows of a file of a narrow table whose size is known, and the least number of its files.
-ROWS_A_FILE, FILES = 50_000, 8
-
-
-def staged(df: DataFrame, label: str, rows: int | None = None, compression: str = "none") -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str = "none") -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage: what was written survives the loss of any executor. Results are
-    lazy, so the tables stay until clear_staged. rows: a bound of the number of rows, where
-    it is known; a small table then has few files. Narrow tables hold hashes, which no
-    codec makes smaller; tables of texts should name one.
+    lazy, so the tables stay until clear_staged. Narrow tables hold hashes, which no codec
+    makes smaller, and codecs hold memory outside the heap; tables of texts should name one.
     """
     path = f"{staging(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    if rows is not None:
-        df = df.coalesce(max(FILES, -(-rows // ROWS_A_FILE)))
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

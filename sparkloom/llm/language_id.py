@@ -35,7 +35,7 @@ from sparkloom.llm.common import table
 SAMPLE_DOCS, CHARS, MODEL_CHARS, LANGUAGES = 96, 20_000, 2_000_000, 1000
 WINDOW = 8 * CHARS // SAMPLE_DOCS
 #: Letters of a block, of its head whose phrase starts are kept, and blocks at a time.
-BLOCK, HEAD, LANES = 1024, 192, 4096
+BLOCK, HEAD, LANES = 1024, 192, 2048
 NONE, OTHER = 0, 1  # codes: not a letter (runs count once), a letter that no language has learned
 DEAD, ROOT = 0, 1
 FREE, SPREAD = -1, np.uint64(0x9E3779B97F4A7C15)
@@ -268,7 +268,7 @@ class Model:
         return names, scores
 
 
-def pieces(batches, rows: int = 1000):
+def pieces(batches, rows: int = 500):
     """Batches cut small, to bound what a worker holds."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

@@ -45,7 +45,7 @@ WORDS, THRESHOLD, RECALL = 5, 0.8, 0.995
 RATES = (1.6, 1.3, 1.3)
 LIMIT, RANGES, LIKELY = 1024, 64, 0.5
 #: Documents that a worker shingles at once; elements of sets that it numbers at once, by half; rows of a batch.
-PIECE, HELD, BATCH = 250, 500_000, 1000
+PIECE, HELD, BATCH = 250, 500_000, 250
 CHUNK = 1 << 15
 U = np.uint64
 C1, C2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -217,7 +217,7 @@ def by_bucket(rows: DataFrame, run, schema: str) -> DataFrame:
 
 
 def staged_small(df: DataFrame, label: str) -> DataFrame:
-    """staged(), with batches of BATCH rows to the workers, as rows may hold whole sets."""
+    """staged(), with batches of BATCH rows to the workers, as rows hold whole texts or sets."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = conf.get(name)
     conf.set(name, str(min(BATCH, int(before)) if int(before) > 0 else BATCH))
@@ -343,12 +343,12 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         #: Large star: greater neighbours of each node move to its least neighbour.
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("c")), "stars", 2 * before[0])
+        least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("c")), "stars")
         e = with_group(both.where("b > a"), least, ["a"], "c", total=2 * before[0]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         #: Small star: each node and its lesser neighbours move to the least of them. A node has few of them after a large star.
         least = e.groupBy("a").agg(F.min("b").alias("m"))
         e = e.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("s")).select("s.*").where("a != b").distinct()
-        e = staged(e, "edges", 2 * before[0])
+        e = staged(e, "edges")
         after = mark(e)
         if after == before:
             break
@@ -359,7 +359,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS, limit: int = LIMIT) -> DataFrame:
     """One row per document: __id, __a, __b, class_id, class_size, n_links, label (the class that names its group), group_id."""
-    t = staged(prepared(docs, id_col, text_col, runs_for(threshold), words), "shingled")
+    t = staged_small(prepared(docs, id_col, text_col, runs_for(threshold), words), "shingled")
     classes = staged(t.groupBy("key").agg(F.min("__id").alias("class_id"), F.count("*").alias("class_size"), F.min("__a").alias("__rep"), F.min(F.struct("n", "sketch")).alias("__marks")), "classes")
     b = staged(buckets(t, limit), "buckets")
     marks = classes.select("key", "__marks.n", "__marks.sketch")
@@ -373,11 +373,10 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     labels = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")))
     near = links.join(labels.select(F.col("a").alias("key"), "label"), "key", "left")
     whole = classes.select("key", "class_id", "class_size").join(near, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    n = classes.count()
-    whole = staged(whole, "labelled-classes", n)
-    groups = staged(whole.groupBy("label").agg(F.min("class_id").alias("group_id"), F.count("*").alias("__c")), "groups", n)
+    whole = staged(whole, "labelled-classes")
+    groups = staged(whole.groupBy("label").agg(F.min("class_id").alias("group_id"), F.count("*").alias("__c")), "groups")
     named = with_group(whole, groups, ["label"], "__c").select("key", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "label", "group_id")
-    return with_group(t.select("__id", "__a", "__b", "key"), staged(named, "named", n), ["key"], "class_size")
+    return with_group(t.select("__id", "__a", "__b", "key"), staged(named, "named"), ["key"], "class_size")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS, limit: int = LIMIT) -> DataFrame:

@@ -52,8 +52,8 @@ def test_one_transition_a_letter(monkeypatch):
     #: Of the tokens that a letter completes, exactly one has its arc.
     for subset in list(own.subsets):
         for letter in map(ord, "aeinst"):
-            nodes = [(u, own.children.get(x << bpe_codec.KEY | letter)) for u, x in subset]
-            done = [t for u, x in nodes if x is not None and (t := own.token_at[x]) >= 0 and (u < 0 or own.arc(u, t))]
+            nodes = [(x >> 32, own.children.get((x & bpe_codec.NODE) << bpe_codec.KEY | letter)) for x in subset]
+            done = [t for u, x in nodes if x is not None and (t := own.token_at[x]) >= 0 and (not u or own.arc(u - 1, t))]
             assert len(done) == 1
     monkeypatch.setattr(bpe_codec, "SUBSETS", 5)
     small = bpe_codec.Codec(WORD)
