@@ -238,7 +238,7 @@ def web_scores(spark, d):
     return rows.select("page_id", *_LANGS, scoring.best({k: F.col(k) for k in _LANGS}).alias("best"))
 
 
-_SQLRULES = tuple(x for x in scoring.LANGUAGES["sql"] if ".*?" not in x[0])
+_SQLRULES = scoring.LANGUAGES["sql"]
 
 
 @query(f"SELECT doc_id, ({_weighted('text', _SQLRULES)})::bigint AS score FROM documents")
@@ -497,11 +497,14 @@ def proc_expand(spark, d):
     return linking.expanded_calls(calls, linking.procedure_map(ops))
 
 
-_EDGES = "edges AS (SELECT DISTINCT page_id % 60 AS a, (page_id * 7 + 3) % 60 AS b FROM pages WHERE page_id % 60 <> (page_id * 7 + 3) % 60)"
+#: Every page is a node; each links up to the page of its section (a quarter of its number) and to the one before it in that.
+_EDGES = "edges AS (SELECT page_id AS a, page_id // 4 AS b FROM pages WHERE page_id // 4 <> page_id UNION SELECT page_id, page_id // 4 - 1 FROM pages WHERE page_id % 16 = 0 AND page_id > 15)"
 
 
 def _edges(spark, d):
-    return model.table(spark, d, "pages").selectExpr("page_id % 60 AS a", "(page_id * 7 + 3) % 60 AS b").where("a != b").distinct()
+    p = model.table(spark, d, "pages")
+    up = p.selectExpr("page_id AS a", "page_id DIV 4 AS b").where("a != b")
+    return up.unionByName(p.where("page_id % 16 = 0 AND page_id > 15").selectExpr("page_id AS a", "page_id DIV 4 - 1 AS b")).distinct()
 
 
 @query(f"WITH RECURSIVE {_EDGES}, r AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM r JOIN edges e ON r.b = e.a) SELECT a, b FROM r WHERE a <> b")
@@ -603,10 +606,10 @@ def progress_summary(spark, d):
     return progress.batch_summary(model.table(spark, d, "events"), F.col("event_type") == "error")
 
 
-@query("WITH b AS (SELECT DISTINCT substr(text, 1, 20) AS k FROM benchmark), t AS (SELECT DISTINCT substr(text, 1, 20) AS k FROM documents) SELECT (SELECT count(*) FROM (SELECT k FROM b INTERSECT SELECT k FROM t)) AS both_sides, (SELECT count(*) FROM (SELECT k FROM b EXCEPT SELECT k FROM t)) AS only_benchmark, (SELECT count(*) FROM b) AS total")
+@query("WITH b AS (SELECT DISTINCT text AS k FROM benchmark), t AS (SELECT DISTINCT text AS k FROM documents) SELECT (SELECT count(*) FROM (SELECT k FROM b INTERSECT SELECT k FROM t)) AS both_sides, (SELECT count(*) FROM (SELECT k FROM b EXCEPT SELECT k FROM t)) AS only_benchmark, (SELECT count(*) FROM b) AS total")
 def accuracy_overlap(spark, d):
-    b = model.table(spark, d, "benchmark").select(F.substring("text", 1, 20).alias("k")).distinct()
-    t = model.table(spark, d, "documents").select(F.substring("text", 1, 20).alias("k")).distinct()
+    b = model.table(spark, d, "benchmark").select(F.col("text").alias("k")).distinct()
+    t = model.table(spark, d, "documents").select(F.col("text").alias("k")).distinct()
     row = lambda df, name: df.agg(F.count("*").alias(name))
     return row(b.intersect(t), "both_sides").crossJoin(row(b.subtract(t), "only_benchmark")).crossJoin(row(b, "total"))
 
@@ -658,9 +661,9 @@ def security_summary(spark, d):
     return security.summary(role_edges(spark, d))
 
 
-@query(f"WITH {model.ROUTES}, {model.LINKS}, r AS (SELECT DISTINCT 'w_' || (page_id % 40) AS id, path AS action FROM routes), k AS (SELECT id, regexp_replace(regexp_replace(action, '[.](?:do|action|jsp)$', ''), '^/+|/+$', '', 'g') AS k FROM r), t AS (SELECT DISTINCT 'page_' || page_id AS page, href, regexp_replace(regexp_replace(regexp_replace(href, '[?#;].*$', ''), '[.](?:do|action|jsp)$', ''), '^/+|/+$', '', 'g') AS k FROM links), e AS (SELECT page, href, min(id) AS id FROM t JOIN k USING (k) WHERE k <> '' GROUP BY 1, 2), s AS (SELECT page, href, min(b.id) AS id FROM t JOIN k b ON b.k <> '' AND t.k <> '' AND regexp_extract(b.k, '([^/]*)$', 1) = regexp_extract(t.k, '([^/]*)$', 1) WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.page = t.page AND e.href = t.href) GROUP BY 1, 2) SELECT page AS from_id, id AS to_id, 'equal' AS tier, count(*) AS n FROM e GROUP BY 1, 2 UNION ALL SELECT page, id, 'segment', count(*) FROM s GROUP BY 1, 2")
+@query(f"WITH {model.ROUTES}, {model.LINKS}, r AS (SELECT DISTINCT 'w_' || page_id AS id, path AS action FROM routes), k AS (SELECT id, regexp_replace(regexp_replace(action, '[.](?:do|action|jsp)$', ''), '^/+|/+$', '', 'g') AS k FROM r), t AS (SELECT DISTINCT 'page_' || page_id AS page, href, regexp_replace(regexp_replace(regexp_replace(href, '[?#;].*$', ''), '[.](?:do|action|jsp)$', ''), '^/+|/+$', '', 'g') AS k FROM links), e AS (SELECT page, href, min(id) AS id FROM t JOIN k USING (k) WHERE k <> '' GROUP BY 1, 2), s AS (SELECT page, href, min(b.id) AS id FROM t JOIN k b ON b.k <> '' AND t.k <> '' AND regexp_extract(b.k, '([^/]*)$', 1) = regexp_extract(t.k, '([^/]*)$', 1) WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.page = t.page AND e.href = t.href) GROUP BY 1, 2) SELECT page AS from_id, id AS to_id, 'equal' AS tier, count(*) AS n FROM e GROUP BY 1, 2 UNION ALL SELECT page, id, 'segment', count(*) FROM s GROUP BY 1, 2")
 def page_calls(spark, d):
-    r = model.routes(spark, d).select(F.concat(F.lit("w_"), F.col("page_id") % 40).alias("id"), F.col("path").alias("action")).distinct()
+    r = model.routes(spark, d).select(F.concat(F.lit("w_"), "page_id").alias("id"), F.col("path").alias("action")).distinct()
     t = model.page_links(spark, d).select(F.concat(F.lit("page_"), "page_id").alias("page"), F.col("href").alias("token"))
     return pages.calls(t, r).groupBy("from_id", "to_id", "tier").agg(F.count("*").alias("n"))
 

@@ -96,11 +96,12 @@ def link(run: Run) -> None:
     edge = lambda column, kind, confidence: pages.select(paths.page_id(F.col("path")).alias("from_id"), F.explode(column).alias("t")).where(F.col("t").rlike("(?i)[.]jspf?(?:[?#]|$)")).select("from_id", paths.page_id(paths.clean_target(F.col("t"))).alias("to_id"), F.lit(kind).alias("type"), F.lit(confidence).alias("confidence"))
     page_edges = edge("includes", "includesView", 0.9).unionByName(edge("iframes", "embedsView", 0.85)).unionByName(edge("redirects", "redirectsTo", 0.8))
     page_roles = pages.select(paths.page_id(F.col("path")).alias("from_id"), F.explode("roles").alias("r")).select("from_id", F.concat(F.lit("role_"), text.canonical_role(F.col("r"))).alias("to_id"), F.lit("securedBy").alias("type"), F.lit(0.9).alias("confidence"))
-    every = handles
-    for part in (inline, in_files, secured, page_edges, page_roles):
-        every = every.unionByName(part)
+    #: Of equal relations the first family's stays, as the families come one after the other; within one the surest.
+    every = handles.withColumn("ord", F.lit(0))
+    for k, part in enumerate((inline, in_files, secured, page_edges, page_roles), 1):
+        every = every.unionByName(part.withColumn("ord", F.lit(k)))
     every = every.where("from_id IS NOT NULL AND to_id IS NOT NULL").withColumn("id", linking.relation_id(F.col("from_id"), F.col("type"), F.col("to_id")))
-    relations = run.keep(linking.deduplicated(every, ["id"], "confidence"), "link", "relations")
+    relations = run.keep(linking.deduplicated(every, ["id"], F.struct("ord", -F.col("confidence"), "from_id", "to_id")).drop("ord"), "link", "relations")
     ids = relations.select(F.explode(F.array("from_id", "to_id")).alias("id")).unionByName(routes.select("id")).distinct()
     run.keep(ids.select("id", F.substring_index("id", "_", 1).alias("type")), "link", "entities")
     handled = relations.where("type = 'handlesRoute'").select(F.col("from_id").alias("route"), F.col("to_id").alias("from_id"))
