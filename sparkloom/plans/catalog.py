@@ -722,3 +722,180 @@ def stream_progress(spark, d):
     events = spark.readStream.schema(schema).parquet(f"{d}/event[s].parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     counts = progress.stream_counts(events, F.col("event_type") == "error")
     return progress.drained(counts, "stream_progress").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "processed", "failed")
+
+
+# Single operators: filters, lookups and names that the queries above use only together
+
+
+def _files(spark, d):
+    return inventory.files(model.files(spark, d))
+
+
+@query(f"WITH {model.FILES} SELECT doc_id, size_bytes FROM files WHERE size_bytes >= 5000")
+def inv_min_size(spark, d):
+    return _files(spark, d).min_size(5000).execute().select("doc_id", "size_bytes")
+
+
+@query(f"WITH {model.FILES} SELECT doc_id, size_bytes FROM files WHERE size_bytes <= 300")
+def inv_max_size(spark, d):
+    return _files(spark, d).max_size(300).execute().select("doc_id", "size_bytes")
+
+
+@query(f"WITH {model.FILES} SELECT doc_id, functional_name FROM files WHERE contains(functional_name, '_1')")
+def inv_functional_name(spark, d):
+    return _files(spark, d).functional_name_contains("_1").execute().select("doc_id", "functional_name")
+
+
+@query(f"WITH {model.RELATIONS} SELECT id, confidence FROM relations WHERE confidence >= 0.98")
+def inv_min_confidence(spark, d):
+    return inventory.files(model.relations(spark, d)).min_confidence(0.98).execute().select("id", "confidence")
+
+
+@query(f"WITH {model.RELATIONS} SELECT id, confidence FROM relations WHERE confidence <= 0.91")
+def inv_max_confidence(spark, d):
+    return inventory.files(model.relations(spark, d)).max_confidence(0.91).execute().select("id", "confidence")
+
+
+@query(f"WITH {model.FILES} SELECT doc_id FROM files WHERE doc_id % 7 = 3")
+def inv_where(spark, d):
+    return _files(spark, d).where(F.col("doc_id") % 7 == 3).execute().select("doc_id")
+
+
+@query(f"WITH {model.FILES} SELECT doc_id, path FROM files WHERE language IN ('de', 'fr') AND size_bytes BETWEEN 500 AND 4000 AND ends_with(path, '5.txt')")
+def inv_execute(spark, d):
+    return _files(spark, d).language("de").language("fr").min_size(500).max_size(4000).path_endswith("5.txt").execute().select("doc_id", "path")
+
+
+@query(f"WITH {model.FILES} SELECT doc_id, path, size_bytes FROM files ORDER BY size_bytes DESC, path LIMIT 1")
+def inv_first(spark, d):
+    return _files(spark, d).execute().transform(lambda df: inventory.files(df.withColumn("less", -F.col("size_bytes"))).first("less", "path")).select("doc_id", "path", "size_bytes")
+
+
+_MAPPED = "g AS (SELECT o_custkey, o_orderpriority AS mapping_type, o_orderkey AS target FROM orders)"
+
+
+def _mapped(spark, d, kind):
+    """Orders of a customer as the mappings of a group, by kind."""
+    o = model.table(spark, d, "orders").select("o_custkey", F.struct(F.col("o_orderpriority").alias("mapping_type"), F.col("o_orderkey").alias("target")).alias("m"))
+    groups = o.groupBy(F.concat(F.lit("group_"), "o_custkey").alias("group_name")).agg(F.collect_list("m").alias("mappings"))
+    return inventory.mappings_of(groups, kind).select("group_name", "target")
+
+
+@query(f"WITH {_MAPPED} SELECT 'group_' || o_custkey AS group_name, target FROM g WHERE mapping_type = '1-URGENT'")
+def inv_action_mappings(spark, d):
+    return _mapped(spark, d, "1-URGENT")
+
+
+@query(f"WITH {_MAPPED} SELECT 'group_' || o_custkey AS group_name, target FROM g WHERE mapping_type = '2-HIGH'")
+def inv_forward_mappings(spark, d):
+    return _mapped(spark, d, "2-HIGH")
+
+
+@query("SELECT p_partkey, p_brand, p_size FROM part WHERE p_brand = 'Brand#13' AND p_type = (SELECT min(p_type) FROM part WHERE p_brand = 'Brand#13')")
+def inv_lookup(spark, d):
+    p = model.table(spark, d, "part")
+    kind = p.where("p_brand = 'Brand#13'").agg(F.min("p_type").alias("p_type"))
+    return inventory.lookup(p.join(F.broadcast(kind), "p_type", "left_semi"), p_brand="Brand#13").select("p_partkey", "p_brand", "p_size")
+
+
+@query("SELECT page_id, regexp_replace(trim(coalesce(url, '')), '[?#].*$', '') AS target FROM pages")
+def name_clean_target(spark, d):
+    return model.table(spark, d, "pages").select("page_id", paths.clean_target(F.coalesce("url", F.lit(""))).alias("target"))
+
+
+@query(f"WITH {model.FILES} SELECT doc_id FROM files WHERE regexp_full_match(path, '(?s).*/e.*1\\.txt')")
+def name_glob(spark, d):
+    return model.files(spark, d).where(paths.matches_glob(F.col("path"), "*/e*1.txt")).select("doc_id")
+
+
+@query(f"WITH {model.FILES} SELECT doc_id FROM files WHERE contains(path, 'web') OR contains(path, '/de/')")
+def name_excluded(spark, d):
+    return model.files(spark, d).where(paths.excluded(F.col("path"), ["**/web*", "*web/**"]) | F.contains("path", F.lit("/de/"))).select("doc_id")
+
+
+@query(f"WITH {model.FILES} SELECT doc_id, replace(regexp_replace(path, '/?[^/]*$', ''), '/', '.') AS package FROM files")
+def name_package(spark, d):
+    return model.files(spark, d).select("doc_id", paths.package_name(F.col("path")).alias("package"))
+
+
+@query(f"WITH {model.FILES}, s AS (SELECT doc_id, string_split(path, '/') AS p FROM files) SELECT doc_id, CASE WHEN list_position(p, source) > 0 AND list_position(p, source) < len(p) THEN p[list_position(p, source) + 1] ELSE p[-1] END AS component FROM s, (SELECT min(source) AS source FROM documents)")
+def name_component(spark, d):
+    first = model.table(spark, d, "documents").agg(F.min("source")).first()[0]
+    return model.files(spark, d).select("doc_id", paths.component_after(F.split("path", "/"), f"**/{first}/*").alias("component"))
+
+
+@query("SELECT c_custkey, nullif(trim(c_name), '') AS name FROM customer")
+def name_blank_to_null(spark, d):
+    return model.table(spark, d, "customer").select("c_custkey", text.nz(F.col("c_name")).alias("name"))
+
+
+@query("SELECT c_custkey, CASE WHEN nullif(trim(c_mktsegment), '') IS NOT NULL THEN regexp_replace(regexp_replace(trim(c_mktsegment), '(?i)^role_', ''), '[^A-Za-z0-9_:.-]+', '', 'g') END AS role FROM customer")
+def name_role(spark, d):
+    return model.table(spark, d, "customer").select("c_custkey", text.canonical_role(F.col("c_mktsegment")).alias("role"))
+
+
+@query("SELECT DISTINCT c_custkey, r.role AS role FROM (SELECT c_custkey, unnest(list_filter(string_split_regex(c_mktsegment || ',' || c_name || ',' || c_mktsegment, '[,\\s]+'), lambda x: x <> '')) AS role FROM customer) r")
+def name_split_roles(spark, d):
+    c = model.table(spark, d, "customer")
+    return c.select("c_custkey", F.explode(text.split_roles(F.concat_ws(",", "c_mktsegment", "c_name", "c_mktsegment"))).alias("role"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_brand = upper(p_brand) THEN 'x' ELSE 'y' END AS shape, lower(trim(string_split(regexp_replace(p_name || '.' || p_brand, '\\(.*$', ''), '.')[-1])) AS token FROM part")
+def name_object_token(spark, d):
+    p = model.table(spark, d, "part")
+    return p.select("p_partkey", F.when(F.col("p_brand") == F.upper("p_brand"), "x").otherwise("y").alias("shape"), paths.object_token(F.concat_ws(".", "p_name", "p_brand")).alias("token"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(regexp_replace(text, '/\\*(?s:.*?)\\*/', ' ', 'g'), '--[^\\r\\n]*', '', 'g'), ' ') AS cleaned FROM documents")
+def name_clean_statement(spark, d):
+    return model.table(spark, d, "documents").select("doc_id", text.clean_statement(F.col("text")).alias("cleaned"))
+
+
+@query("SELECT n_nationkey, '### ' || n_name AS title, '| ' || n_nationkey || ' | ' || n_name || ' | - |' AS line FROM nation")
+def doc_headings_and_rows(spark, d):
+    n = model.table(spark, d, "nation")
+    return n.select("n_nationkey", text.heading(F.col("n_name"), 3).alias("title"), text.markdown_row(F.col("n_nationkey"), F.col("n_name"), F.lit(None)).alias("line"))
+
+
+@query("SELECT p_partkey, 'route_' || replace(replace(trim(p_brand) || '_' || p_type, '/', '_'), '*', 'STAR') AS route FROM part")
+def name_route(spark, d):
+    return model.table(spark, d, "part").select("p_partkey", paths.route_id(F.col("p_brand"), F.col("p_type")).alias("route"))
+
+
+@query("SELECT page_id, 'route_' || regexp_replace(url, '[^A-Za-z0-9]+', '_', 'g') || '_GET' AS route FROM pages")
+def name_rest_route(spark, d):
+    return model.table(spark, d, "pages").select("page_id", paths.rest_route_id(F.col("url"), F.lit("get")).alias("route"))
+
+
+@query("SELECT name, min(class_id) AS class_id FROM (SELECT 'class_' || s_suppkey AS class_id, unnest(['S' || s_nationkey, 'org.S' || s_suppkey]) AS name, lpad(s_suppkey::varchar, 9, '0') AS ord FROM supplier) t WHERE ord = (SELECT min(ord) FROM (SELECT unnest(['S' || s_nationkey, 'org.S' || s_suppkey]) AS name, lpad(s_suppkey::varchar, 9, '0') AS ord FROM supplier) u WHERE u.name = t.name) GROUP BY 1")
+def link_class_index(spark, d):
+    s = model.table(spark, d, "supplier")
+    return linking.class_index(s.select(F.concat(F.lit("class_"), "s_suppkey").alias("class_id"), F.concat(F.lit("S"), "s_nationkey").alias("name"), F.concat(F.lit("org.S"), "s_suppkey").alias("fqn"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0").alias("ord"))).select("name", "class_id")
+
+
+@query("WITH r AS (SELECT DISTINCT o_custkey, o_orderpriority AS m, CASE o_orderpriority WHEN '5-LOW' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '1-URGENT' THEN 2 END AS r FROM orders) SELECT 'class_' || o_custkey AS class_id, coalesce(arg_min(m, r) FILTER (r IS NOT NULL), min(m)) AS method FROM r GROUP BY o_custkey HAVING count(r) > 0 OR count(*) = 1")
+def link_chosen_method(spark, d):
+    o = model.table(spark, d, "orders").select(F.concat(F.lit("class_"), "o_custkey").alias("class_id"), F.col("o_orderpriority").alias("method")).distinct()
+    return linking.chosen_method(o, F.lit("5-LOW"), ["2-HIGH", "1-URGENT"])
+
+
+@query(f"WITH {model.RELATIONS} SELECT from_id, to_id, type, min(id) AS id FROM relations GROUP BY 1, 2, 3")
+def link_first_of_each(spark, d):
+    r = model.relations(spark, d).select("from_id", "to_id", "type", "id", "confidence")
+    return linking.deduplicated(r, ["from_id", "to_id", "type"], "id").select("from_id", "to_id", "type", "id")
+
+
+@query(f"WITH {model.RELATIONS}, l AS (SELECT from_id, max({{'id': id, 'to_id': to_id, 'confidence': confidence}}) AS m FROM relations GROUP BY 1) SELECT from_id, m.id AS id, m.to_id AS to_id, m.confidence AS confidence FROM l")
+def link_last_wins(spark, d):
+    r = model.relations(spark, d).select("from_id", "id", "to_id", "confidence")
+    return linking.last_wins(r, ["from_id"], F.struct("id", "to_id", "confidence"))
+
+
+@query("SELECT c_custkey, ('0x' || substr(md5(c_custkey::varchar), 1, 8))::bigint % 10000000 / 1e7 AS fraction FROM customer")
+def score_hash_fraction(spark, d):
+    return model.table(spark, d, "customer").select("c_custkey", text.hash_fraction(F.col("c_custkey")).alias("fraction"))
+
+
+@query("SELECT o_orderkey, coalesce(CASE lower(o_orderstatus) WHEN 'f' THEN 'F' WHEN 'o' THEN 'O' END, 'other') AS status FROM orders")
+def class_cast_to_domain(spark, d):
+    return model.table(spark, d, "orders").select("o_orderkey", classify.cast_to(F.col("o_orderstatus"), ("F", "O"), "other").alias("status"))
