@@ -228,10 +228,11 @@ def _weighted(column: str, rules) -> str:
     return " + ".join(f"len(regexp_extract_all({column}, '(?is){p}')) * {w}" for p, w in rules)
 
 
-_LANGS = {k: scoring.LANGUAGES[k] for k in ("html", "css", "javascript", "xml")}
+_LANGS = dict(sorted(scoring.LANGUAGES.items()))
+_TOP = f"greatest({', '.join(_LANGS)})"
 
 
-@query("WITH s AS (SELECT page_id, " + ", ".join(f"({_weighted('html', r)})::bigint AS {k}" for k, r in _LANGS.items()) + " FROM pages) SELECT page_id, css, html, javascript, xml, CASE WHEN greatest(css, html, javascript, xml) < 1 THEN NULL WHEN css = greatest(css, html, javascript, xml) THEN 'css' WHEN html = greatest(css, html, javascript, xml) THEN 'html' WHEN javascript = greatest(css, html, javascript, xml) THEN 'javascript' ELSE 'xml' END AS best FROM s")
+@query("WITH s AS (SELECT page_id, " + ", ".join(f"({_weighted('html', r)})::bigint AS {k}" for k, r in _LANGS.items()) + f" FROM pages) SELECT page_id, {', '.join(_LANGS)}, CASE WHEN {_TOP} < 1 THEN NULL " + " ".join(f"WHEN {k} = {_TOP} THEN '{k}'" for k in _LANGS) + " END AS best FROM s")
 def web_scores(spark, d):
     s = {k: v.cast("bigint") for k, v in scoring.scores(F.col("html"), _LANGS).items()}
     rows = model.table(spark, d, "pages").select("page_id", *(v.alias(k) for k, v in s.items()))
