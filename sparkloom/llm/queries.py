@@ -15,6 +15,7 @@ NAMES = {
     "op8_fingerprints": "fingerprints",
     "op9_url_filter": "url_filter",
     "op10_pii": "pii",
+    "op11_token_alignment": "alignment",
     "op12_simhash": "simhash",
     "op13_merkle_manifest": "merkle",
 }
