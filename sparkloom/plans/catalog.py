@@ -900,3 +900,7 @@ def score_hash_fraction(spark, d):
 @query("SELECT o_orderkey, coalesce(CASE lower(o_orderstatus) WHEN 'f' THEN 'F' WHEN 'o' THEN 'O' END, 'other') AS status FROM orders")
 def class_cast_to_domain(spark, d):
     return model.table(spark, d, "orders").select("o_orderkey", classify.cast_to(F.col("o_orderstatus"), ("F", "O"), "other").alias("status"))
+
+
+# Queries of their own modules add themselves
+from sparkloom.plans import catalog_code  # noqa: E402, F401

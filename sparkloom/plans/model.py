@@ -78,6 +78,37 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINKS = "links AS (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*href=[\"'']([^\"'']*)[\"'']', 1)) AS href FROM pages)"
 
 
+def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source file a customer: path, text. What it declares follows from the customer's columns, as SQL can tell:
+    strings and comments with braces, two types in one file, a nested one, 0 to 2 further methods (by key), and
+    a manager of its own or, for odd keys, one more."""
+    c = table(spark, sf_dir, "customer")
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    layer = F.element_at(F.array(*map(F.lit, LAYER_PACKAGES)), (F.pmod("c_custkey", F.lit(len(LAYER_PACKAGES))) + 1).cast("int"))
+    odd = F.col("c_custkey") % 2 == 1
+    more = F.transform(F.sequence(F.lit(0), (F.col("c_custkey") % 3).cast("int")), lambda i: F.when(i > 0, F.concat(F.lit("    public int m"), i - 1, F.lit("(String a, List<Integer> b) { Order"), i - 1, F.lit(" manager = null; manager.go(); return helper.size(); }\n"))).otherwise(""))
+    part = F.concat(F.lit("Part"), F.col("c_custkey") % 5, F.lit("Manager"))
+    lines = F.concat(
+        F.lit("package com.acme."), F.lower("c_mktsegment"), F.lit("."), layer, F.lit(";\nimport java.util.List;\n/* class Ghost { */\n@Service(\"c"), key, F.lit("\")\npublic class C"), key,
+        F.lit(" extends Base"), nation, F.lit(" implements Runnable, Comparable<C"), key, F.lit("> {\n    private static final String NOTE = \"} class Fake {\"; // }\n    private Nation"), nation,
+        F.lit("Manager manager;\n    protected List<Order"), F.col("c_custkey") % 7, F.lit("> orders;\n    public C"), key, F.lit("(Nation"), nation, F.lit("Manager m) { this.manager = m; }\n"),
+        F.lit("    @Override\n    public void run() {\n        if (orders != null) { for (int i = 0; i < 3; i++) { manager.load(i); } }\n"),
+        F.when(odd, F.concat(F.lit("        "), part, F.lit(" p = "), part, F.lit(".getInstance();\n        p.find(\"x\");\n"))).otherwise(F.lit("        // p = null;\n        /* p.find(); { */\n")),
+        F.lit("    }\n"), F.array_join(more, ""),
+        F.lit("    static class Inner { long total; void add(long v) { total = total + v; } }\n}\nclass Helper"), key, F.lit(" { int a = 1; public static Helper"), key, F.lit(" createHelper() { return new Helper"), key, F.lit("(); } }\n"),
+    )
+    return c.select("c_custkey", F.concat(F.lit("src/n"), nation, F.lit("/C"), key, F.lit(".java")).alias("path"), lines.alias("text"))
+
+
+#: Last package segment of the sources, by key.
+LAYER_PACKAGES = ("controller", "service", "dao", "client", "reports", "config", "misc")
+SOURCES = (
+    "src AS (SELECT c_custkey AS k, 'src/n' || c_nationkey || '/C' || c_custkey || '.java' AS path, 'C' || c_custkey AS c, 'Helper' || c_custkey AS h, c_nationkey AS n, c_custkey % 3 AS more, c_custkey % 2 = 1 AS odd, 'Part' || c_custkey % 5 || 'Manager' AS part, "
+    "'com.acme.' || lower(c_mktsegment) || '.' || ['" + "', '".join(LAYER_PACKAGES) + f"'][c_custkey % {len(LAYER_PACKAGES)} + 1] AS package FROM customer), "
+    "more AS (SELECT src.*, unnest(range(0, more)) AS i FROM src)"
+)
+
+
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id", F.concat(F.lit("chunk_"), "vec_id").alias("chunk_id"), F.col("label").cast("string").alias("chunk_type"), F.col("embedding").cast("array<double>").alias("embedding"))
