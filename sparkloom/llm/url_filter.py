@@ -81,11 +81,15 @@ def judge(pages: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col
     host, path = parts("__url")
     own_host, own_path = canonical("__host", "__path")
     urls = urls.select("__url", F.expr(host).alias("__host"), F.expr(path).alias("__path")).select("*", F.expr(own_host).alias("__own_host"), F.expr(own_path).alias("__own_path"))
-    suffix = lambda host, k: f"IF(size(split({host}, '[.]')) >= {k}, substring_index({host}, '.', -{k}), NULL)"
-    prefix = lambda path, k: f"IF(length({path}) >= {k}, substring({path}, 1, {k}), NULL)"
-    proposed = [f"'r ' || {suffix('__host', a)} || {prefix('__path', b)}" for a in shape[0] for b in shape[1]]
-    proposed += [f"'l ' || {suffix('__own_host', a)} || {prefix('__own_path', b)}" for a in shape[2] for b in shape[3]]
-    proposals = urls.select("__url", F.explode(F.array_distinct(F.expr(f"array({', '.join(proposed) or 'CAST(NULL AS string)'})"))).alias("__key")).where("__key IS NOT NULL")
+    numbers = lambda found: f"CAST(array({', '.join(map(str, sorted(found)))}) AS array<int>)"
+
+    def proposed(mark: str, host: str, path: str, labels, lengths) -> str:
+        """Keys of all listed shapes that a URL has: two nested lambdas, whatever the number of shapes."""
+        suffixes = f"transform(filter({numbers(labels)}, a -> a <= size(split({host}, '[.]'))), a -> substring_index({host}, '.', -a))"
+        return f"flatten(transform({suffixes}, s -> transform(filter({numbers(lengths)}, b -> b <= length({path})), b -> concat('{mark} ', s, substring({path}, 1, b)))))"
+
+    keys = f"concat({proposed('r', '__host', '__path', shape[0], shape[1])}, {proposed('l', '__own_host', '__own_path', shape[2], shape[3])})"
+    proposals = urls.select("__url", F.explode(F.expr(keys)).alias("__key"))
     blocks = bloom.blocks_for(n)
     hits = bloom.passing(proposals, F.xxhash64("__key"), bloom.build(keyed.select(F.xxhash64("__key").alias("__k")), blocks), blocks)
     if n <= broadcast:
