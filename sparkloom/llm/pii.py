@@ -44,13 +44,13 @@ EMAIL = f"(?:(?<!{LOCAL})|\\G){LOCAL}++@{LABEL}++{JOIN}[A-Za-z0-9{JOIN}-]*+"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = f"[0-9][0-9{JOIN}]++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Generators of the method: kind, cheap test, pattern.
+#: Generators of the method: kind, cheap test, pattern. A match may be of any length; runs are taken whole and never tried again from within.
 GENERATORS = (
-    ("number", "[0-9]", r"(?<![0-9A-Za-z(])[(]?[0-9][0-9 ().-]{5,30}[0-9](?![0-9A-Za-z])"),
-    ("account", "[A-Z]{2}[0-9]{2}", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}(?![0-9A-Za-z])"),
-    ("key", "[0-9A-Fa-f]{32}", r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])"),
-    ("secret", "[0-9A-Za-z_/+-]{16}", r"(?<![0-9A-Za-z_/+-])[0-9A-Za-z_/+-]{16,128}(?![0-9A-Za-z_/+-])"),
-    ("mail", r"(?i)[\[(]at[\])]", r"(?i)[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,64}(?: ?[\[(]dot[\])] ?|\.)[A-Za-z0-9-]{2,24}"),
+    ("number", "[0-9]", r"(?<![0-9A-Za-z(])[(]?[0-9][0-9 ().-]{5,}[0-9](?![0-9A-Za-z])"),
+    ("account", "[A-Z]{2}[0-9]{2}", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}[0-9A-Z]{11,}+(?![0-9A-Za-z])"),
+    ("key", "[0-9A-Fa-f]{32}", r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])"),
+    ("secret", "[0-9A-Za-z_/+-]{16}", r"(?<![0-9A-Za-z_/+-])[0-9A-Za-z_/+-]{16,}+"),
+    ("mail", r"(?i)[\[(]at[\])]", r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?[\[(]dot[\])] ?|\.)[A-Za-z0-9-]{2,}+"),
 )
 CONTEXT = 24
 #: Words before a span, by what they point to.
