@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparkloom.llm.bloom import carried
 from sparkloom.llm.common import table
 
 SAMPLE_DOCS, CHARS, MODEL_CHARS, LANGUAGES = 96, 20_000, 2_000_000, 1000
@@ -318,10 +319,12 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
 
     def run(batches):
         for batch in pieces(batches):
-            names, _ = shared.value.predict(batch.column(place).to_pylist())
-            yield batch.filter(pa.array([x != "und" for x in names]))
+            names, _ = shared.value.predict(batch.column(0).field(place).to_pylist())
+            yield batch.filter(pa.array([x != "und" for x in names], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    #: Rows travel as one struct, so columns may have any names.
+    rows = docs.select(carried(docs))
+    return rows.mapInArrow(run, rows.schema).select("__row.*")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
