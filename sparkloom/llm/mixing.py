@@ -152,23 +152,24 @@ def inverse(m: list[list[float]]) -> list[list[float]]:
     return [r[n:] for r in rows]
 
 
-def rate(steps: list[list[float]]) -> Column:
-    """The rate after these steps, as arithmetic on the probabilities."""
+def rate(steps: list[list[float]], most: float | None = None) -> Column:
+    """The rate after these steps, as arithmetic on the probabilities; never above `most`."""
     r = "1D"
     for y in steps:
         r = f"greatest(0D, {r} - ({' + '.join(f'__p{i} * {v!r}D' for i, v in enumerate(y))}))"
+        r = f"least({float(most)!r}D, {r})" if most else r
     return F.expr(r)
 
 
-def solve(parts: DataFrame, target: dict[str, float] | None = None) -> tuple[list[list[float]], list[float], list[float]]:
-    """parts: __tokens, __p0, ... The steps, the totals wanted and the totals met."""
+def solve(parts: DataFrame, target: dict[str, float] | None = None, most: float | None = None) -> tuple[list[list[float]], list[float], list[float]]:
+    """parts: __tokens, __p0, ... The steps, the totals wanted and the totals met, at rates from 0 to `most`."""
     k = range(len(DOMAINS))
 
-    def totals(steps):
-        """Of each domain at these rates, and G over the documents that have a rate."""
-        row = parts.select("*", rate(steps).alias("__r")).agg(
+    def totals(steps, free="__r > 0"):
+        """Of each domain at these rates, and G over the documents that are free to move."""
+        row = parts.select("*", rate(steps, most).alias("__r")).agg(
             *(F.coalesce(F.sum(F.expr(f"__r * __tokens * __p{i}")), F.lit(0.0)).alias(f"s{i}") for i in k),
-            *(F.coalesce(F.sum(F.expr(f"IF(__r > 0, __tokens * __p{i} * __p{j}, 0D)")), F.lit(0.0)).alias(f"g{i}_{j}") for i in k for j in k if i <= j),
+            *(F.coalesce(F.sum(F.expr(f"IF({free}, __tokens * __p{i} * __p{j}, 0D)")), F.lit(0.0)).alias(f"g{i}_{j}") for i in k for j in k if i <= j),
         ).first()
         return [row[f"s{i}"] for i in k], [[row[f"g{min(i, j)}_{max(i, j)}"] for j in k] for i in k]
 
@@ -187,6 +188,10 @@ def solve(parts: DataFrame, target: dict[str, float] | None = None) -> tuple[lis
         left = miss(met)
         if max(map(abs, left)) <= CLOSE * whole:
             break
+        if most:
+            #: A document at a bound is free only if the gradient leads away from it.
+            pull = " + ".join(f"__p{i} * {x / whole!r}D" for i, x in enumerate(left))
+            _, g = totals(steps, f"(__r > 0 OR ({pull}) < 0) AND (__r < {float(most)!r}D OR ({pull}) > 0)")
         back = inverse([[g[i][j] + 1e-9 * whole * (i == j) for j in k] for i in k])
         step = [sum(back[i][j] * left[j] for j in k) for i in k]
         for _ in range(4):
@@ -215,16 +220,19 @@ def rates(docs: DataFrame, labels: DataFrame, target: dict[str, float] | None =
 def mixed(docs: DataFrame, labels: DataFrame, target: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", repeat: bool = False, seed: int = 0) -> DataFrame:
     """The documents that the rates choose, with all their columns: each stays with
     probability rate (by the hash of its id and text); with repeat, rates above 1 give copies.
+    Without repeat no rate is above 1, and what is reported as met is what is kept: a domain
+    of which too little is there falls short, with a warning.
 
     Texts are classified once: the rows are staged with their probabilities."""
     model = fit(docs, labels, id_col, text_col)
     chance = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.when(F.col(id_col).isNull(), F.col(text_col)), F.lit(seed)), 11) / F.lit(float(1 << 53))
     rows = memberships(docs.select(carried(docs), F.col(text_col).alias("__text"), chance.alias("__chance")), model, "__text", ["__row", "__chance"])
     parts = staged(rows, "mixing", compression="snappy")
-    steps, wanted, met = solve(parts, target)
+    most = None if repeat else 1.0
+    steps, wanted, met = solve(parts, target, most)
     if (far := misfit(wanted, met)) > WITHIN:
         warnings.warn(f"mixing: no rates meet the targets; wanted {wanted}, met {met}, {far:.1%} off", stacklevel=2)
-    chosen = parts.select("__row", F.floor(rate(steps) + 1e-9 + F.col("__chance")).alias("__times")).where("__times >= 1")
+    chosen = parts.select("__row", F.floor(rate(steps, most) + 1e-9 + F.col("__chance")).alias("__times")).where("__times >= 1")
     if repeat:
         chosen = chosen.select("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
     return chosen.select("__row.*")
