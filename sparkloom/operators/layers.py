@@ -44,8 +44,8 @@ def matched(values: DataFrame, value: str, rules: DataFrame, separator: str = ".
     has = F.length("value") >= GRAM
     keyed = own.where("value IS NOT NULL AND value != ''").select("value", F.explode(F.concat(F.array(F.lit("")), F.when(has, grams(F.col("value"))).otherwise(F.array().cast("array<string>")))).alias("gram"))
     met = keyed.join(indexed(rules, separator), "gram").where(F.regexp_like("value", F.col("regex")))
-    first = met.groupBy("value").agg(F.min(F.struct("ord", "layer", "pattern")).alias("r"))
-    return own.join(first, F.col("value").eqNullSafe(first["value"]), "left").select(own["value"], F.coalesce("r.layer", F.lit(NONE)).alias("layer"), F.col("r.pattern").alias("pattern"))
+    first = met.groupBy(F.col("value").alias("__v")).agg(F.min(F.struct("ord", "layer", "pattern")).alias("r"))
+    return own.join(first, F.col("value").eqNullSafe(F.col("__v")), "left").select("value", F.coalesce("r.layer", F.lit(NONE)).alias("layer"), F.col("r.pattern").alias("pattern"))
 
 
 def signs(rules: DataFrame) -> DataFrame:

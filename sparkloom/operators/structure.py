@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import scan
 from sparkloom.functions.extract import all_of, decision_points
+from sparkloom.functions.text import statement_class, table_names
 
 MODIFIERS = ("public", "protected", "private", "static", "final", "abstract", "native", "synchronized", "transient", "volatile", "strictfp", "default", "sealed")
 NAME = r"[A-Za-z_$][\w$]*"
@@ -201,3 +202,41 @@ def orchestration(files: DataFrame, patterns: list[str], path_col: str = "path",
     used = f.select("path", "type_name", "manager", F.lit(1).alias("f"), F.lit(0).alias("c")).unionByName(manager_usage(files, patterns, path_col, text_col).select("path", "type_name", F.col("manager_class").alias("manager"), F.lit(0).alias("f"), F.lit(1).alias("c")))
     g = used.groupBy("path", "type_name").agg(F.sum("f").alias("manager_fields"), F.sum("c").alias("manager_calls"), F.count_distinct("manager").alias("unique_managers"))
     return g.select("*", (F.col("manager_fields") + F.col("manager_calls")).alias("score"), (F.col("unique_managers") > 1).alias("is_orchestrator"))
+
+
+def edges(files: DataFrame, patterns: list[str], path_col: str = "path", text_col: str = "text") -> DataFrame:
+    """Code edges that need structure: path, package, from_reference, to_reference, mapping_type, framework, attributes.
+
+    method_call (a method to the target type's method), factory_method (to what it gives), interface_implementation,
+    service_dependency (a type to the manager's method), orchestration, sql_table_access and stored_procedure_call
+    (the method that holds the statement to the table or procedure)."""
+    d = declarations(files, path_col, text_col)
+    packages = d.groupBy("path").agg(F.min("package").alias("package"))
+    nothing = F.lit(None).cast("map<string,string>")
+
+    def made(rows: DataFrame, of: Column, to: Column, kind: str, framework: str, attributes: Column = nothing) -> DataFrame:
+        return rows.select("path", of.alias("__of"), to.alias("to_reference"), F.lit(kind).alias("mapping_type"), F.lit(framework).alias("framework"), attributes.alias("attributes"))
+
+    told = lambda **v: F.map_from_arrays(F.array(*map(F.lit, v)), F.array(*(c.cast("string") for c in v.values())))
+    called = resolved_calls(files, path_col, text_col).where("via != 'own' AND target_type IS NOT NULL")
+    dotted = F.concat_ws(".", "target_type", "name")
+    fits = first_match(F.col("target_type"), F.array(*map(F.lit, patterns)))
+    factories, own = factory_methods(files, patterns, path_col, text_col), F.col("type_name")
+    groups = orchestration(files, patterns, path_col, text_col).where("is_orchestrator")
+    methods = d.where("kind = 'method' AND has_body").join(files.select(F.col(path_col).alias("path"), F.col(text_col).alias("__text")), "path").select("path", F.concat_ws(".", "type_name", "name").alias("__in"), F.substring("__text", F.col("open") + 1, F.col("close") - F.col("open") + 1).alias("__body"))
+    statements = methods.select("path", "__in", F.explode(all_of(F.col("__body"), r"(?i)\"\s*((?:SELECT|INSERT|UPDATE|DELETE)\s[^\"]*)\"")).alias("__sql"))
+    tables = statements.select("path", "__in", statement_class(F.col("__sql")).alias("__class"), F.explode(table_names(F.col("__sql"))).alias("__table"))
+    procedures = methods.select("path", "__in", F.explode(all_of(F.col("__body"), r"\{\s*(?:\?\s*=\s*)?call\s+([\w.]+)")).alias("__proc"))
+    parts = [
+        made(called, own, dotted, "method_call", "java", told(call_type=F.when(F.col("via") == "static", "static").otherwise("instance"))),
+        made(factories, F.concat_ws(".", "type_name", "name"), F.col("value_type"), "factory_method", "custom", told(matched_pattern=F.col("matched_pattern"))),
+        made(type_interfaces(files, path_col, text_col), own, F.col("interface"), "interface_implementation", "custom"),
+        made(called.where(fits.isNotNull()), own, dotted, "service_dependency", "custom", told(matched_pattern=fits)),
+        made(groups, own, F.lit("ORCHESTRATION_PATTERN"), "orchestration", "custom", told(orchestration_score=F.col("score"), unique_manager_count=F.col("unique_managers"))),
+        made(tables, F.col("__in"), F.col("__table"), "sql_table_access", "database", told(statement_type=F.col("__class"))),
+        made(procedures, F.col("__in"), F.col("__proc"), "stored_procedure_call", "database"),
+    ]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.join(packages, "path").select("path", "package", F.concat_ws(".", "package", "__of").alias("from_reference"), "to_reference", "mapping_type", "framework", "attributes")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkloom.operators import chunks, structure
+from sparkloom.operators import chunks, layers, structure
 from sparkloom.plans import model
 from sparkloom.plans.catalog import query
 
@@ -108,3 +108,60 @@ def page_chunk_texts(spark, d):
     pages = model.table(spark, d, "pages").where("NOT html RLIKE '(?i)<form'").select("page_id", F.concat(F.lit("p"), "page_id").alias("path"), F.col("html").alias("text"))
     found = chunks.page_chunks(pages).join(pages.select("page_id", F.col("path").alias("source_path")), "source_path")
     return found.select("page_id", "content", F.col("own")["elements_count"].alias("elements"), F.col("own")["forms_count"].alias("forms"))
+
+
+#: Rules of the layers, in order, for packages and for code.
+PACKAGE_RULES = (("UI", "com.**.controller.**"), ("Service", "com.**.service.**"), ("Database", "com.**.dao.**"), ("Database", "com.**.repository.**"), ("Integration", "com.**.client.**"), ("Reporting", "com.**.report.**"), ("Reporting", "com.**.reports.**"), ("Reporting", "com.**.dashboard.**"), ("Configuration", "com.**.config.**"))
+CODE_SIGNS = (("UI", "@Controller"), ("UI", "@RestController"), ("UI", "Servlet"), ("UI", "Handler"), ("Service", "@Service"), ("Service", "@Component"), ("Service", "Processor"), ("Database", "@Repository"), ("Database", "@Entity"), ("Reporting", "*Report*"))
+
+
+def _rules(spark, rules, name):
+    return spark.createDataFrame([(k, layer, x) for k, (layer, x) in enumerate(rules)], f"ord int, layer string, {name} string")
+
+
+@query(
+    f"WITH {model.SOURCES}, p AS (SELECT path, package, CASE "
+    + " ".join("WHEN regexp_matches(package, '{}') THEN '{}'".format(g.replace("**", ".*"), layer) for layer, g in PACKAGE_RULES)
+    + " END AS p FROM src) SELECT path, package, coalesce(p, 'Service') AS layer, CASE WHEN p IS NULL THEN 'code' ELSE 'package' END AS by FROM p"
+)
+def code_layers(spark, d):
+    files = model.sources(spark, d)
+    return layers.detected(files, structure.declarations(files), _rules(spark, PACKAGE_RULES, "pattern"), _rules(spark, CODE_SIGNS, "sign"), {"@Path": "UI"})
+
+
+#: Patterns over directories of the files, as many as a project has.
+PATH_RULES = tuple((layer, f"**/{word}*/**") for layer, word in (("Application", "src1"), ("Business", "src2"), ("DataAccess", "src3"), ("Security", "en"), ("Shared", "src")))
+
+
+@query(f"WITH {model.FILES} SELECT '/' || path AS value, CASE " + " ".join("WHEN regexp_matches('/' || path, '(?i){}') THEN '{}'".format(g.replace("**", "\x00").replace("*", "[^/]*").replace("\x00", ".*"), layer) for layer, g in PATH_RULES) + " ELSE 'Other' END AS layer FROM files")
+def path_layers(spark, d):
+    f = model.files(spark, d).select(F.concat(F.lit("/"), "path").alias("p"))
+    return layers.matched(f, "p", _rules(spark, PATH_RULES, "pattern"), "/").select("value", "layer")
+
+
+PREFIXES = ("com.p1", "com.p2.core", "com.p33.", "com.p1.core", "org")
+
+
+@query(
+    "WITH e AS (SELECT l_orderkey, l_linenumber, 'com.p' || l_suppkey % 50 || '.core' AS package, 'com.p' || l_partkey % 50 || '.core' AS target, 'com.p' || l_partkey % 50 || '.core.Part' || l_partkey || '.load' AS to_reference FROM lineitem), "
+    "p(prefix) AS (VALUES " + ", ".join(f"('{x}')" for x in PREFIXES) + ") "
+    "SELECT l_orderkey, l_linenumber, to_reference, (SELECT prefix FROM p WHERE starts_with(target, prefix) ORDER BY length(prefix) DESC LIMIT 1) AS prefix FROM e WHERE target <> package AND EXISTS (SELECT 1 FROM p WHERE starts_with(target, prefix))"
+)
+def code_edges_to_packages(spark, d):
+    li = model.table(spark, d, "lineitem")
+    e = li.select("l_orderkey", "l_linenumber", F.concat(F.lit("com.p"), F.col("l_suppkey") % 50, F.lit(".core")).alias("package"), F.concat(F.lit("com.p"), F.col("l_partkey") % 50, F.lit(".core.Part"), "l_partkey", F.lit(".load")).alias("to_reference"))
+    listed = spark.createDataFrame([(x,) for x in PREFIXES], "prefix string")
+    return layers.filtered(e, listed, exclude_same=True).select("l_orderkey", "l_linenumber", "to_reference", "prefix")
+
+
+@query(
+    f"WITH {model.SOURCES}, e AS (SELECT path, package || '.' || c AS f, 'Nation' || n || 'Manager.load' AS t, unnest(['method_call', 'service_dependency']) AS k FROM src "
+    "UNION ALL SELECT path, package || '.' || c, part || '.' || unnest(['getInstance', 'find']), 'method_call' FROM src WHERE odd "
+    "UNION ALL SELECT path, package || '.' || c, part || '.' || unnest(['getInstance', 'find']), 'service_dependency' FROM src WHERE odd "
+    "UNION ALL SELECT path, package || '.' || c, 'Order' || i || '.go', 'method_call' FROM more "
+    "UNION ALL SELECT path, package || '.' || c, unnest(['Runnable', 'Comparable<' || c || '>']), 'interface_implementation' FROM src "
+    "UNION ALL SELECT path, package || '.' || c, 'ORCHESTRATION_PATTERN', 'orchestration' FROM src WHERE odd "
+    "UNION ALL SELECT path, package || '.' || h || '.createHelper', h, 'factory_method' FROM src) SELECT path, f AS from_reference, t AS to_reference, k AS mapping_type FROM e"
+)
+def code_structure_edges(spark, d):
+    return structure.edges(model.sources(spark, d), ["*Manager", "create*"]).select("path", "from_reference", "to_reference", "mapping_type")

@@ -101,7 +101,7 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Last package segment of the sources, by key.
-LAYER_PACKAGES = ("controller", "service", "dao", "client", "reports", "config", "misc")
+LAYER_PACKAGES = ("controller.web", "service.core", "dao", "client.http", "reports.pdf", "config.app", "misc")
 SOURCES = (
     "src AS (SELECT c_custkey AS k, 'src/n' || c_nationkey || '/C' || c_custkey || '.java' AS path, 'C' || c_custkey AS c, 'Helper' || c_custkey AS h, c_nationkey AS n, c_custkey % 3 AS more, c_custkey % 2 = 1 AS odd, 'Part' || c_custkey % 5 || 'Manager' AS part, "
     "'com.acme.' || lower(c_mktsegment) || '.' || ['" + "', '".join(LAYER_PACKAGES) + f"'][c_custkey % {len(LAYER_PACKAGES)} + 1] AS package FROM customer), "
