@@ -6,15 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.text import hash_fraction
+from sparkloom.sources.shared import checkpoint_dir
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint; without a folder for it (tests), one is made."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -28,7 +25,8 @@ def closure(edges: DataFrame) -> DataFrame:
         new = checkpointed(step.join(known, ["a", "b"], "left_anti").withColumn("depth", F.lit(depth)))
         if new.isEmpty():
             return known
-        known = checkpointed(known.unionByName(new))
+        #: The parts stay as they were written; nothing is written twice.
+        known = known.unionByName(new)
 
 
 def propagated(owners: DataFrame, reach: DataFrame) -> DataFrame:

@@ -903,4 +903,4 @@ def class_cast_to_domain(spark, d):
 
 
 # Queries of their own modules add themselves
-from sparkloom.plans import catalog_code  # noqa: E402, F401
+from sparkloom.plans import catalog_checks, catalog_code  # noqa: E402, F401

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom.sources.shared import checkpoint_dir
+
 
 def counters(failed: Column) -> list[Column]:
     return [F.count("*").alias("processed"), F.count_if(failed).alias("failed"), F.count_if(~failed).alias("ok")]
@@ -34,11 +38,7 @@ def new_files(spark: SparkSession, folder: str, schema, ts: str, key: str, late:
 def drained(stream: DataFrame, name: str) -> DataFrame:
     """Run a stream of window counts over what is there now and return its windows (as many as there are days)."""
     spark = stream.sparkSession
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    writer = stream.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True)
-    if base:
-        import uuid
-
-        writer = writer.option("checkpointLocation", f"{base.rstrip('/')}/streams/{name}-{uuid.uuid4().hex}")
+    place = f"{checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
+    writer = stream.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).option("checkpointLocation", place)
     writer.start().awaitTermination()
     return spark.table(name)
