@@ -66,7 +66,7 @@ def class_and_method_chunks(files: DataFrame, path_col: str = "path", text_col:
     )
     count = lambda c: F.coalesce(c, F.lit(0))
     own = metadata(class_name=F.col("type_name"), package=F.col("package"), methods_count=count(F.col("n_methods")), fields_count=count(F.col("n_fields")), annotations=lists(F.col("annotations")))
-    classes = types.select(F.concat(F.lit("class_"), "type_name", F.lit("_"), "start_line").alias("chunk_id"), F.lit("class").alias("chunk_type"), F.col("path").alias("source_path"), "start_line", "end_line", text.alias("content"), own.alias("own"))
+    classes = types.select(F.concat(F.lit("class_"), "type_name", F.lit("_"), "start_line", F.lit("_"), F.md5("path")).alias("chunk_id"), F.lit("class").alias("chunk_type"), F.col("path").alias("source_path"), "start_line", "end_line", text.alias("content"), own.alias("own"))
     methods = d.where("kind = 'method'").join(files.select(F.col(path_col).alias("path"), F.col(text_col).alias("__text")), "path")
     body = F.when(F.col("has_body"), F.substring("__text", F.col("open") + 1, F.col("close") - F.col("open") + 1))
     seen = visibility(F.col("modifiers"))
@@ -89,7 +89,7 @@ def class_and_method_chunks(files: DataFrame, path_col: str = "path", text_col:
         has_sql=F.coalesce(body.rlike(SQL), F.lit(False)),
         stored_procedure_names=lists(F.coalesce(F.array_distinct(all_of(body, PROCEDURE)), F.array())),
     )
-    of_methods = methods.select(F.concat(F.lit("method_"), "type_name", F.lit("_"), "name", F.lit("_"), "begin").alias("chunk_id"), F.lit("method").alias("chunk_type"), F.col("path").alias("source_path"), "start_line", "end_line", text.alias("content"), own.alias("own"))
+    of_methods = methods.select(F.concat(F.lit("method_"), "type_name", F.lit("_"), "name", F.lit("_"), "begin", F.lit("_"), F.md5("path")).alias("chunk_id"), F.lit("method").alias("chunk_type"), F.col("path").alias("source_path"), "start_line", "end_line", text.alias("content"), own.alias("own"))
     return classes.unionByName(of_methods)
 
 

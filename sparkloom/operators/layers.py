@@ -74,7 +74,7 @@ def detected(files: DataFrame, declarations: DataFrame, packages: DataFrame, ind
     rows = files.select("path", "text").join(facts, "path").join(by_package, "package", "left").crossJoin(F.broadcast(signs(indicators)))
     marks = F.transform("annotations", lambda a: F.concat(F.lit("@"), a))
     given = F.create_map(*(F.lit(x) for pair in mapping.items() for x in pair)) if mapping else F.lit(None).cast("map<string,string>")
-    mapped = F.get(F.filter(F.transform("annotations", lambda a: F.try_element_at(given, a)), lambda x: x.isNotNull()), F.lit(0))
+    mapped = F.get(F.filter(F.transform(marks, lambda a: F.try_element_at(given, a)), lambda x: x.isNotNull()), F.lit(0))
     p, c = F.nullif("p", F.lit(NONE)), code_layer(F.col("text"), marks, F.col("names"), F.col("__signs"))
     found = rows.select("path", "package", p.alias("p"), c.alias("c"), mapped.alias("m"))
     by = F.when(F.col("p").isNotNull(), "package").when(F.col("c").isNotNull(), "code").when(F.col("m").isNotNull(), "framework").otherwise("none")
