@@ -116,7 +116,7 @@ def whole_chunks(files: DataFrame, kind: str, content: Column, path_col: str = "
 
 
 def chunks(files: DataFrame, context: list[str], path_col: str = "path", text_col: str = "text") -> DataFrame:
-    """The chunks of all files with metadata: the chunk's own entries and the file's columns named in context.
+    """The chunks of all files with metadata: the chunk's own entries and the file's columns named in context (which win).
     files: path, language, type, text and the context columns."""
     java, page, config = F.col("language") == "java", F.col("type") == "web", F.col("type") == "config"
     rest = ~F.coalesce(java, F.lit(False)) & ~F.coalesce(page, F.lit(False)) & ~F.coalesce(config, F.lit(False))
@@ -125,4 +125,4 @@ def chunks(files: DataFrame, context: list[str], path_col: str = "path", text_co
     made = made.unionByName(whole_chunks(files.where(config & ~java & ~page), "config", F.concat(F.lit("Configuration file: "), F.col(path_col)), path_col))
     made = made.unionByName(whole_chunks(files.where(rest), "file", F.coalesce(F.col(text_col), F.lit("")), path_col))
     around = files.select(F.col(path_col).alias("source_path"), metadata(**{f"file_{c}" if c in ("path", "language", "type", "hash") else c: F.col(c) for c in context}).alias("around"))
-    return made.join(around, "source_path").select("chunk_id", "chunk_type", "source_path", "start_line", "end_line", "content", F.map_concat("around", "own").alias("metadata"))
+    return made.join(around, "source_path").select("chunk_id", "chunk_type", "source_path", "start_line", "end_line", "content", F.map_concat("around", F.map_filter("own", lambda k, _: ~F.array_contains(F.map_keys("around"), k))).alias("metadata"))

@@ -82,25 +82,33 @@ def coverage(nodes: DataFrame, relations: DataFrame, kinds: list[str]) -> DataFr
     return found.crossJoin(F.broadcast(total)).select("type", "covered", "edges", F.round(F.col("covered") / F.col("total"), 6).alias("share"))
 
 
+def group_roots(groups: DataFrame) -> DataFrame:
+    """groups: key, single, tables, roles (arrays). key and root: the group that each ends up in.
+
+    In order of key, a single route joins the first group that shares enough tables with it (half of its own, two at
+    most) or any role; what joined before counts for the group. Each round all single routes propose at once, by an
+    index of the groups' tables and roles with the first key that brought them: only what came before a key counts for
+    it. A key is right once those before it are, so the rounds end, and where nothing changes the result is that of
+    the fold in order. The rounds are as many as groups that depend on each other in a row."""
+    need = F.least(F.lit(2), F.ceil(F.size("tables") / 2))
+    part = lambda kind: F.transform(F.array_distinct(F.coalesce(F.col(f"{kind}s"), F.array().cast("array<string>"))), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("name")))
+    listed = F.concat(part("table"), part("role"))
+    held = checkpointed(groups.select("key", "single", need.alias("need"), F.explode(listed).alias("r")).select("key", "single", "need", "r.kind", "r.name"))
+    keys = groups.select("key")
+    roots = checkpointed(keys.withColumn("root", F.col("key")))
+    while True:
+        since = held.join(roots, "key").groupBy("kind", "name", "root").agg(F.min("key").alias("since"))
+        met = held.where("single").join(since, ["kind", "name"]).where(F.col("since") < F.col("key"))
+        fits = met.groupBy("key", "root").agg(F.count_if(F.col("kind") == "table").alias("tables"), F.count_if(F.col("kind") == "role").alias("roles"), F.first("need").alias("need")).where("roles > 0 OR tables > 0 AND tables >= need")
+        first = fits.groupBy("key").agg(F.min("root").alias("first"))
+        new = checkpointed(keys.join(first, "key", "left").select("key", F.coalesce("first", "key").alias("root")))
+        if new.join(roots, ["key", "root"], "left_anti").isEmpty():
+            return new
+        roots = new
+
+
 def merged_groups(groups: DataFrame) -> DataFrame:
-    """groups: key, routes, tables, roles (arrays). Singletons join the first group, in order of
-    key, that shares enough tables or any role. Inherently a fold in order: the groups (one row a
-    business domain) go to one task; the routes stay in their rows."""
-    import pandas as pd
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[dict] = []
-        for g in pdf.sort_values("key").to_dict("records"):
-            own = {k: set(g[k]) for k in ("routes", "tables", "roles")}
-            into = None
-            if len(own["routes"]) == 1:
-                need = min(2, max(1, len(own["tables"]) // 2))
-                into = next((x for x in kept if len(x["tables"] & own["tables"]) >= need or x["roles"] & own["roles"]), None)
-            if into is None:
-                kept.append({"key": g["key"]} | own)
-            else:
-                for k in ("routes", "tables", "roles"):
-                    into[k] |= own[k]
-        return pd.DataFrame({"key": [x["key"] for x in kept], **{k: [",".join(sorted(x[k])) for x in kept] for k in ("routes", "tables", "roles")}})
-
-    return groups.groupBy().applyInPandas(fold, "key string, routes string, tables string, roles string")
+    """groups: key, routes, tables, roles (arrays). The merged groups, with the sorted names of all three as texts."""
+    roots = group_roots(groups.select("key", (F.size("routes") == 1).alias("single"), "tables", "roles"))
+    named = lambda c: F.concat_ws(",", F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))).alias(c)
+    return groups.join(roots, "key").groupBy(F.col("root").alias("key")).agg(named("routes"), named("tables"), named("roles"))

@@ -561,11 +561,36 @@ def page_chains(spark, d):
 _SEGMENTED = f"{model.ROUTES}, d AS (SELECT id, path, list_filter(string_split(lower(path), '/'), lambda x: x <> '') AS s FROM routes), m AS (SELECT id, path, coalesce({_BY(1)}, {_BY(2)}, CASE WHEN length(s[1]) > 2 THEN s[1] END, 'general') AS domain FROM d)"
 
 
-@query(f"WITH {_SEGMENTED} SELECT 'cap_domain_' || domain AS id, domain, count(DISTINCT id) AS members, round(least(0.99, 0.4 + 0.05 * count(DISTINCT id))::double, 6) AS confidence FROM m GROUP BY domain")
+#: Pages as routes of twenty areas and of domains of their own; tables read by every third, roles of every fourth page.
+_AREAS = "m AS (SELECT 'page_' || page_id AS id, CASE WHEN page_id % 2 = 0 THEN 'area' || page_id % 20 ELSE 'solo' || page_id END AS domain FROM pages)"
+_ROUTE_RELATIONS = "rel AS (SELECT 'page_' || page_id AS id, 'table_t' || page_id % 35 AS to_id, 'readsFrom' AS type FROM pages WHERE page_id % 3 = 0 UNION ALL SELECT 'page_' || page_id, 'role_' || page_id % 22, 'securedBy' FROM pages WHERE page_id % 4 = 0)"
+
+
+def _areas(spark, d):
+    p, key = model.table(spark, d, "pages"), F.col("page_id")
+    return p.select(F.concat(F.lit("page_"), key).alias("id"), F.when(key % 2 == 0, F.concat(F.lit("/area"), key % 20, F.lit("/x"))).otherwise(F.concat(F.lit("/solo"), key)).alias("path"))
+
+
+def _route_relations(spark, d):
+    p = model.table(spark, d, "pages")
+    edge = lambda rows, to, kind: rows.select(F.concat(F.lit("page_"), "page_id").alias("from_id"), F.concat(*to).alias("to_id"), F.lit(kind).alias("type"), F.lit(0.9).alias("confidence"))
+    return edge(p.where("page_id % 3 = 0"), (F.lit("table_t"), F.col("page_id") % 35), "readsFrom").unionByName(edge(p.where("page_id % 4 = 0"), (F.lit("role_"), F.col("page_id") % 22), "securedBy"))
+
+
+@query(
+    f"WITH {_AREAS}, {_ROUTE_RELATIONS} SELECT 'cap_domain_' || domain AS id, domain, count(DISTINCT m.id) AS members, round(least(0.99, 0.4 + 0.05 * count(DISTINCT m.id))::double, 6) AS confidence, "
+    "coalesce(string_agg(DISTINCT CASE WHEN type = 'readsFrom' THEN to_id[7:] END, ',' ORDER BY CASE WHEN type = 'readsFrom' THEN to_id[7:] END), '') AS tables, "
+    "coalesce(string_agg(DISTINCT CASE WHEN type = 'securedBy' THEN to_id END, ',' ORDER BY CASE WHEN type = 'securedBy' THEN to_id END), '') AS roles, count(to_id) AS citations FROM m LEFT JOIN rel USING (id) GROUP BY domain"
+)
 def capability_groups(spark, d):
-    r = model.routes(spark, d)
-    none = spark.createDataFrame([], "from_id string, to_id string, type string, confidence double")
-    return assemble.capabilities(r, none).select("id", "domain", "members", F.round("confidence", 6).alias("confidence"))
+    found = assemble.capabilities(_areas(spark, d), _route_relations(spark, d))
+    return found.select("id", "domain", "members", F.round("confidence", 6).alias("confidence"), F.array_join("tables", ",").alias("tables"), F.array_join("roles", ",").alias("roles"), "citations")
+
+
+@query()
+def capability_merged(spark, d):
+    found = assemble.capabilities(_areas(spark, d), _route_relations(spark, d), merge=True)
+    return found.select("id", "domain", "members", F.array_join("tables", ",").alias("tables"), F.array_join("roles", ",").alias("roles"), "citations")
 
 
 @query("SELECT coalesce(lang, 'Unclassified') AS section, '## ' || coalesce(lang, 'Unclassified') || chr(10) || chr(10) || '| source | n |' || chr(10) || '| --- | --- |' || chr(10) || string_agg('| ' || source || ' | ' || n || ' |', chr(10) ORDER BY source) AS body FROM (SELECT lang, source, count(*) AS n FROM documents GROUP BY 1, 2) GROUP BY 1")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import markup, stacks
 from sparkloom.operators import trees
-from sparkloom.plans import model
+from sparkloom.plans import model, render
 from sparkloom.plans.catalog import query
 
 #: What is put behind a source, by key modulo their number, and its faults (kind, sign).
@@ -142,3 +142,53 @@ def yaml_depths(spark, d):
 @query(f"{_YAML} SELECT c_custkey, path, value, CASE WHEN contains(value, '\\') THEN 'windows' ELSE 'absolute' END AS violation FROM r WHERE path LIKE '%].path'")
 def yaml_path_violations(spark, d):
     return trees.path_violations(_yaml_rows(spark, d), "c_custkey")
+
+
+# Documents: customers as capabilities, segments as domains
+
+
+def _capabilities(spark, d):
+    c, key = model.table(spark, d, "customer"), F.col("c_custkey")
+    odd = key % 2 == 1
+    return c.select(
+        F.lpad(key.cast("string"), 9, "0").alias("id"),
+        F.concat(F.lit("orderDesk"), key).alias("name"),
+        F.concat(F.lit(" Serves nation "), "c_nationkey", F.lit(" ")).alias("purpose"),
+        F.when(odd, F.concat(F.lit("Menu"), key % 3)).alias("menu"),
+        F.nullif("c_mktsegment", F.lit("BUILDING")).alias("domain"),
+        F.when(key % 3 == 0, "Sub").alias("subdomain"),
+        F.when(odd, "UI").alias("layer"),
+        F.array(F.lit("b"), F.lit(" a "), F.lit("b"), F.lit("")).alias("screens"),
+        F.array().cast("array<string>").alias("handlers"),
+        F.array(F.concat(F.lit("t"), key % 4)).alias("tables"),
+        F.lit(None).cast("array<string>").alias("procedures"),
+        (key % 7).alias("citations"),
+        F.when(~odd, "sure").alias("rationale"),
+    )
+
+
+_DOCUMENTS = """WITH c AS (SELECT lpad(c_custkey::varchar, 9, '0') AS id, 'orderDesk' || c_custkey AS name, 'Order Desk' || c_custkey AS shown, 'Serves nation ' || c_nationkey AS purpose,
+  CASE WHEN c_custkey % 2 = 1 THEN ' (Menu: Menu' || c_custkey % 3 || ')' ELSE '' END AS menu, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Unclassified' ELSE c_mktsegment END AS domain,
+  CASE WHEN c_custkey % 3 = 0 THEN 'Sub' END AS subdomain, CASE WHEN c_custkey % 2 = 1 THEN 'UI' END AS layer, 't' || c_custkey % 4 AS tables,
+  '- orderDesk' || c_custkey || ' — Evidence: ' || c_custkey % 7 || ' citations' || CASE WHEN c_custkey % 2 = 0 THEN ' — Rationale: sure' ELSE '' END AS detail FROM customer),
+b AS (SELECT domain, count(*) AS n, '### ' || domain || chr(10) || chr(10) || '| Capability | Business Purpose |' || chr(10) || '| --- | --- |' || chr(10) || string_agg('| ' || shown || menu || ' | ' || purpose || ' |', chr(10) ORDER BY id) AS body FROM c GROUP BY domain),
+t AS (SELECT domain, subdomain, layer, count(*) AS n, '### ' || domain || coalesce('/ ' || subdomain, '') || coalesce(' — ' || layer, '') || chr(10) || chr(10) || '| Capability | Screens | Handlers | Tables | Procedures |' || chr(10) || '| --- | --- | --- | --- | --- |' || chr(10)
+  || string_agg('| ' || name || ' | a, b | - | ' || tables || ' | - |', chr(10) ORDER BY id) || chr(10) || chr(10) || string_agg(detail, chr(10) || chr(10) ORDER BY id) AS body FROM c GROUP BY domain, subdomain, layer),
+p AS (SELECT 'brd' AS document, 0 AS part, NULL AS domain, NULL AS subdomain, NULL AS layer, NULL AS title, NULL AS summary, '# Shop — Business Requirements Document' AS body
+  UNION ALL SELECT 'brd', 1, NULL, NULL, NULL, NULL, NULL, 'Business-focused view of capabilities grouped by domain.'
+  UNION ALL SELECT 'brd', 2, NULL, NULL, NULL, NULL, NULL, '## Domains' || chr(10) || chr(10) || string_agg('- ' || domain || ': ' || n || ' capabilities', chr(10) ORDER BY domain) FROM b
+  UNION ALL SELECT 'brd', 3, domain, NULL, NULL, domain, n || ' capabilities', body FROM b
+  UNION ALL SELECT 'tech', 0, NULL, NULL, NULL, NULL, NULL, '# Shop — Technical Specification'
+  UNION ALL SELECT 'tech', 1, NULL, NULL, NULL, NULL, NULL, 'Generated from the capability graph with citations and provenance.'
+  UNION ALL SELECT 'tech', 3, domain, subdomain, layer, domain || coalesce(' / ' || subdomain, '') || coalesce(' — ' || layer, ''), n || ' capabilities', body FROM t),
+o AS (SELECT *, row_number() OVER w AS ord, coalesce(sum(length(body) + 2) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS start FROM p WINDOW w AS (PARTITION BY document ORDER BY part, domain, coalesce(subdomain, ''), coalesce(layer, '')))"""
+
+
+@query(f"{_DOCUMENTS} SELECT document, ord, domain, subdomain, layer, title, summary, md5(body) AS body, start, start + length(body) AS \"end\" FROM o")
+def document_parts(spark, d):
+    return render.bundle(_capabilities(spark, d), "Shop").drop("capabilities").withColumn("body", F.md5("body"))
+
+
+@query(f"{_DOCUMENTS} SELECT document, length(string_agg(body, chr(10) || chr(10) ORDER BY ord)) AS n, md5(string_agg(body, chr(10) || chr(10) ORDER BY ord)) AS markdown FROM o GROUP BY document")
+def document_texts(spark, d):
+    return render.bundle_texts(render.bundle(_capabilities(spark, d), "Shop")).select("document", F.length("markdown").cast("bigint").alias("n"), F.md5("markdown").alias("markdown"))

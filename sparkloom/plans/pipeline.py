@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.functions import classify, extract, paths, text
-from sparkloom.operators import assemble, gates, graph, linking, vectors
+from sparkloom.operators import assemble, chunks, gates, graph, linking, structure, vectors
 from sparkloom.plans import render
 from sparkloom.sources import files as source
 from sparkloom.sources import sinks
 
 STAGES = ("scan", "extract", "embed", "link", "assemble", "render")
-#: Characters of a chunk that is embedded.
-CHUNK = 4000
+#: Types that count as managers.
+MANAGERS = ["*Manager", "*Mgr", "*Service", "create*", "get*MgrObject"]
 #: Layers by path words, the first that fits.
 LAYER_WORDS = [("UI", ["/web/", "/jsp/", ".jsp", ".html", "/asl/"]), ("Database", ["/dao/", "/dsl/", ".sql"]), ("Integration", ["/isl/", "/integration/"]), ("Service", ["/service/", "/gsl/"]), ("Configuration", [".xml", ".properties", ".yml"])]
 
@@ -33,6 +33,7 @@ class Run:
     extensions: list[str] | None = None
     dimension: int = 64
     least_confidence: float = 0.8
+    name: str = "Project"
     #: Plug-ins: (name, stage after which it runs, function of the run).
     plugins: list[tuple[str, str, Callable[[Run], None]]] = field(default_factory=list)
 
@@ -59,6 +60,9 @@ def extracted(run: Run) -> None:
     t = F.col("text")
     java = f.where("language = 'java'").select("path", *(c.alias(n) for n, c in extract.java_type(t).items()), extract.decision_points(t).alias("complexity"))
     run.keep(java, "extract", "java")
+    code = f.where("language = 'java'").select("path", "text")
+    run.keep(structure.declarations(code), "extract", "declarations")
+    run.keep(structure.edges(code, MANAGERS), "extract", "code_edges")
     pages = f.where("type = 'web'").select("path", extract.includes(t).alias("includes"), extract.links(t).alias("links"), extract.iframes(t).alias("iframes"), F.concat(extract.meta_refresh(t), extract.js_navigations(t), extract.dispatcher_calls(t)).alias("redirects"), extract.form_actions(t).alias("actions"), extract.role_tokens(t).alias("roles"), extract.form_fields(t).alias("fields"))
     run.keep(pages, "extract", "pages")
     sql = f.where("language = 'sql'").select("path", F.posexplode(text.split_batches(t)).alias("ord", "sql"))
@@ -68,16 +72,13 @@ def extracted(run: Run) -> None:
 
 
 def embed(run: Run) -> None:
-    f = run.table("scan", "files").select("path", F.col("language").alias("chunk_type"), "text")
-    #: Consecutive chunks that cover the whole text; an empty file has one.
-    last = F.greatest(F.ceil(F.coalesce(F.length("text"), F.lit(0)) / CHUNK) - 1, F.lit(0)).cast("int")
-    f = f.withColumn("number", F.explode(F.sequence(F.lit(0), last)))
-    f = f.select(F.concat(F.lit("chunk_"), F.md5("path"), F.lit("_"), "number").alias("chunk_id"), "chunk_type", "path", "number", F.substring("text", F.col("number") * CHUNK + 1, F.lit(CHUNK)).alias("content"))
+    """Chunks by structure: one a class, method and page, a line for a configuration file, other files whole."""
+    made = chunks.chunks(run.table("scan", "files"), ["path", "language", "type", "subdomain", "subdomain_type", "layer"])
     cache = sinks.read_table(run.spark, run.out, "embed", "cache")
     if cache is None:
         cache = run.spark.createDataFrame([], "key string, vector array<float>")
-    made = run.keep(vectors.encoded(f, cache, run.dimension), "embed", "chunks")
-    run.keep(made.groupBy("key").agg(F.first("embedding").alias("vector")), "embed", "cache")
+    encoded = run.keep(vectors.encoded(made, cache, run.dimension), "embed", "chunks")
+    run.keep(encoded.groupBy("key").agg(F.first("embedding").alias("vector")), "embed", "cache")
 
 
 def link(run: Run) -> None:
@@ -113,13 +114,16 @@ def assembled(run: Run) -> None:
     routes, kept = run.table("link", "routes"), run.table("link", "kept")
     handled = kept.where("type = 'handlesRoute'").select(F.col("from_id").alias("route"), F.col("to_id").alias("from_id"))
     own = handled.join(kept, "from_id").select(F.col("route").alias("from_id"), "to_id", "type", "confidence")
-    run.keep(assemble.capabilities(routes, own.unionByName(kept.where("type = 'handlesRoute'").select(own.columns))), "assemble", "capabilities")
+    #: Domains of a single route join the first that shares tables or roles with them.
+    run.keep(assemble.capabilities(routes, own.unionByName(kept.where("type = 'handlesRoute'").select(own.columns)), merge=True), "assemble", "capabilities")
 
 
 def rendered(run: Run) -> None:
-    caps = run.table("assemble", "capabilities").select("domain", "name", "members", "citations", F.concat_ws(", ", "tables").alias("tables"))
-    body = render.document(render.domain_sections(caps, "domain", "Capabilities", ["name", "members", "tables", "citations"], ["name"]), "Capabilities")
-    run.keep(body, "render", "documents")
+    caps = run.table("assemble", "capabilities")
+    none = lambda kind: F.lit(None).cast(kind)
+    told = F.concat(F.lit("Covers "), "members", F.lit(" routes"))
+    parts = run.keep(render.bundle(caps.select("id", "name", told.alias("purpose"), none("string").alias("menu"), "domain", none("string").alias("subdomain"), none("string").alias("layer"), "screens", "handlers", "tables", F.array().cast("array<string>").alias("procedures"), "citations", none("string").alias("rationale")), run.name), "render", "sections")
+    run.keep(render.bundle_texts(parts), "render", "documents")
 
 
 BUILD: dict[str, Callable[[Run], None]] = dict(zip(STAGES, (scan, extracted, embed, link, assembled, rendered)))

@@ -103,8 +103,14 @@ def test_six_stages(spark, tmp_path):
     ids = {r.id for r in run.table("link", "relations").collect()}
     assert "rel_class_Emp->readsFrom:table_emp" in ids and "rel_jsp_a->includesView:jsp_b" in ids and "rel_class_Emp->securedBy:role_Admin" in ids
     caps = {r.domain: r for r in run.table("assemble", "capabilities").collect()}
-    assert caps["employee_management"].tables == ["emp"]
-    assert "## employee_management" in run.table("render", "documents").first()["markdown"]
+    #: /emp and /employee share a table and a role, so they are one capability.
+    assert caps["emp"].tables == ["emp"] and caps["emp"].members == 2
+    texts = {r.document: r.markdown for r in run.table("render", "documents").collect()}
+    assert "### emp" in texts["brd"] and "### emp" in texts["tech"]
+    for r in run.table("render", "sections").collect():
+        assert texts[r.document][r.start : r.end] == r.body
+    assert {(r.kind, r.name) for r in run.table("extract", "declarations").collect()} >= {("class", "Emp")}
+    assert {r.chunk_type for r in run.table("embed", "chunks").collect()} >= {"class", "jsp", "config"}
     assert all(r.ok for r in pipeline.measures(run).collect())
     pipeline.execute(run, "render")
 
@@ -134,7 +140,42 @@ def test_embedding_covers_whole_files(spark, tmp_path):
     run = pipeline.Run(spark, tree(tmp_path / "p", texts), str(tmp_path / "out"))
     pipeline.scan(run)
     pipeline.embed(run)
-    made = run.table("embed", "chunks").orderBy("path", "number").collect()
-    assert {p: "".join(r.content for r in made if r.path == p) for p in texts} == texts
-    assert len({r.chunk_id for r in made}) == len(made) == 7 and all(r.embedding for r in made)
-    assert len({r.key for r in made if r.path in ("a.sql", "b.sql")}) == 3
+    made = run.table("embed", "chunks").collect()
+    assert {r.source_path: r.content for r in made} == texts
+    assert len({r.chunk_id for r in made}) == len(made) == len({r.key for r in made}) == 4 and all(r.embedding for r in made)
+
+
+def folded(groups):
+    """The fold in order: key, single, tables, roles."""
+    kept = []
+    for key, single, tables, roles in sorted(groups):
+        own = (set(tables), set(roles))
+        into = None
+        if single:
+            into = next((x for x in kept if own[0] and len(x[1] & own[0]) >= min(2, len(own[0]) * 0.5) or x[2] & own[1]), None)
+        if into is None:
+            kept.append([key, *own, [key]])
+        else:
+            into[1] |= own[0]
+            into[2] |= own[1]
+            into[3].append(key)
+    return {k: x[0] for x in kept for k in x[3]}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_merging_by_rounds_equals_the_fold(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    groups = [(f"g{i:03d}", rng.random() < 0.7, [f"t{rng.randrange(25)}" for _ in range(rng.randrange(5))], [f"r{rng.randrange(30)}" for _ in range(rng.randrange(2))]) for i in range(60)]
+    groups = [(k, s, sorted(set(t)), r) for k, s, t, r in groups]
+    df = spark.createDataFrame(groups, "key string, single boolean, tables array<string>, roles array<string>")
+    assert {r.key: r.root for r in graph.group_roots(df).collect()} == folded(groups)
+
+
+def test_merging_along_a_chain(spark):
+    """Each group brings the table by which the next one joins."""
+    groups = [(f"g{i:02d}", i > 0, [f"t{i}", f"t{i + 1}"], None) for i in range(12)]
+    df = spark.createDataFrame(groups, "key string, single boolean, tables array<string>, roles array<string>")
+    assert {r.root for r in graph.group_roots(df).collect()} == {"g00"}
+    assert graph.group_roots(df.limit(0)).count() == 0
