@@ -247,36 +247,38 @@ def language_score(spark, d):
     return model.table(spark, d, "documents").select("doc_id", scoring.weighted(F.col("text"), _SQLRULES).cast("bigint").alias("score"))
 
 
+#: Statements, one a part; {n} is its size.
 STATEMENTS = (
-    "SELECT a, b FROM t JOIN u ON t.id = u.id WHERE a IN (SELECT a FROM v)",
-    "insert into sales.orders (a) values (1)",
-    "UPDATE staff SET a = 1",
-    "DELETE FROM old_rows",
-    "CREATE TABLE hr.people (id INT IDENTITY(1,1), at DATETIME DEFAULT GETDATE())",
-    "CREATE VIEW v AS SELECT DISTINCT x FROM y",
-    "CREATE INDEX i ON t (a)",
-    "CREATE PROCEDURE p AS SELECT 1",
-    "CREATE TRIGGER g ON t",
-    "ALTER TABLE t ADD c INT",
-    "DROP TABLE #tmp",
+    "SELECT a, b FROM t{n} JOIN u ON t{n}.id = u.id WHERE a IN (SELECT a FROM v)",
+    "insert into sales.orders{n} (a) values (1)",
+    "UPDATE staff{n} SET a = 1",
+    "DELETE FROM old_rows{n}",
+    "CREATE TABLE hr.people{n} (id INT IDENTITY(1,1), at DATETIME DEFAULT GETDATE())",
+    "CREATE VIEW v{n} AS SELECT DISTINCT x FROM yy{n}",
+    "CREATE INDEX i{n} ON t (a)",
+    "CREATE PROCEDURE p{n} AS SELECT 1",
+    "CREATE TRIGGER g{n} ON t",
+    "ALTER TABLE t{n} ADD c INT",
+    "DROP TABLE #tmp{n}",
     "GRANT SELECT ON t TO r",
     "-- note",
-    "WITH c AS (SELECT 1) SELECT CASE WHEN a THEN 1 END, row_number() OVER (ORDER BY a) FROM c UNION SELECT 2, 3",
+    "WITH c AS (SELECT 1) SELECT CASE WHEN a THEN 1 END, row_number() OVER (ORDER BY a) FROM c{n} UNION SELECT 2, 3",
     "COMMIT",
     "EXEC run_all",
 )
 
 
-def statements(spark):
-    return spark.createDataFrame([(i, s) for i, s in enumerate(STATEMENTS)], "id int, sql string")
+def statements(spark, d):
+    template = F.element_at(F.array(*map(F.lit, STATEMENTS)), (F.col("p_partkey") % len(STATEMENTS) + 1).cast("int"))
+    return model.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.replace(template, F.lit("{n}"), F.col("p_size").cast("string")).alias("sql"))
 
 
-_STATEMENTS = "st(id, sql) AS (VALUES " + ", ".join("({}, '{}')".format(i, s.replace("'", "''")) for i, s in enumerate(STATEMENTS)) + ")"
+_STATEMENTS = "st AS (SELECT p_partkey AS id, replace([" + ", ".join("'{}'".format(s.replace("'", "''")) for s in STATEMENTS) + "][p_partkey % " + str(len(STATEMENTS)) + " + 1], '{n}', p_size::varchar) AS sql FROM part)"
 
 
 @query(f"WITH {_STATEMENTS} SELECT id, CASE " + " ".join(f"WHEN starts_with(upper(trim(sql)), '{a}') THEN '{b}'" for a, b in text.STATEMENTS) + " ELSE 'OTHER' END AS class FROM st")
 def sql_classify(spark, d):
-    return statements(spark).select("id", text.statement_class(F.col("sql")).alias("class"))
+    return statements(spark, d).select("id", text.statement_class(F.col("sql")).alias("class"))
 
 
 _AFTER = " || ".join(f"regexp_extract_all(sql, '(?i)\\b{k.replace(' ', chr(92) + 's+')}\\s+([a-zA-Z_][a-zA-Z0-9_.]*)', 1)" for k in text.TABLE_AFTER)
@@ -284,23 +286,23 @@ _AFTER = " || ".join(f"regexp_extract_all(sql, '(?i)\\b{k.replace(' ', chr(92) +
 
 @query(f"WITH {_STATEMENTS}, t AS (SELECT DISTINCT id, unnest({_AFTER}) AS table_name FROM st) SELECT id, table_name FROM t")
 def sql_tables(spark, d):
-    return statements(spark).select("id", F.explode(text.table_names(F.col("sql"))).alias("table_name"))
+    return statements(spark, d).select("id", F.explode(text.table_names(F.col("sql"))).alias("table_name"))
 
 
 @query(f"WITH {_STATEMENTS}, c AS (SELECT id, " + ", ".join(f"len(regexp_extract_all(sql, '(?i){p}'))::int AS {n}" for n, p in text.COMPLEX) + " FROM st), t AS (SELECT *, subqueries * 2 + joins + unions * 2 + cases + windows * 3 + ctes * 2 AS total FROM c) SELECT id, subqueries, joins, unions, cases, windows, ctes, CASE WHEN total = 0 THEN 'simple' WHEN total <= 5 THEN 'moderate' WHEN total <= 15 THEN 'complex' ELSE 'very_complex' END AS level FROM t")
 def sql_complexity(spark, d):
-    rows = statements(spark).select("id", *(c.alias(n) for n, c in text.complexity(F.col("sql")).items()))
+    rows = statements(spark, d).select("id", *(c.alias(n) for n, c in text.complexity(F.col("sql")).items()))
     return rows.select("*", scoring.complexity_level(*(F.col(n) for n, _ in text.COMPLEX)).alias("level"))
 
 
 @query(f"WITH {_STATEMENTS} SELECT id, " + ", ".join(f"({_weighted('sql', r)})::bigint AS {k}" for k, r in scoring.DIALECTS.items()) + " FROM st")
 def sql_dialects(spark, d):
-    return statements(spark).select("id", *(v.cast("bigint").alias(k) for k, v in scoring.scores(F.col("sql"), scoring.DIALECTS).items()))
+    return statements(spark, d).select("id", *(v.cast("bigint").alias(k) for k, v in scoring.scores(F.col("sql"), scoring.DIALECTS).items()))
 
 
 @query(f"WITH {_STATEMENTS} SELECT id, regexp_replace(regexp_extract(sql, '(?is)\\b(?:CREATE|ALTER|DROP)\\s+(?:UNIQUE\\s+)?(?:TABLE|VIEW|INDEX|PROCEDURE|PROC|FUNCTION|TRIGGER)\\s+([\\w.#@]+)', 1), '[\\[\\]]', '', 'g') AS name FROM st")
 def sql_objects(spark, d):
-    return statements(spark).select("id", text.object_name(F.col("sql")).alias("name"))
+    return statements(spark, d).select("id", text.object_name(F.col("sql")).alias("name"))
 
 
 @query(f"WITH {model.FILES} SELECT doc_id, CASE layer WHEN 'UI' THEN 'screen' WHEN 'Service' THEN 'service' WHEN 'Database' THEN 'service' WHEN 'Integration' THEN 'integration' ELSE 'utility' END AS subdomain_type, 'other' AS file_type, coalesce(layer, 'Other') AS layer FROM files")
@@ -530,10 +532,10 @@ def coverage_stats(spark, d):
     return graph.coverage(model.table(spark, d, "customer"), model.relations(spark, d), ["readsFrom", "writesTo", "deletesFrom"])
 
 
-@query(f"WITH {model.RELATIONS} SELECT 'customer_' || c_custkey AS id FROM customer WHERE NOT EXISTS (SELECT 1 FROM relations WHERE from_id = 'customer_' || c_custkey AND type IN ('readsFrom', 'deletesFrom'))")
+@query(f"WITH {model.RELATIONS} SELECT 'order_' || o_orderkey AS id FROM orders WHERE NOT EXISTS (SELECT 1 FROM relations WHERE order_key = o_orderkey AND type IN ('readsFrom', 'deletesFrom'))")
 def unlinked(spark, d):
-    c = model.table(spark, d, "customer").select(F.concat(F.lit("customer_"), "c_custkey").alias("id"))
-    return linking.unlinked(c, model.relations(spark, d), ["readsFrom", "deletesFrom"])
+    o = model.table(spark, d, "orders").select(F.concat(F.lit("order_"), "o_orderkey").alias("id"))
+    return linking.unlinked(o, model.relations(spark, d).withColumn("from_id", F.concat(F.lit("order_"), "order_key")), ["readsFrom", "deletesFrom"])
 
 
 @query(f"WITH {model.RELATIONS}, e AS (SELECT from_id AS id FROM relations UNION SELECT to_id FROM relations) SELECT id, string_split(id, '_')[1] AS type FROM e WHERE id NOT IN (SELECT 'part_' || p_partkey FROM part WHERE p_size > 10) AND id NOT IN (SELECT 'customer_' || c_custkey FROM customer)")
@@ -687,55 +689,62 @@ def security_summary(spark, d):
     return security.summary(role_edges(spark, d))
 
 
-@query(f"WITH {model.ROUTES}, {model.LINKS}, r AS (SELECT DISTINCT 'w_' || page_id AS id, path AS action FROM routes), k AS (SELECT id, regexp_replace(regexp_replace(action, '[.](?:do|action|jsp)$', ''), '^/+|/+$', '', 'g') AS k FROM r), t AS (SELECT DISTINCT 'page_' || page_id AS page, href, regexp_replace(regexp_replace(regexp_replace(href, '[?#;].*$', ''), '[.](?:do|action|jsp)$', ''), '^/+|/+$', '', 'g') AS k FROM links), e AS (SELECT page, href, min(id) AS id FROM t JOIN k USING (k) WHERE k <> '' GROUP BY 1, 2), s AS (SELECT page, href, min(b.id) AS id FROM t JOIN k b ON b.k <> '' AND t.k <> '' AND regexp_extract(b.k, '([^/]*)$', 1) = regexp_extract(t.k, '([^/]*)$', 1) WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.page = t.page AND e.href = t.href) GROUP BY 1, 2) SELECT page AS from_id, id AS to_id, 'equal' AS tier, count(*) AS n FROM e GROUP BY 1, 2 UNION ALL SELECT page, id, 'segment', count(*) FROM s GROUP BY 1, 2")
+@query(f"WITH {model.ROUTES}, r AS (SELECT DISTINCT 'w_' || page_id AS id, path AS action FROM routes), k AS (SELECT id, regexp_replace(regexp_replace(action, '[.](?:do|action|jsp)$', ''), '^/+|/+$', '', 'g') AS k FROM r), called AS (SELECT page_id - 1 AS page_id, CASE page_id % 3 WHEN 0 THEN path || '.do?x=1' WHEN 1 THEN '/lost' || path ELSE path || '/none' END AS href FROM routes WHERE page_id > 0), t AS (SELECT DISTINCT 'page_' || page_id AS page, href, regexp_replace(regexp_replace(regexp_replace(href, '[?#;].*$', ''), '[.](?:do|action|jsp)$', ''), '^/+|/+$', '', 'g') AS k FROM called), e AS (SELECT page, href, min(id) AS id FROM t JOIN k USING (k) WHERE k <> '' GROUP BY 1, 2), s AS (SELECT page, href, min(b.id) AS id FROM t JOIN k b ON b.k <> '' AND t.k <> '' AND regexp_extract(b.k, '([^/]*)$', 1) = regexp_extract(t.k, '([^/]*)$', 1) WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.page = t.page AND e.href = t.href) GROUP BY 1, 2) SELECT page AS from_id, id AS to_id, 'equal' AS tier, count(*) AS n FROM e GROUP BY 1, 2 UNION ALL SELECT page, id, 'segment', count(*) FROM s GROUP BY 1, 2")
 def page_calls(spark, d):
     r = model.routes(spark, d).select(F.concat(F.lit("w_"), "page_id").alias("id"), F.col("path").alias("action")).distinct()
-    t = model.page_links(spark, d).select(F.concat(F.lit("page_"), "page_id").alias("page"), F.col("href").alias("token"))
+    #: Each page calls the one after it: by its path with an ending, below another folder, or not at all.
+    p = model.routes(spark, d).where("page_id > 0")
+    href = F.when(F.col("page_id") % 3 == 0, F.concat("path", F.lit(".do?x=1"))).when(F.col("page_id") % 3 == 1, F.concat(F.lit("/lost"), "path")).otherwise(F.concat("path", F.lit("/none")))
+    t = p.select(F.concat(F.lit("page_"), F.col("page_id") - 1).alias("page"), href.alias("token"))
     return pages.calls(t, r).groupBy("from_id", "to_id", "tier").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {_STATEMENTS}, t AS (SELECT id, unnest(regexp_extract_all(sql, '(?i)\\b(?:FROM|JOIN|INTO|UPDATE)\\s+([\\w.#]+)', 1)) AS t FROM st) SELECT DISTINCT id, t AS table_name FROM t WHERE length(t) > 2")
 def sql_touched(spark, d):
-    return statements(spark).select("id", F.explode(ddl.tables_of(F.col("sql"))).alias("table_name"))
+    return statements(spark, d).select("id", F.explode(ddl.tables_of(F.col("sql"))).alias("table_name"))
 
 
-@query("SELECT 6 AS id, 'hr.people' AS name, 'id' AS column_name, 'INT' AS type, NULL AS \"default\" WHERE false UNION ALL SELECT 4, 'hr.people', 'id', 'INT', NULL UNION ALL SELECT 4, 'hr.people', 'at', 'DATETIME', 'GETDATE()'")
+@query(f"SELECT p_partkey AS id, 'hr.people' || p_size AS name, unnest(['id', 'at']) AS column_name, unnest(['INT', 'DATETIME']) AS type, unnest([NULL, 'GETDATE()']) AS \"default\" FROM part WHERE p_partkey % {len(STATEMENTS)} = 4")
 def ddl_columns(spark, d):
-    rows = statements(spark).select("id", ddl.table_of(F.col("sql")).alias("t")).where("t.name IS NOT NULL")
+    rows = statements(spark, d).select("id", ddl.table_of(F.col("sql")).alias("t")).where("t.name IS NOT NULL")
     return rows.select("id", "t.name", F.explode("t.columns").alias("c")).select("id", "name", F.col("c.name").alias("column_name"), F.col("c.type").alias("type"), F.col("c.default").alias("default"))
 
 
-WEB_XML = """<web-app xmlns="x"><servlet><servlet-name>a</servlet-name><servlet-class>c.Old</servlet-class></servlet><servlet><servlet-name>a</servlet-name><servlet-class>c.A</servlet-class></servlet>
-<servlet-mapping><servlet-name>a</servlet-name><url-pattern>/a/*</url-pattern></servlet-mapping><servlet-mapping><servlet-name>missing</servlet-name><url-pattern>/m</url-pattern></servlet-mapping>
-<filter><filter-name>f</filter-name><filter-class>c.F</filter-class></filter><filter><filter-name>g</filter-name><filter-class>c.G</filter-class></filter><filter-mapping><filter-name>f</filter-name><url-pattern>/*</url-pattern></filter-mapping>
+WEB_XML = """<web-app xmlns="x"><servlet><servlet-name>a</servlet-name><servlet-class>c.Old</servlet-class></servlet><servlet><servlet-name>a</servlet-name><servlet-class>c.A{n}</servlet-class></servlet>
+<servlet-mapping><servlet-name>a</servlet-name><url-pattern>/a{n}/*</url-pattern></servlet-mapping><servlet-mapping><servlet-name>missing</servlet-name><url-pattern>/m</url-pattern></servlet-mapping>
+<filter><filter-name>f</filter-name><filter-class>c.F{n}</filter-class></filter><filter><filter-name>g</filter-name><filter-class>c.G</filter-class></filter><filter-mapping><filter-name>f</filter-name><url-pattern>/*</url-pattern></filter-mapping>
 <error-page><error-code>404</error-code><location>/e.jsp</location></error-page><session-config><session-timeout>30</session-timeout></session-config></web-app>"""
 
 
-@query("SELECT * FROM (VALUES ('/a/*', 'c.A', 'servlet'), ('/*', 'c.F', 'filter'), ('g', 'c.G', 'filter'), ('404', '/e.jsp', 'exception')) AS v(from_reference, to_reference, mapping_type)")
+def _filled(spark, d, text: str, ending: str):
+    """A document a supplier: path, text with the supplier's key in place of {n}."""
+    key = F.col("s_suppkey").cast("string")
+    return model.table(spark, d, "supplier").select(F.concat(F.lit("s"), key, F.lit(ending)).alias("path"), F.replace(F.lit(text), F.lit("{n}"), key).alias("text"))
+
+
+@query("SELECT unnest(['/a' || s_suppkey || '/*', '/*', 'g', '404']) AS from_reference, unnest(['c.A' || s_suppkey, 'c.F' || s_suppkey, 'c.G', '/e.jsp']) AS to_reference, unnest(['servlet', 'filter', 'filter', 'exception']) AS mapping_type FROM supplier")
 def config_mappings(spark, d):
-    docs = spark.createDataFrame([("web.xml", WEB_XML)], "path string, text string")
+    docs = _filled(spark, d, WEB_XML, "/web.xml")
     return configs.servlet_mappings(docs).unionByName(configs.filter_mappings(docs)).unionByName(configs.error_pages(docs)).select("from_reference", "to_reference", "mapping_type")
 
 
 CODE = '''package a.b;
-@Path("/emp") @Service
-public class Emp extends Base implements Run {
+@Path("/emp{n}") @Service
+public class Emp{n} extends Base{n} implements Run {
   @Autowired private EmpManager manager;
   @OneToMany(mappedBy = "x") private List<Order> orders;
-  @RolesAllowed({"A", "B"}) @GET @Path("/all") public String all() { Util.go(); return "SELECT a FROM t"; }
+  @RolesAllowed({"A", "B"}) @GET @Path("/all") public String all() { Util.go{n}(); return "SELECT a FROM t"; }
 }'''
 
 
-@query("SELECT * FROM (VALUES ('extends', 'Base'), ('implements', 'Run'), ('injects', 'EmpManager'), ('OneToMany', 'Order'), ('component', 'Service'), ('static_call', 'Util.go'), ('secured', 'A'), ('secured', 'B')) AS v(mapping_type, to_reference)")
+@query("SELECT 'a.b.Emp' || s_suppkey AS from_reference, unnest(['extends', 'implements', 'injects', 'OneToMany', 'component', 'static_call', 'secured', 'secured']) AS mapping_type, unnest(['Base' || s_suppkey, 'Run', 'EmpManager', 'Order', 'Service', 'Util.go' || s_suppkey, 'A', 'B']) AS to_reference FROM supplier")
 def code_edges(spark, d):
-    docs = spark.createDataFrame([("Emp.java", CODE)], "path string, text string")
-    return code.code_mappings(docs).select("mapping_type", "to_reference").distinct()
+    return code.code_mappings(_filled(spark, d, CODE, "/Emp.java")).select("from_reference", "mapping_type", "to_reference").distinct()
 
 
-@query("SELECT 'GET' AS verb, '/emp/all' AS full_path, 'all' AS method")
+@query("SELECT 's' || s_suppkey || '/Emp.java' AS path, 'GET' AS verb, '/emp' || s_suppkey || '/all' AS full_path, 'all' AS method FROM supplier")
 def code_endpoints(spark, d):
-    docs = spark.createDataFrame([("Emp.java", CODE)], "path string, text string")
-    return code.endpoints(code.typed(docs)).select("verb", "full_path", "method")
+    return code.endpoints(code.typed(_filled(spark, d, CODE, "/Emp.java"))).select("path", "verb", "full_path", "method")
 
 
 # Streams
