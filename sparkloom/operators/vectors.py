@@ -10,11 +10,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MOST = 20  # neighbours that a search gives at most
+#: Vectors of a block, and picked pairs whose scores are summed at once.
+BLOCK, SCORED = 2048, 1 << 15
 
 
 def doubles(v: Column) -> Column:
@@ -53,17 +57,79 @@ def indexed(df: DataFrame, id_col: str, vector: str, d: int) -> DataFrame:
     return df.where(F.col(vector).isNotNull() & (F.size(vector) == d)).withColumn(vector, normalized(doubles(F.col(vector))))
 
 
-def knn(queries: DataFrame, rows: DataFrame, k: int, least: float = -1.0, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def _blocks(df: DataFrame, id_col: str, vector: str, names: tuple[str, str], n: int) -> DataFrame:
+    """__b and the ids and vectors of each of n blocks, as two arrays."""
+    own = df.where(F.col(vector).isNotNull()).select(F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int").alias("__b"), F.struct(F.col(id_col).alias("id"), doubles(F.col(vector)).alias("v")).alias("x"))
+    rows = own.groupBy("__b").agg(F.collect_list("x").alias("x"))
+    return rows.select("__b", F.col("x.id").alias(names[0]), F.col("x.v").alias(names[1]))
+
+
+def pairs_of_blocks(queries: DataFrame, rows: DataFrame, pick, id_col: str, vector: str, block: int = BLOCK) -> DataFrame:
+    """query_id, neighbor_id, score: what pick chooses of each block of queries against each block of rows.
+
+    A block has about `block` vectors; each block of rows is copied once a block of queries and meets it by an
+    equi-join, so no pair of vectors becomes a row but those picked. pick(scores, ids) gives the places of
+    a matrix of scores that are kept. Scores are then summed again in order, one product after the other."""
+    n_q, n_r = (max(1, -(-df.count() // block)) for df in (queries, rows))
+    q = _blocks(queries, id_col, vector, ("q_ids", "q_vectors"), n_q)
+    r = _blocks(rows, id_col, vector, ("r_ids", "r_vectors"), n_r)
+    kind = rows.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                ids = [batch.column(c)[k].values for c in (0, 2)]
+                a, b = (np.asarray(batch.column(c)[k].values.flatten()).reshape(len(i), -1) for c, i in zip((1, 3), ids))
+                i, j = pick(a @ b.T, np.asarray(ids[1]))
+                for at in range(0, len(i), SCORED):
+                    x, y = i[at : at + SCORED], j[at : at + SCORED]
+                    score = np.add.accumulate(a[x] * b[y], axis=1)[:, -1] if a.shape[1] else np.zeros(len(x))
+                    yield pa.RecordBatch.from_arrays([ids[0].take(pa.array(x)), ids[1].take(pa.array(y)), pa.array(score)], names=["query_id", "neighbor_id", "score"])
+
+    copies = r.select(F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("__b"), "r_ids", "r_vectors")
+    joined = q.join(copies, "__b").select("q_ids", "q_vectors", "r_ids", "r_vectors")
+    found = joined.repartition(min(n_q * n_r, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))).mapInArrow(run, f"query_id {kind}, neighbor_id {kind}, score double")
+    return found.withColumn("score", F.round("score", 6))
+
+
+def best_of_block(k: int):
+    """The k best of each query by rounded score, of equal scores the least ids; the value below too, for what rounding may move."""
+
+    def pick(scores: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(ids, kind="stable")
+        micro = np.rint(scores[:, order] * 1e6)
+        if micro.shape[1] > k:
+            least = -np.partition(-micro, k - 1, axis=1)[:, k - 1 : k]
+            #: Above the k-th value there are fewer than k; of it and the next below, the first k by id.
+            keep = micro > least
+            for value in (least, least - 1):
+                tied = micro == value
+                keep |= tied & (np.cumsum(tied, axis=1) <= k)
+        else:
+            keep = np.ones(micro.shape, bool)
+        i, j = np.nonzero(keep)
+        return i, order[j]
+
+    return pick
+
+
+def knn(queries: DataFrame, rows: DataFrame, k: int, least: float = -1.0, id_col: str = "vec_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
     """query_id, neighbor_id, score, rank. k is capped at MOST; the query itself counts among
-    the k and is then removed, so at most k - 1 neighbours come back. Both sides normalised."""
+    the k and is then removed, so at most k - 1 neighbours come back. Both sides normalised.
+
+    Each block of rows gives its k best a query; these partial lists meet in one ranking."""
     k = min(k, MOST)
-    q = queries.select(F.col(id_col).alias("query_id"), F.col(vector).alias("__q"))
-    pairs = q.join(rows.select(F.col(id_col).alias("neighbor_id"), F.col(vector).alias("__v")), F.lit(True))
-    scored = pairs.select("query_id", "neighbor_id", F.round(dot(F.col("__q"), F.col("__v")), 6).alias("score"))
+    scored = pairs_of_blocks(queries, rows, best_of_block(k), id_col, vector, block)
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "neighbor_id"))).where(F.col("rank") <= k)
     return ranked.where((F.col("query_id") != F.col("neighbor_id")) & (F.col("score") >= least))
 
 
+def similar(queries: DataFrame, rows: DataFrame, least: float, id_col: str = "vec_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
+    """query_id, neighbor_id, score of all pairs at or above a score, a vector with itself left out. Both sides normalised."""
+    found = pairs_of_blocks(queries, rows, lambda scores, _: np.nonzero(scores >= least - 1e-6), id_col, vector, block)
+    return found.where((F.col("score") >= least) & (F.col("query_id") != F.col("neighbor_id")))
+
+
 def boosts(neighbours: DataFrame, full: float = 0.05) -> DataFrame:
     from sparkloom.functions.scoring import confidence_boost
 

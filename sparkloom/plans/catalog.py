@@ -393,8 +393,7 @@ def knn_by_type(spark, d):
 @query(_NEAR + " SELECT query_id, neighbor_id, score FROM p WHERE score >= 0.3 AND query_id <> neighbor_id")
 def cosine_pairs_threshold(spark, d):
     q, rows = _sides(spark, d)
-    pairs = q.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("a")).join(rows.select(F.col("vec_id").alias("neighbor_id"), F.col("embedding").alias("b")), F.lit(True))
-    return pairs.select("query_id", "neighbor_id", F.round(vectors.dot(F.col("a"), F.col("b")), 6).alias("score")).where("score >= 0.3 AND query_id != neighbor_id")
+    return vectors.similar(q, rows, 0.3)
 
 
 @query(_NEAR + ", r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, neighbor_id) AS rank FROM p), n AS (SELECT query_id, count(*) AS n, round(avg(score), 6) AS mean FROM r WHERE rank <= 10 AND query_id <> neighbor_id GROUP BY 1) SELECT query_id, n, mean, CASE WHEN mean > 0.8 AND n >= 3 THEN 0.05 WHEN mean > 0.7 AND n >= 2 THEN 0.035 WHEN mean > 0.6 THEN 0.025 ELSE 0 END::double AS boost FROM n")

@@ -39,6 +39,100 @@ def test_merging_groups(spark):
     assert {r.key: r.routes for r in graph.merged_groups(g).collect()} == {"a": "r1,r2,r3", "c": "r4"}
 
 
+@pytest.mark.parametrize("block", [1, 3, 7, 4096])
+def test_neighbours_in_blocks_of_any_size(spark, block):
+    """Against all pairs in plain Python, with ties, copies and zero vectors."""
+    import random
+
+    rng = random.Random(block)
+    vs = [[rng.choice([-1.0, 0.0, 1.0]) for _ in range(3)] for _ in range(40)]
+    df = vectors.indexed(spark.createDataFrame(list(enumerate(vs)), "vec_id long, embedding array<double>"), "vec_id", "embedding", 3)
+    unit = {r.vec_id: r.embedding for r in df.collect()}
+    score = lambda a, b: round(sum((x * y for x, y in zip(unit[a], unit[b])), 0.0), 6)
+    want, near = set(), set()
+    for q in range(0, 40, 5):
+        order = sorted((-score(q, v), v) for v in unit)
+        want |= {(q, v, rank) for rank, (_, v) in enumerate(order[:6], 1) if v != q}
+        near |= {(q, v) for s, v in order if -s >= 0.5 and v != q}
+    queries = df.where("vec_id % 5 = 0")
+    assert {(r.query_id, r.neighbor_id, r["rank"]) for r in vectors.knn(queries, df, 6, block=block).collect()} == want
+    assert {(r.query_id, r.neighbor_id) for r in vectors.similar(queries, df, 0.5, block=block).collect()} == near
+    assert vectors.knn(queries.limit(0), df, 6).count() == vectors.knn(queries, df.limit(0), 6).count() == 0
+
+
+def test_a_search_has_no_nested_loop(spark, sf_dir):
+    from sparkloom.plans import catalog
+
+    plan = catalog.QUERIES["knn_topk"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_first_json_by_brute_force(spark, sf_dir):
+    """The first text from a brace that the standard library reads as an object."""
+    import json
+
+    from sparkloom.plans import catalog
+
+    def first(t):
+        for at, c in enumerate(t):
+            if c == "{":
+                try:
+                    value, end = json.JSONDecoder().raw_decode(t[at:])
+                except ValueError:
+                    continue
+                return t[at : at + end]
+        return None
+
+    got = {(r.conv_id, r.turn): r.found for r in catalog.QUERIES["first_json_object"](spark, sf_dir).collect()}
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()
+    for r in rows:
+        want = first(f"{r.text} " + json.dumps({"role": r.role, "turn": r.turn}, separators=(",", ":")))
+        found = got[r.conv_id, r.turn]
+        assert (found and json.loads(found)) == (want and json.loads(want))
+
+
+def test_clusters_cost_no_more_than_plain_rounds(spark, sf_dir):
+    """K-means against plain rounds from the same centres: no further round makes it cheaper."""
+    import numpy as np
+
+    from sparkloom.plans import model
+
+    made = vectors.kmeans(model.chunks(spark, sf_dir), "embedding", 10).select("embedding", "cluster").collect()
+    x, c = np.array([r.embedding for r in made]), np.array([r.cluster for r in made])
+    centres = np.array([x[c == k].mean(0) for k in range(10) if (c == k).any()])
+    cost = lambda m: ((x[:, None] - m[None]) ** 2).sum(2).min(1).sum()
+    own = sum(((x[c == k] - x[c == k].mean(0)) ** 2).sum() for k in set(c))
+    rounds = centres
+    for _ in range(20):
+        near = ((x[:, None] - rounds[None]) ** 2).sum(2).argmin(1)
+        rounds = np.array([x[near == k].mean(0) if (near == k).any() else rounds[k] for k in range(len(rounds))])
+    assert own <= cost(rounds) * 1.03
+
+
+def test_chains_by_brute_force(spark, sf_dir):
+    """Breadth first from every page, by kind of edge and id, five nodes at most."""
+    from sparkloom.plans import catalog
+
+    after = {}
+    for r in catalog._edges(spark, sf_dir).collect():
+        after.setdefault(r.a, []).append((r.b % 3, r.b))
+    got = {}
+    for r in catalog.QUERIES["page_chains"](spark, sf_dir).collect():
+        got.setdefault(r.start, []).append((r.ord, r.node))
+    for start in after:
+        taken, ways = [start], [(start, "")]
+        for _ in range(4):
+            best = {}
+            for node, way in ways:
+                for rank, b in after.get(node, []):
+                    if b not in taken:
+                        w = f"{way}/{rank}/{b}"
+                        best[b] = min(best.get(b, w), w)
+            ways = sorted(((b, w) for b, w in best.items()), key=lambda x: x[1])
+            taken += [b for b, _ in ways]
+        assert [n for _, n in sorted(got[start])] == taken[:5]
+
+
 def test_links(spark):
     left = spark.createDataFrame([(1, "/a/x.jsp"), (2, "y.jsp"), (3, "z")], "l int, p string")
     right = spark.createDataFrame([(10, "/a/x.jsp"), (11, "/b/y.jsp")], "r int, q string")
