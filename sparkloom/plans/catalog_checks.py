@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkloom.functions import markup, stacks
-from sparkloom.operators import trees
+from sparkloom.operators import trees, validate
 from sparkloom.plans import model, render
 from sparkloom.plans.catalog import query
 
@@ -21,14 +21,17 @@ BROKEN = (
 )
 
 
+def _broken(spark, d):
+    suffix = F.element_at(F.array(*(F.lit(x) for x, _ in BROKEN)), (F.pmod("c_custkey", F.lit(len(BROKEN))) + 1).cast("int"))
+    return model.sources(spark, d).select("path", F.lit("java").alias("language"), F.concat("text", suffix).alias("text"))
+
+
 @query(
     f"WITH {model.SOURCES}, b(r, kind, sign) AS (VALUES " + ", ".join(f"({r}, '{k}', '{s}')" for r, (_, faults) in enumerate(BROKEN) for k, s in faults) + ") "
     f"SELECT path, kind, sign, (19 + more)::int AS line FROM src JOIN b ON r = k % {len(BROKEN)}".replace("SELECT path, kind, sign", "SELECT src.path, b.kind, b.sign").replace("r = k %", "b.r = src.k %")
 )
 def source_faults(spark, d):
-    s = model.sources(spark, d)
-    suffix = F.element_at(F.array(*(F.lit(x) for x, _ in BROKEN)), (F.pmod("c_custkey", F.lit(len(BROKEN))) + 1).cast("int"))
-    found = s.select("path", F.explode(stacks.faults(F.concat("text", suffix), F.lit("java"))).alias("f"))
+    found = _broken(spark, d).select("path", F.explode(stacks.faults(F.col("text"), F.lit("java"))).alias("f"))
     return found.select("path", "f.kind", "f.sign", "f.line")
 
 
@@ -144,6 +147,57 @@ def yaml_path_violations(spark, d):
     return trees.path_violations(_yaml_rows(spark, d), "c_custkey")
 
 
+# Validators over files
+
+
+#: What the stack's faults of the broken sources are called.
+_ISSUES = {"{": "balanced_braces", "(": "balanced_parentheses", ")": "balanced_parentheses", "]": "balanced_brackets", '"': "string_literals", "/*": "comments"}
+
+
+@query(
+    f"WITH {model.SOURCES}, b(r, issue) AS (VALUES " + ", ".join(f"({r}, '{_ISSUES[s]}: {k} {s}')" for r, (_, faults) in enumerate(BROKEN) for k, s in faults) + ") "
+    "SELECT src.path, count(b.r) = 0 AS is_valid, coalesce(string_agg(b.issue, '; ' ORDER BY b.issue), '') AS issues, 'class_syntax: several' AS warnings FROM src LEFT JOIN b ON b.r = src.k % " + str(len(BROKEN)) + " GROUP BY 1"
+)
+def validated_sources(spark, d):
+    found = validate.validated(_broken(spark, d))
+    return found.select("path", "is_valid", F.array_join("issues", "; ").alias("issues"), F.array_join("warnings", "; ").alias("warnings"))
+
+
+@query(
+    "WITH s AS (SELECT o_orderkey AS k, o_orderkey % 4 AS r FROM orders), "
+    "f AS (SELECT k, unnest(CASE r WHEN 0 THEN ['quoted_identifiers: single quotes', 'statement_syntax: no semicolon', 'string_literals: unterminated ' || chr(39)] WHEN 2 THEN ['balanced_parentheses: unclosed ('] WHEN 3 THEN ['content: empty'] END) AS f FROM s) "
+    "SELECT 'q' || k || '.sql' AS path, f AS finding FROM f"
+)
+def sql_findings(spark, d):
+    o, r = model.table(spark, d, "orders"), F.col("o_orderkey") % 4
+    text = F.when(r == 0, "select 'a").when(r == 1, "update t set a = 1;").when(r == 2, "select (a;").otherwise("")
+    files = o.select(F.concat(F.lit("q"), "o_orderkey", F.lit(".sql")).alias("path"), text.alias("text"))
+    found = validate.findings(files.withColumn("language", validate.language_of(F.col("path"))))
+    return found.select("path", F.concat_ws(": ", "validator", "detail").alias("finding"))
+
+
+@query(
+    "SELECT o_orderkey::varchar AS path, 'attribute_syntax' AS validator, 'line q' AS detail, o_orderkey % 3 + 1 AS n FROM orders "
+    "UNION ALL SELECT o_orderkey::varchar, 'namespace_syntax', 'p:prio p', 1 FROM orders WHERE o_orderkey % 4 = 0"
+)
+def xml_findings(spark, d):
+    files = model.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("path"), F.lit("xml").alias("language"), _order_xml().alias("text"))
+    return validate.findings(files).groupBy("path", "validator", "detail").agg(F.count("*").alias("n"))
+
+
+@query(
+    "WITH c AS (SELECT c_custkey, c_custkey % 5 AS r FROM customer) SELECT c_custkey, 'llm.temperature' AS field, 'out of bounds' AS message, '3' AS value FROM c WHERE r = 1 "
+    "UNION ALL SELECT c_custkey, 'llm.max_tokens', 'out of bounds', '0' FROM c WHERE r = 2 UNION ALL SELECT c_custkey, 'llm.provider', 'unknown provider', 'none' FROM c WHERE r = 3 UNION ALL SELECT c_custkey, 'steps', 'missing', NULL FROM c WHERE r = 4"
+)
+def config_findings(spark, d):
+    """Configurations, one a customer, of which four in five have an error each."""
+    c, r = model.table(spark, d, "customer"), F.col("c_custkey") % 5
+    pick = lambda at, bad, good: F.when(r == at, bad).otherwise(good)
+    text = F.concat(F.lit("llm:\n  provider: "), pick(3, "none", "openai"), F.lit("\n  temperature: "), pick(1, "3", "0.5"), F.lit("\n  max_tokens: "), pick(2, "0", "100"), F.lit("\n"), pick(4, "", "steps: [a]\n"))
+    rows = trees.walked(c.select("c_custkey", trees.yaml_as_json(text).alias("j")), "c_custkey", F.col("j"))
+    return validate.config_errors(rows, "c_custkey", ("steps", "llm"))
+
+
 # Documents: customers as capabilities, segments as domains
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.functions import classify, extract, paths, text
-from sparkloom.operators import assemble, chunks, gates, graph, linking, structure, vectors
+from sparkloom.operators import assemble, chunks, gates, graph, linking, structure, validate, vectors
 from sparkloom.plans import render
 from sparkloom.sources import files as source
 from sparkloom.sources import sinks
@@ -63,6 +63,7 @@ def extracted(run: Run) -> None:
     code = f.where("language = 'java'").select("path", "text")
     run.keep(structure.declarations(code), "extract", "declarations")
     run.keep(structure.edges(code, MANAGERS), "extract", "code_edges")
+    run.keep(validate.findings(f.select("path", validate.language_of(F.col("path")).alias("language"), "text")), "extract", "findings")
     pages = f.where("type = 'web'").select("path", extract.includes(t).alias("includes"), extract.links(t).alias("links"), extract.iframes(t).alias("iframes"), F.concat(extract.meta_refresh(t), extract.js_navigations(t), extract.dispatcher_calls(t)).alias("redirects"), extract.form_actions(t).alias("actions"), extract.role_tokens(t).alias("roles"), extract.form_fields(t).alias("fields"))
     run.keep(pages, "extract", "pages")
     sql = f.where("language = 'sql'").select("path", F.posexplode(text.split_batches(t)).alias("ord", "sql"))
