@@ -112,7 +112,7 @@ def role_tokens(page: Column) -> Column:
 
 def properties(text: Column) -> Column:
     """key = value lines, comments left out."""
-    lines = F.filter(F.transform(F.split(text, r"\r?\n"), F.trim), lambda x: ~x.rlike("^[#!]") & F.contains(x, F.lit("=")))
+    lines = F.filter(F.transform(F.split(text, r"\r?\n"), lambda x: F.trim(x)), lambda x: ~x.rlike("^[#!]") & F.contains(x, F.lit("=")))
     return F.transform(lines, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("key"), F.trim(F.substr(x, F.instr(x, "=") + 1)).alias("value")))
 
 

@@ -150,3 +150,16 @@ def dependencies(docs: DataFrame) -> DataFrame:
 
 def framework_hints(docs: DataFrame) -> DataFrame:
     return docs.select("path", extract.config_kind(F.col("path")).alias("kind")).withColumn("framework", F.coalesce(*(F.when(F.col("kind") == k, F.lit(v)) for k, v in (("struts", "struts"), ("tiles", "tiles"), ("validation", "struts"), ("validator_rules", "struts"), ("spring", "spring"), ("jboss", "jboss"), ("web_xml", "servlet"), ("maven", "maven"), ("ant", "ant"), ("gradle", "gradle"))), F.lit("none")))
+
+
+def generic_services(rows: DataFrame, id_col: str = "path") -> DataFrame:
+    """Services from element rows of any markup (functions.markup): the id, from_reference, to_reference, depends, attributes.
+
+    Each service gets what its own element holds, by the number of the element around."""
+    plain = lambda name: F.col("path").rlike(rf"(?:^|/)(?:[\w.-]+:)?{name}$")
+    own = rows.where(plain("mbean")).select(id_col, F.col("ord").alias("parent"), F.try_element_at("attributes", F.lit("name")).alias("from_reference"), F.try_element_at("attributes", F.lit("code")).alias("to_reference")).where("from_reference != '' AND to_reference != ''")
+    inside = rows.where((plain("depends") | plain("attribute")) & (F.col("text") != "")).select(id_col, "parent", "ord", plain("depends").alias("d"), F.try_element_at("attributes", F.lit("name")).alias("key"), "text")
+    held = inside.groupBy(id_col, "parent").agg(
+        *(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(test, F.struct("ord", value.alias("v"))))), lambda x: x["v"]), ",").alias(name) for name, test, value in (("depends", F.col("d"), F.col("text")), ("attributes", ~F.col("d") & (F.col("key") != ""), F.concat(F.lit("config_"), "key", F.lit("="), "text"))))
+    )
+    return own.join(held, [id_col, "parent"], "left").select(id_col, "from_reference", "to_reference", F.coalesce("depends", F.lit("")).alias("depends"), F.coalesce("attributes", F.lit("")).alias("attributes"))
