@@ -936,4 +936,4 @@ def class_cast_to_domain(spark, d):
 
 
 # Queries of their own modules add themselves
-from sparkloom.plans import catalog_checks, catalog_code, catalog_config  # noqa: E402, F401
+from sparkloom.plans import catalog_checks, catalog_code, catalog_config, catalog_names  # noqa: E402, F401
