@@ -62,6 +62,7 @@ def patterns(files: DataFrame) -> DataFrame:
     def check(languages: tuple[str, ...], validator: str, severity: str, details: Column) -> None:
         """details: an array of what is wrong."""
         listed.append(F.when(language.isin(*languages), F.transform(details, lambda x: F.struct(F.lit(validator).alias("validator"), F.lit(severity).alias("severity"), x.alias("detail")))).otherwise(F.array()))
+        listed[-1] = F.coalesce(listed[-1], F.array())  # a null text has no details
 
     told = lambda test, text: F.when(F.coalesce(test, F.lit(False)), F.array(F.lit(text))).otherwise(F.array().cast("array<string>"))
     packages = F.size(all_of(t, PACKAGE))
