@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions import scan
 from sparkloom.functions.extract import all_of, decision_points
 from sparkloom.functions.text import statement_class, table_names
+from sparkloom.operators.graph import checkpointed
 
 MODIFIERS = ("public", "protected", "private", "static", "final", "abstract", "native", "synchronized", "transient", "volatile", "strictfp", "default", "sealed")
 NAME = r"[A-Za-z_$][\w$]*"
@@ -45,8 +46,13 @@ def parameters(head: Column) -> Column:
 
 
 def items(files: DataFrame, text_col: str = "text") -> DataFrame:
-    """files with __s, the outline."""
-    return files.withColumn("__s", scan.outlined(F.col(text_col)))
+    """files with __s, the outline; as they are where they have it."""
+    return files if "__s" in files.columns else files.withColumn("__s", scan.outlined(F.col(text_col)))
+
+
+def scanned(files: DataFrame, text_col: str = "text") -> DataFrame:
+    """files with their outlines written once, for what reads them several times."""
+    return files if "__s" in files.columns else checkpointed(items(files, text_col))
 
 
 def line_of(text: Column, place: Column) -> Column:
@@ -148,6 +154,7 @@ def base_type(kind: Column) -> Column:
 def resolved_calls(files: DataFrame, path_col: str = "path", text_col: str = "text") -> DataFrame:
     """calls with target_type and via: the declared type of the receiver's first name, from the innermost declaration
     that holds the call (of one interval the last before it); a capital name is a type itself; '' and `this` are the own type."""
+    files = scanned(files, text_col)
     c = calls(files, path_col, text_col)
     first = F.regexp_extract(F.regexp_replace("receiver", r"^(?:this|super)[.]", ""), r"^([\w$]+)", 1)
     c = c.withColumn("__first", first)
@@ -197,6 +204,7 @@ def manager_usage(files: DataFrame, patterns: list[str], path_col: str = "path",
 
 def orchestration(files: DataFrame, patterns: list[str], path_col: str = "path", text_col: str = "text") -> DataFrame:
     """One row a type with managers: path, type_name, manager_fields, manager_calls, unique_managers, score, is_orchestrator."""
+    files = scanned(files, text_col)
     p = F.array(*map(F.lit, patterns))
     f = declarations(files, path_col, text_col).where("kind = 'field'").withColumn("manager", base_type(F.col("value_type"))).where(first_match(F.col("manager"), p).isNotNull())
     used = f.select("path", "type_name", "manager", F.lit(1).alias("f"), F.lit(0).alias("c")).unionByName(manager_usage(files, patterns, path_col, text_col).select("path", "type_name", F.col("manager_class").alias("manager"), F.lit(0).alias("f"), F.lit(1).alias("c")))
@@ -210,6 +218,7 @@ def edges(files: DataFrame, patterns: list[str], path_col: str = "path", text_co
     method_call (a method to the target type's method), factory_method (to what it gives), interface_implementation,
     service_dependency (a type to the manager's method), orchestration, sql_table_access and stored_procedure_call
     (the method that holds the statement to the table or procedure)."""
+    files = scanned(files, text_col)
     d = declarations(files, path_col, text_col)
     packages = d.groupBy("path").agg(F.min("package").alias("package"))
     nothing = F.lit(None).cast("map<string,string>")

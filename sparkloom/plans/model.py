@@ -81,7 +81,7 @@ LINKS = "links AS (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\\s[^>
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source file a customer: path, text. What it declares follows from the customer's columns, as SQL can tell:
     strings and comments with braces, two types in one file, a nested one, 0 to 2 further methods (by key), and
-    a manager of its own or, for odd keys, one more."""
+    a manager of its own or, for odd keys, one more. Few bytes and much work, so the rows are dealt out."""
     c = table(spark, sf_dir, "customer")
     key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
     layer = F.element_at(F.array(*map(F.lit, LAYER_PACKAGES)), (F.pmod("c_custkey", F.lit(len(LAYER_PACKAGES))) + 1).cast("int"))
@@ -97,7 +97,7 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("    }\n"), F.array_join(more, ""),
         F.lit("    static class Inner { long total; void add(long v) { total = total + v; } }\n}\nclass Helper"), key, F.lit(" { int a = 1; public static Helper"), key, F.lit(" createHelper() { return new Helper"), key, F.lit("(); } }\n"),
     )
-    return c.select("c_custkey", F.concat(F.lit("src/n"), nation, F.lit("/C"), key, F.lit(".java")).alias("path"), lines.alias("text"))
+    return c.select("c_custkey", F.concat(F.lit("src/n"), nation, F.lit("/C"), key, F.lit(".java")).alias("path"), lines.alias("text")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 #: Last package segment of the sources, by key.
