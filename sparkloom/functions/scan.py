@@ -8,7 +8,7 @@ head), its interval, and the block around it. Classification of heads is left to
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -33,7 +33,7 @@ def _struct(**fields) -> T.StructType:
 
 
 _PLACED = T.ArrayType(_struct(at=T.IntegerType(), block=T.IntegerType(), left=T.StringType(), right=T.StringType()))
-_ITEMS = T.ArrayType(_struct(begin=T.IntegerType(), open=T.IntegerType(), close=T.IntegerType(), owner=T.IntegerType(), shape=T.StringType(), head=T.StringType(), name=T.StringType(), within=T.StringType()))
+_ITEMS = T.ArrayType(_struct(begin=T.IntegerType(), open=T.IntegerType(), close=T.IntegerType(), owner=T.IntegerType(), shape=T.StringType(), head=T.StringType(), name=T.StringType(), within=T.StringType(), start_line=T.IntegerType(), open_line=T.IntegerType(), end_line=T.IntegerType()))
 OUTLINE = _struct(items=_ITEMS, calls=_PLACED, declared=_PLACED)
 
 
@@ -110,7 +110,10 @@ def outline(text: str | None) -> dict:
     calls = [(m.start(2), block(m.start(2)), re.sub(r"\s", "", m[1]).rstrip("."), m[2]) for m in CALL.finditer(code) if m[2] not in NO_CALLS and not NEW.search(code, max(0, m.start() - 64), m.start())]
     inside = [c for c in calls if c[1] >= 0 and items[c[1]][4] == "block"]
     declared = [(m.start(2), block(m.start(2)), re.sub(r"\s+", " ", m[1]), m[2]) for m in DECLARED.finditer(code)]
-    return {"items": items, "calls": inside, "declared": declared}
+    ends = [m.start() for m in re.finditer("\n", code)]
+    line = lambda at: bisect_left(ends, at) + 1
+    placed = [(*i, line(i[0]), line(i[1]) if i[1] >= 0 else 0, line(i[2])) for i in items]
+    return {"items": placed, "calls": inside, "declared": declared}
 
 
 @F.arrow_udf(OUTLINE)

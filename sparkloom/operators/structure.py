@@ -55,20 +55,23 @@ def scanned(files: DataFrame, text_col: str = "text") -> DataFrame:
     return files if "__s" in files.columns else checkpointed(items(files, text_col))
 
 
-def line_of(text: Column, place: Column) -> Column:
-    """The line of a place, from 1."""
-    before = F.substring(text, F.lit(1), place)
-    return F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit(""))) + 1
-
-
 def declarations(files: DataFrame, path_col: str = "path", text_col: str = "text") -> DataFrame:
     """One row a type, method, constructor and field: path, number, owner, kind (class, interface, enum,
     record, annotation, anonymous, method, constructor, field), name, type_name (the types around it), package,
     modifiers, annotations, value_type, parameters, extends, implements, begin, open, close, owner_open, owner_close, start_line, end_line,
     has_body, line_count, complexity."""
     o = items(files, text_col).withColumn("__package", F.regexp_extract(text_col, r"(?m)^\s*package\s+([\w.]+)\s*;", 1))
-    rows = o.select(F.col(path_col).alias("path"), F.col(text_col).alias("__text"), "__package", "__s", F.posexplode("__s.items").alias("number", "i"))
-    rows = rows.select("path", "__text", "__package", "number", "i.*", F.get("__s.items", F.col("i.owner")).alias("__around"))
+    #: What a row needs is put beside its item before the items are taken apart, so that no row carries the file.
+    around = lambda x: F.get("__s.items", x["owner"])
+    held = F.transform(
+        "__s.items",
+        lambda x: F.struct(
+            *(x[k].alias(k) for k in ("begin", "open", "close", "owner", "shape", "head", "name", "within", "start_line", "open_line", "end_line")),
+            F.struct(*(around(x)[k].alias(k) for k in ("shape", "name", "open", "close"))).alias("__around"),
+            F.when((x["shape"] == "block") & around(x)["shape"].isin("type", "anonymous"), F.substring(F.col(text_col), x["open"] + 2, x["close"] - x["open"] - 1)).alias("__inside"),
+        ),
+    )
+    rows = o.select(F.col(path_col).alias("path"), "__package", F.posexplode(held).alias("number", "i")).select("path", "__package", "number", "i.*")
     in_type = F.col("__around.shape").isin("type", "anonymous")
     #: Step by step, so that each pattern is matched once a row.
     rows = rows.where(F.col("shape").isin("type", "anonymous") | in_type).withColumn("__clean", without_marks(F.col("head")))
@@ -94,11 +97,9 @@ def declarations(files: DataFrame, path_col: str = "path", text_col: str = "text
         .when(~F.col("has_body") & ~F.col("__call") & (F.col("__f2") != "") & ~bare.rlike(r"^[\w$]+\s*(?:\(|,|$)"), "field")
     )
     rows = rows.withColumn("kind", kind).where("kind IS NOT NULL")
-    is_type, text = F.col("shape") == "type", F.col("__text")
-    inside = F.substring(text, F.col("open") + 2, F.col("close") - F.col("open") - 1)
     #: The type's own parameters may hold `extends` too.
-    plain = F.when(is_type, F.regexp_replace("__clean", rf"((?:class|interface|record)\s+{NAME})\s*<(?:[^<>]|<(?:[^<>]|<[^<>]*>)*>)*>", "$1"))
-    rows = rows.select("*", inside.alias("__inside"), plain.alias("__plain"), line_of(text, F.col("begin")).alias("start_line"), line_of(text, F.col("close")).alias("end_line"))
+    plain = F.when(F.col("shape") == "type", F.regexp_replace("__clean", rf"((?:class|interface|record)\s+{NAME})\s*<(?:[^<>]|<(?:[^<>]|<[^<>]*>)*>)*>", "$1"))
+    rows = rows.select("*", plain.alias("__plain"))
     called = F.col("kind").isin("method", "constructor")
     return rows.select(
         "path",
@@ -122,7 +123,7 @@ def declarations(files: DataFrame, path_col: str = "path", text_col: str = "text
         "start_line",
         "end_line",
         "has_body",
-        F.when(F.col("has_body"), F.length("__inside") - F.length(F.replace("__inside", F.lit("\n"), F.lit(""))) + 1).otherwise(0).alias("line_count"),
+        F.when(F.col("has_body"), F.col("end_line") - F.col("open_line") + 1).otherwise(0).alias("line_count"),
         F.when(called, F.when(F.col("has_body"), decision_points(F.col("__inside"))).otherwise(1)).alias("complexity"),
     )
 
