@@ -45,15 +45,27 @@ def metadata(**values: Column) -> Column:
     return F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
 
 
+def kept(files: DataFrame) -> tuple[str, ...]:
+    """The metadata of the file, which chunks carry where there is any."""
+    return ("__context",) if "__context" in files.columns else ()
+
+
 def class_and_method_chunks(files: DataFrame, path_col: str = "path", text_col: str = "text") -> DataFrame:
     """chunk_id, chunk_type, source_path, start_line, end_line, content, own (metadata)."""
-    d = structure.declarations(files, path_col, text_col)
+    keep = kept(files)
+    d = structure.members(files, path_col, text_col, keep)
     member = F.struct("begin", F.concat_ws(" ", F.col("kind"), visibility(F.col("modifiers")), F.col("value_type"), F.col("name")).alias("line"))
-    held = d.where("kind IN ('method', 'field')").groupBy("path", "owner").agg(
-        *(F.transform(F.slice(F.array_sort(F.collect_list(F.when(F.col("kind") == k, member))), 1, LISTED), lambda m: m["line"]).alias(f"{k}s") for k in ("method", "field")),
+    is_type, is_member = F.col("kind").isin("class", "enum", "record", "interface", "annotation"), F.col("kind").isin("method", "field")
+    #: A type and its members meet under the type's number, in one group; no table is joined.
+    told = F.struct("name", "type_name", "package", "annotations", "extends", "implements", "start_line", "end_line")
+    rows = d.where(is_type | is_member).select("path", *keep, F.when(is_type, F.col("number")).otherwise(F.col("owner")).alias("number"), "kind", F.when(is_type, told).alias("t"), member.alias("m"))
+    held = rows.groupBy("path", "number").agg(
+        F.first("t", ignorenulls=True).alias("t"),
+        *(F.first(k).alias(k) for k in keep),
+        *(F.transform(F.slice(F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("m")))), 1, LISTED), lambda m: m["line"]).alias(f"{k}s") for k in ("method", "field")),
         *(F.count_if(F.col("kind") == k).alias(f"n_{k}s") for k in ("method", "field")),
     )
-    types = d.where("kind IN ('class', 'enum', 'record', 'interface', 'annotation')").join(held.withColumnRenamed("owner", "number"), ["path", "number"], "left")
+    types = held.where("t IS NOT NULL").select("path", *keep, "t.*", "methods", "fields", "n_methods", "n_fields")
     lists = lambda c: F.nullif(F.array_join(c, " "), F.lit(""))
     text = words(
         F.concat(F.lit("class "), "name"),
@@ -66,9 +78,9 @@ def class_and_method_chunks(files: DataFrame, path_col: str = "path", text_col:
     )
     count = lambda c: F.coalesce(c, F.lit(0))
     own = metadata(class_name=F.col("type_name"), package=F.col("package"), methods_count=count(F.col("n_methods")), fields_count=count(F.col("n_fields")), annotations=lists(F.col("annotations")))
-    classes = types.select(F.concat(F.lit("class_"), "type_name", F.lit("_"), "start_line", F.lit("_"), F.md5("path")).alias("chunk_id"), F.lit("class").alias("chunk_type"), F.col("path").alias("source_path"), "start_line", "end_line", text.alias("content"), own.alias("own"))
-    methods = d.where("kind = 'method'").join(files.select(F.col(path_col).alias("path"), F.col(text_col).alias("__text")), "path")
-    body = F.when(F.col("has_body"), F.substring("__text", F.col("open") + 1, F.col("close") - F.col("open") + 1))
+    classes = types.select(F.concat(F.lit("class_"), "type_name", F.lit("_"), "start_line", F.lit("_"), F.md5("path")).alias("chunk_id"), F.lit("class").alias("chunk_type"), F.col("path").alias("source_path"), "start_line", "end_line", text.alias("content"), own.alias("own"), *keep)
+    methods = d.where("kind = 'method'")
+    body = F.when(F.col("has_body"), F.concat(F.lit("{"), "inside"))
     seen = visibility(F.col("modifiers"))
     text = words(
         F.concat(F.lit("method "), "name", F.lit(" in class "), F.regexp_extract("type_name", r"([^.]*)$", 1)),
@@ -89,7 +101,7 @@ def class_and_method_chunks(files: DataFrame, path_col: str = "path", text_col:
         has_sql=F.coalesce(body.rlike(SQL), F.lit(False)),
         stored_procedure_names=lists(F.coalesce(F.array_distinct(all_of(body, PROCEDURE)), F.array())),
     )
-    of_methods = methods.select(F.concat(F.lit("method_"), "type_name", F.lit("_"), "name", F.lit("_"), "begin", F.lit("_"), F.md5("path")).alias("chunk_id"), F.lit("method").alias("chunk_type"), F.col("path").alias("source_path"), "start_line", "end_line", text.alias("content"), own.alias("own"))
+    of_methods = methods.select(F.concat(F.lit("method_"), "type_name", F.lit("_"), "name", F.lit("_"), "begin", F.lit("_"), F.md5("path")).alias("chunk_id"), F.lit("method").alias("chunk_type"), F.col("path").alias("source_path"), "start_line", "end_line", text.alias("content"), own.alias("own"), *keep)
     return classes.unionByName(of_methods)
 
 
@@ -106,13 +118,13 @@ def page_chunks(pages: DataFrame, path_col: str = "path", text_col: str = "text"
     text = words(F.lit("jsp page"), F.nullif(F.array_join(F.transform(forms, form), " "), F.lit("")), each(elements, "element"), F.when(code, F.lit("embedded java blocks")))
     own = metadata(forms_count=F.size(forms), elements_count=F.size(elements), has_embedded_java=code)
     lines = F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit(""))) + 1
-    return pages.select(F.concat(F.lit("jsp_"), F.md5(F.col(path_col))).alias("chunk_id"), F.lit("jsp").alias("chunk_type"), F.col(path_col).alias("source_path"), F.lit(1).alias("start_line"), lines.alias("end_line"), text.alias("content"), own.alias("own"))
+    return pages.select(F.concat(F.lit("jsp_"), F.md5(F.col(path_col))).alias("chunk_id"), F.lit("jsp").alias("chunk_type"), F.col(path_col).alias("source_path"), F.lit(1).alias("start_line"), lines.alias("end_line"), text.alias("content"), own.alias("own"), *kept(pages))
 
 
 def whole_chunks(files: DataFrame, kind: str, content: Column, path_col: str = "path") -> DataFrame:
     """One chunk a file."""
     lines = F.length(content) - F.length(F.replace(content, F.lit("\n"), F.lit(""))) + 1
-    return files.select(F.concat(F.lit(f"{kind}_"), F.md5(F.col(path_col))).alias("chunk_id"), F.lit(kind).alias("chunk_type"), F.col(path_col).alias("source_path"), F.lit(1).alias("start_line"), lines.alias("end_line"), content.alias("content"), F.map_from_arrays(F.array(F.lit("file_type")), F.array(F.lit("configuration" if kind == "config" else kind))).alias("own"))
+    return files.select(F.concat(F.lit(f"{kind}_"), F.md5(F.col(path_col))).alias("chunk_id"), F.lit(kind).alias("chunk_type"), F.col(path_col).alias("source_path"), F.lit(1).alias("start_line"), lines.alias("end_line"), content.alias("content"), F.map_from_arrays(F.array(F.lit("file_type")), F.array(F.lit("configuration" if kind == "config" else kind))).alias("own"), *kept(files))
 
 
 def chunks(files: DataFrame, context: list[str], path_col: str = "path", text_col: str = "text") -> DataFrame:
@@ -120,9 +132,10 @@ def chunks(files: DataFrame, context: list[str], path_col: str = "path", text_co
     files: path, language, type, text and the context columns."""
     java, page, config = F.col("language") == "java", F.col("type") == "web", F.col("type") == "config"
     rest = ~F.coalesce(java, F.lit(False)) & ~F.coalesce(page, F.lit(False)) & ~F.coalesce(config, F.lit(False))
+    around = metadata(**{f"file_{c}" if c in ("path", "language", "type", "hash") else c: F.col(c) for c in context})
+    files = files.where(F.col(path_col).isNotNull()).withColumn("__context", around)
     made = class_and_method_chunks(files.where(java), path_col, text_col)
     made = made.unionByName(page_chunks(files.where(page & ~java), path_col, text_col))
     made = made.unionByName(whole_chunks(files.where(config & ~java & ~page), "config", F.concat(F.lit("Configuration file: "), F.col(path_col)), path_col))
     made = made.unionByName(whole_chunks(files.where(rest), "file", F.coalesce(F.col(text_col), F.lit("")), path_col))
-    around = files.select(F.col(path_col).alias("source_path"), metadata(**{f"file_{c}" if c in ("path", "language", "type", "hash") else c: F.col(c) for c in context}).alias("around"))
-    return made.join(around, "source_path").select("chunk_id", "chunk_type", "source_path", "start_line", "end_line", "content", F.map_concat("around", F.map_filter("own", lambda k, _: ~F.array_contains(F.map_keys("around"), k))).alias("metadata"))
+    return made.select("chunk_id", "chunk_type", "source_path", "start_line", "end_line", "content", F.map_concat("__context", F.map_filter("own", lambda k, _: ~F.array_contains(F.map_keys("__context"), k))).alias("metadata"))

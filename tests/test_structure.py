@@ -333,3 +333,11 @@ def test_a_cluster_has_to_name_its_folder(spark):
     for master in ("yarn", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             shared.checkpoint_dir(type("Session", (), {"sparkContext": Context(master)})())
+
+
+def test_files_are_never_broadcast_nor_joined(spark, code):
+    """Sizes of made texts are guessed far too small, so a join with the files was planned as a broadcast of all of them."""
+    plan = lambda df: df._jdf.queryExecution().toString()
+    files = code.select("path", "text", F.lit("java").alias("language"), F.lit("source").alias("type"))
+    for df in (structure.resolved_calls(code), structure.orchestration(code, ["*Manager"]), structure.edges(code, ["*Manager"]), chunks.chunks(files, ["path", "language"])):
+        assert "Broadcast" not in plan(df) and "Join" not in plan(df)
