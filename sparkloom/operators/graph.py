@@ -82,6 +82,22 @@ def coverage(nodes: DataFrame, relations: DataFrame, kinds: list[str]) -> DataFr
     return found.crossJoin(F.broadcast(total)).select("type", "covered", "edges", F.round(F.col("covered") / F.col("total"), 6).alias("share"))
 
 
+#: Parts of a name whose first minima are found side by side before those of the whole name.
+PARTS = 64
+
+
+def frontier(since: DataFrame, keys: list[str]) -> DataFrame:
+    """since: keys, since, root. Of each name the rows with a lesser root than all before: where a group asks for the
+    least root since a key, no other row can be the answer. Found by parts first, so that no name is one task's work."""
+    from pyspark.sql import Window
+
+    def kept(rows: DataFrame, *more: str) -> DataFrame:
+        before = F.min("root").over(Window.partitionBy(*keys, *more).orderBy("since", "root").rowsBetween(Window.unboundedPreceding, -1))
+        return rows.withColumn("__before", before).where("__before IS NULL OR root < __before").drop("__before", *more)
+
+    return kept(kept(since.withColumn("__part", F.pmod(F.xxhash64("root"), F.lit(PARTS))), "__part"))
+
+
 def group_roots(groups: DataFrame) -> DataFrame:
     """groups: key, single, tables, roles (arrays). key and root: the group that each ends up in.
 
@@ -89,18 +105,28 @@ def group_roots(groups: DataFrame) -> DataFrame:
     most) or any role; what joined before counts for the group. Each round all single routes propose at once, by an
     index of the groups' tables and roles with the first key that brought them: only what came before a key counts for
     it. A key is right once those before it are, so the rounds end, and where nothing changes the result is that of
-    the fold in order. The rounds are as many as groups that depend on each other in a row."""
+    the fold in order. The rounds are as many as groups that depend on each other in a row.
+
+    A single route asks each of its roles, and its tables (or, where two are needed, each pair of them), for the least
+    root before its key; of each name and pair only the frontier answers, so a name that all groups share costs no
+    row for each two of them."""
     need = F.least(F.lit(2), F.ceil(F.size("tables") / 2))
     part = lambda kind: F.transform(F.array_distinct(F.coalesce(F.col(f"{kind}s"), F.array().cast("array<string>"))), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("name")))
     listed = F.concat(part("table"), part("role"))
     held = checkpointed(groups.select("key", "single", need.alias("need"), F.explode(listed).alias("r")).select("key", "single", "need", "r.kind", "r.name"))
+    alone = held.where("single AND (kind = 'role' OR need < 2)").select("key", "kind", "name")
+    two = held.where("single AND kind = 'table' AND need = 2").select("key", "name")
+    pairs = checkpointed(two.join(two.withColumnRenamed("name", "other"), "key").where("name < other"))
+    asked = pairs.select("name", "other").distinct()
     keys = groups.select("key")
     roots = checkpointed(keys.withColumn("root", F.col("key")))
     while True:
-        since = held.join(roots, "key").groupBy("kind", "name", "root").agg(F.min("key").alias("since"))
-        met = held.where("single").join(since, ["kind", "name"]).where(F.col("since") < F.col("key"))
-        fits = met.groupBy("key", "root").agg(F.count_if(F.col("kind") == "table").alias("tables"), F.count_if(F.col("kind") == "role").alias("roles"), F.first("need").alias("need")).where("roles > 0 OR tables > 0 AND tables >= need")
-        first = fits.groupBy("key").agg(F.min("root").alias("first"))
+        since = checkpointed(held.join(roots, "key").groupBy("kind", "name", "root").agg(F.min("key").alias("since")))
+        tables = since.where("kind = 'table'").select("name", "root", "since")
+        both = tables.join(asked, "name").join(tables.select(F.col("name").alias("other"), "root", F.col("since").alias("then")), ["other", "root"]).select("name", "other", "root", F.greatest("since", "then").alias("since"))
+        met = alone.join(frontier(since, ["kind", "name"]), ["kind", "name"]).where("since < key").select("key", "root")
+        met = met.unionByName(pairs.join(frontier(both, ["name", "other"]), ["name", "other"]).where("since < key").select("key", "root"))
+        first = met.groupBy("key").agg(F.min("root").alias("first"))
         new = checkpointed(keys.join(first, "key", "left").select("key", F.coalesce("first", "key").alias("root")))
         if new.join(roots, ["key", "root"], "left_anti").isEmpty():
             return new

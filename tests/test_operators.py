@@ -273,3 +273,11 @@ def test_merging_along_a_chain(spark):
     df = spark.createDataFrame(groups, "key string, single boolean, tables array<string>, roles array<string>")
     assert {r.root for r in graph.group_roots(df).collect()} == {"g00"}
     assert graph.group_roots(df.limit(0)).count() == 0
+
+
+def test_a_name_that_all_groups_share_costs_one_row(spark):
+    """Of 2,000 groups with one table, two million pairs were made; the frontier has one row."""
+    rows = spark.range(2000).select(F.format_string("g%04d", "id").alias("key"), F.lit(True).alias("single"), F.array(F.lit("t")).alias("tables"), F.array().cast("array<string>").alias("roles"))
+    since = rows.select(F.lit("t").alias("name"), F.col("key").alias("since"), F.col("key").alias("root"))
+    assert [tuple(r) for r in graph.frontier(since, ["name"]).collect()] == [("t", "g0000", "g0000")]
+    assert {r.root for r in graph.group_roots(rows).collect()} == {"g0000"}
