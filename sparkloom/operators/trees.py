@@ -17,14 +17,18 @@ PATH_NAMES = ("path", "file_path", "directory")
 
 @F.arrow_udf(T.StringType())
 def yaml_as_json(texts: pa.Array) -> pa.Array:
-    """A YAML document as JSON; null where it is none. Keys become text, times and the like too."""
+    """A YAML document as JSON; null where it is none. Keys become text, times and the like too.
+
+    The library's parser in C reads it where there is one; what that one refuses is read by the one in Python."""
     import yaml
 
-    def one(text):
-        try:
-            return json.dumps(yaml.safe_load(text), default=str, ensure_ascii=False) if text is not None else None
-        except (yaml.YAMLError, ValueError, TypeError, RecursionError):
-            return None
+    def one(text, loaders=tuple(dict.fromkeys((getattr(yaml, "CSafeLoader", yaml.SafeLoader), yaml.SafeLoader)))):
+        for loader in loaders if text is not None else ():
+            try:
+                return json.dumps(yaml.load(text, loader), default=str, ensure_ascii=False)
+            except (yaml.YAMLError, ValueError, TypeError, RecursionError):
+                continue
+        return None
 
     return pa.array([one(t.as_py()) for t in texts], pa.string())
 

@@ -67,6 +67,10 @@ def vb_faults(spark, d):
     return o.select("o_orderkey", F.explode(stacks.faults(code, F.lit("vbscript"))).alias("f")).select("o_orderkey", "f.kind", "f.sign", "f.line")
 
 
+def _orders(spark, d):
+    return model.dealt(model.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"))
+
+
 def _order_xml():
     """An order as XML: the prefix p is declared but for every fourth key."""
     key, prio = F.col("o_orderkey").cast("string"), F.substring("o_orderpriority", 1, 1)
@@ -87,7 +91,7 @@ def _order_xml():
     "UNION ALL SELECT o_orderkey, 'o:order/lines/line', 3, count(*), 'no,q', 'a b', '' FROM l GROUP BY 1"
 )
 def xml_elements(spark, d):
-    rows = markup.element_rows(model.table(spark, d, "orders").select("o_orderkey", _order_xml().alias("x")), "o_orderkey", F.col("x"))
+    rows = markup.element_rows(_orders(spark, d).select("o_orderkey", _order_xml().alias("x")), "o_orderkey", F.col("x"))
     listed = lambda c: F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), ",")
     return rows.groupBy("o_orderkey", "path", "depth").agg(F.count("*").alias("n"), listed(F.map_keys("attributes")).alias("attributes"), F.array_join(F.array_sort(F.collect_set("text")), ",").alias("texts"), listed(F.col("undeclared")).alias("undeclared"))
 
@@ -97,7 +101,7 @@ def xml_elements(spark, d):
     "UNION ALL SELECT 'o:order', 'xmlns:p', count(*) FROM orders WHERE o_orderkey % 4 <> 0 UNION ALL SELECT 'p:prio', 'n', count(*) FROM orders UNION ALL SELECT 'line', 'no', count(*) FROM l UNION ALL SELECT 'line', 'q', count(*) FROM l"
 )
 def xml_attribute_counts(spark, d):
-    return markup.attribute_counts(markup.element_rows(model.table(spark, d, "orders").select("o_orderkey", _order_xml().alias("x")), "o_orderkey", F.col("x")))
+    return markup.attribute_counts(markup.element_rows(_orders(spark, d).select("o_orderkey", _order_xml().alias("x")), "o_orderkey", F.col("x")))
 
 
 @query()
@@ -128,7 +132,7 @@ _YAML = (
 
 
 def _yaml_rows(spark, d):
-    docs = model.table(spark, d, "customer").select("c_custkey", trees.yaml_as_json(_customer_yaml()).alias("j"))
+    docs = model.dealt(model.table(spark, d, "customer").select("c_custkey", "c_mktsegment")).select("c_custkey", trees.yaml_as_json(_customer_yaml()).alias("j"))
     return trees.walked(docs, "c_custkey", F.col("j"))
 
 
@@ -181,7 +185,7 @@ def sql_findings(spark, d):
     "UNION ALL SELECT o_orderkey::varchar, 'namespace_syntax', 'p:prio p', 1 FROM orders WHERE o_orderkey % 4 = 0"
 )
 def xml_findings(spark, d):
-    files = model.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("path"), F.lit("xml").alias("language"), _order_xml().alias("text"))
+    files = _orders(spark, d).select(F.col("o_orderkey").cast("string").alias("path"), F.lit("xml").alias("language"), _order_xml().alias("text"))
     return validate.findings(files).groupBy("path", "validator", "detail").agg(F.count("*").alias("n"))
 
 
@@ -191,7 +195,7 @@ def xml_findings(spark, d):
 )
 def config_findings(spark, d):
     """Configurations, one a customer, of which four in five have an error each."""
-    c, r = model.table(spark, d, "customer"), F.col("c_custkey") % 5
+    c, r = model.dealt(model.table(spark, d, "customer").select("c_custkey")), F.col("c_custkey") % 5
     pick = lambda at, bad, good: F.when(r == at, bad).otherwise(good)
     text = F.concat(F.lit("llm:\n  provider: "), pick(3, "none", "openai"), F.lit("\n  temperature: "), pick(1, "3", "0.5"), F.lit("\n  max_tokens: "), pick(2, "0", "100"), F.lit("\n"), pick(4, "", "steps: [a]\n"))
     rows = trees.walked(c.select("c_custkey", trees.yaml_as_json(text).alias("j")), "c_custkey", F.col("j"))

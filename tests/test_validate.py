@@ -53,3 +53,39 @@ def test_config_errors(spark):
     rows = trees.walked(spark.createDataFrame(docs, "id int, t string").select("id", trees.yaml_as_json(F.col("t")).alias("j")), "id", F.col("j"))
     got = {(r.id, r.field, r.message) for r in validate.config_errors(rows, "id", ("steps",)).collect()}
     assert got == {(2, "llm.provider", "unknown provider"), (2, "llm.temperature", "out of bounds"), (2, "llm.max_tokens", "out of bounds"), (2, "steps", "missing")}
+
+
+def test_yaml_is_read_by_the_fast_parser_with_the_same_values(spark):
+    """Documents of the fast parser, and those that it refuses, are what the library's own parser gives."""
+    import json
+
+    import yaml
+
+    from sparkloom.operators import trees
+
+    texts = ["a: 1", "a: [1, 'x', {b: null}]\n", "d: 2020-01-02\n1: x\n", "- &x {a: 1}\n- *x\n", "a: b: c", "\t- a", "", "é: \"\\u00e9\"\n", "a: |\n  x\n  y\n", "? [a]\n: b\n", None]
+
+    def want(text):
+        try:
+            return None if text is None else json.dumps(yaml.safe_load(text), default=str, ensure_ascii=False)
+        except (yaml.YAMLError, ValueError, TypeError, RecursionError):
+            return None
+
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", trees.yaml_as_json(F.col("t")).alias("j")).collect()
+    assert {r.i: r.j for r in got} == {i: want(t) for i, t in enumerate(texts)}
+
+
+def test_made_documents_are_dealt_out(spark, sf_dir):
+    """One small file was one task, whatever the documents made of it cost."""
+    from sparkloom.plans import catalog_checks, model
+
+    assert catalog_checks._orders(spark, sf_dir).rdd.getNumPartitions() == 4
+    assert model.dealt(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 4
+
+
+def test_xml_elements_are_read_once(spark):
+    files = spark.createDataFrame([("a", "xml", "<a b=1><c:d/></a>")], "path string, language string, text string")
+    from sparkloom.operators import validate
+
+    assert validate.attributes(files)._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert {(r.validator, r.detail) for r in validate.attributes(files).collect()} == {("attribute_syntax", "a b"), ("namespace_syntax", "c:d c")}
