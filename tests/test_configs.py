@@ -112,3 +112,14 @@ def test_code_edges(spark):
     assert tuple(page)[0] == "form" and abs(page.c - 0.95) < 1e-9 and page.l == "moderate"
     bad = spark.createDataFrame([("java", "import x\nclass A {"), ("sql", "select 'a"), ("xml", "<a/>")], "l string, t string").select("l", checks.syntax_issues(F.col("l"), F.col("t")).alias("i"))
     assert {r.l: r.i for r in bad.collect()} == {"java": ["braces", "imports"], "sql": ["quotes"], "xml": []}
+
+
+def test_page_calls_read_the_links_of_every_page(spark, sf_dir, monkeypatch):
+    """A link to another page's path is a call, as SQL has it too; calls made from the keys stay."""
+    from sparkloom.plans import catalog, model
+
+    pages_ = spark.createDataFrame([(0, "http://a/one", "<a href='/two'>x</a>"), (1, "http://a/mid", ""), (2, "http://a/two", "<a href='/f/one?q'>x</a>")], "page_id long, url string, html string")
+    monkeypatch.setattr(model, "table", lambda *_: pages_)
+    got = {(r.from_id, r.to_id, r.tier) for r in catalog.QUERIES["page_calls"](spark, sf_dir).collect()}
+    assert got == {("page_0", "w_2", "equal"), ("page_0", "w_1", "segment"), ("page_2", "w_0", "segment")}
+    assert "FROM links" in catalog.SQL["page_calls"]
