@@ -54,10 +54,11 @@ def signs(rules: DataFrame) -> DataFrame:
 
 
 def code_layer(text: Column, annotations: Column, names: Column, listed: Column) -> Column:
-    """The layer of the first sign that the text holds, an annotation is, or, as *x*, a type's name holds in any case."""
+    """The layer of the first sign that the text holds, an annotation is, or, as *x*, a type's name holds in any case.
+    text: the signs that the text holds."""
     bare = lambda s: F.lower(F.regexp_replace(s, r"^\*|\*$", ""))
     wild = lambda s: F.startswith(s, F.lit("*")) & F.endswith(s, F.lit("*"))
-    fits = lambda s: F.contains(text, s) | F.array_contains(annotations, s) | (wild(s) & F.exists(names, lambda n: F.contains(F.lower(n), bare(s))))
+    fits = lambda s: F.array_contains(text, s) | F.array_contains(annotations, s) | (wild(s) & F.exists(names, lambda n: F.contains(F.lower(n), bare(s))))
     return F.get(F.filter(listed, lambda r: F.coalesce(fits(r["sign"]), F.lit(False))), F.lit(0))["layer"]
 
 
@@ -71,11 +72,13 @@ def detected(files: DataFrame, declarations: DataFrame, packages: DataFrame, ind
         F.array_sort(F.collect_set(F.when(F.col("kind").isin("class", "interface", "enum", "record", "annotation"), F.col("name")))).alias("names"),
     )
     by_package = matched(facts, "package", packages).select(F.col("value").alias("package"), F.col("layer").alias("p"))
-    rows = files.select("path", "text").join(facts, "path").join(by_package, "package", "left").crossJoin(F.broadcast(signs(indicators)))
+    #: What a text shows is told beside it; no text is joined. The files' size is guessed too small to broadcast them.
+    shown = files.crossJoin(F.broadcast(signs(indicators))).select("path", "__signs", F.transform(F.filter("__signs", lambda r: F.contains(F.col("text"), r["sign"])), lambda r: r["sign"]).alias("__shown"))
+    rows = shown.hint("merge").join(facts, "path").join(by_package, "package", "left")
     marks = F.transform("annotations", lambda a: F.concat(F.lit("@"), a))
     given = F.create_map(*(F.lit(x) for pair in mapping.items() for x in pair)) if mapping else F.lit(None).cast("map<string,string>")
     mapped = F.get(F.filter(F.transform(marks, lambda a: F.try_element_at(given, a)), lambda x: x.isNotNull()), F.lit(0))
-    p, c = F.nullif("p", F.lit(NONE)), code_layer(F.col("text"), marks, F.col("names"), F.col("__signs"))
+    p, c = F.nullif("p", F.lit(NONE)), code_layer(F.col("__shown"), marks, F.col("names"), F.col("__signs"))
     found = rows.select("path", "package", p.alias("p"), c.alias("c"), mapped.alias("m"))
     by = F.when(F.col("p").isNotNull(), "package").when(F.col("c").isNotNull(), "code").when(F.col("m").isNotNull(), "framework").otherwise("none")
     return found.select("path", "package", F.coalesce("p", "c", "m", F.lit(NONE)).alias("layer"), by.alias("by"))
@@ -84,12 +87,8 @@ def detected(files: DataFrame, declarations: DataFrame, packages: DataFrame, ind
 def target_package(reference: Column) -> Column:
     """The package of `a.b.Class.method` or `a.b.Class.x`: what stands before the last part that begins with a capital,
     the last part of all left out; without one, all but the last two parts."""
-    parts = F.split(reference, r"\.")
-    before = F.slice(parts, 1, F.size(parts) - 1)
-    places = F.filter(F.transform(before, lambda x, k: F.when(x.rlike("^[A-Z]"), k + 1)), lambda k: k.isNotNull())
-    last = F.element_at(places, -1)
-    whole = F.when(F.size(places) > 0, F.array_join(F.slice(parts, 1, last - 1), ".")).otherwise(F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - 2, F.lit(0))), "."))
-    return F.when(F.contains(reference, F.lit(".")), whole).otherwise("")
+    capital = F.regexp_extract(reference, r"(?s)^(?:(.*)\.)?[A-Z][^.]*\.", 1)
+    return F.coalesce(F.when(reference.rlike(r"(?:^|\.)[A-Z][^.]*\."), capital).otherwise(F.regexp_extract(reference, r"(?s)^(.*)\.[^.]*\.[^.]*\z", 1)), F.lit(""))
 
 
 def filtered(edges: DataFrame, packages: DataFrame | None = None, exclude_same: bool = False, current: str = "package", reference: str = "to_reference") -> DataFrame:

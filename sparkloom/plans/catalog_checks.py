@@ -68,7 +68,7 @@ def vb_faults(spark, d):
 
 
 def _orders(spark, d):
-    return model.dealt(model.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"))
+    return model.dealt(model.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), "o_orderkey")
 
 
 def _order_xml():
