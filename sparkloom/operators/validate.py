@@ -88,8 +88,9 @@ def patterns(files: DataFrame) -> DataFrame:
 def attributes(files: DataFrame) -> DataFrame:
     """XML attributes without quotes and prefixes that nothing declares."""
     rows = markup.element_rows(files.where("language = 'xml'").select(F.col("path").alias("__file"), "text"), "__file", F.col("text"))
-    parts = [rows.select(F.col("__file").alias("path"), F.lit(v).alias("validator"), F.lit("issue").alias("severity"), F.explode(F.transform(c, lambda x: F.concat_ws(" ", "name", x))).alias("detail"), F.lit(None).cast("int").alias("line")) for v, c in (("attribute_syntax", F.col("unquoted")), ("namespace_syntax", F.col("undeclared")))]
-    return parts[0].unionByName(parts[1])
+    told = lambda v, c: F.transform(c, lambda x: F.struct(F.lit(v).alias("validator"), F.concat_ws(" ", "name", x).alias("detail")))
+    both = rows.select(F.col("__file").alias("path"), F.explode(F.concat(told("attribute_syntax", "unquoted"), told("namespace_syntax", "undeclared"))).alias("f"))
+    return both.select("path", "f.validator", F.lit("issue").alias("severity"), "f.detail", F.lit(None).cast("int").alias("line"))
 
 
 def findings(files: DataFrame) -> DataFrame:
